@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, packing, pii, telephony, token_files, warc
+from tidemark.llm import jaccard_join, mixing, packing, pii, telephony, token_files, warc
 from tidemark.llm.shared import fresh_dir, table, written
 
 TOKENIZERS = None  # folder of the tokenizers' files; None: that of the installed package
@@ -14,6 +14,20 @@ BYTE_BPE_END, WORD_BPE_END, WORD_BPE_IDS = 2, 1, 49_408
 PACK_CAPACITY = 1024
 
 
+JACCARD_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE []::VARCHAR[] END AS s FROM words),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, (SELECT min(b) FROM reach WHERE a = doc_id)) AS component_id FROM sets"""
+
+
 def tokenizer_path(name: str) -> str:
     if TOKENIZERS:
         return f"{TOKENIZERS}/{name}"
@@ -27,6 +41,10 @@ def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymised(docs, PII_KEY, count_col="n_replaced")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     form = token_files.TokenFormat(tokenizer_path("word_bpe_49k.json"), False, WORD_BPE_END, WORD_BPE_IDS)
     docs = table(spark, sf_dir, "documents")
@@ -55,8 +73,8 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pii_pseudonyms, op3_token_files, op4_warc_archives, op5_best_fit_packing, op6_telephony_media, op7_source_mixing)}
+    return {f.__name__: f for f in (op1_pii_pseudonyms, op2_jaccard_join, op3_token_files, op4_warc_archives, op5_best_fit_packing, op6_telephony_media, op7_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_source_mixing": mixing.report_sql()}
+    return {"op2_jaccard_join": JACCARD_SQL, "op7_source_mixing": mixing.report_sql()}

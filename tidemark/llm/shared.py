@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,12 +61,12 @@ def publish(uri: str, data: bytes | memoryview) -> None:
 
 def utf8_slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, pa.LargeBinaryArray]]:
     """Slices of a batch with at most ``limit`` bytes of text (one document at least), nulls as empty bytes."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = total = 0
     for i, n in enumerate([*sizes, limit + 1]):
         if i > start and total + n > limit or i == len(sizes):
             part = batch.slice(start, i - start)
             if part.num_rows:
-                yield part, pa.compute.fill_null(part.column(column).cast(pa.large_binary()), b"")
+                yield part, pc.fill_null(part.column(column).cast(pa.large_binary()), b"")
             start, total = i, 0
         total += n

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import jaccard_join, mixing, packing, pii, telephony, token_files, warc
+from tidemark.llm import class_lm, jaccard_join, language_crf, mixing, near_vectors, packing, pii, telephony, token_files, warc
 from tidemark.llm.shared import fresh_dir, table, written
 
 TOKENIZERS = None  # folder of the tokenizers' files; None: that of the installed package
@@ -72,8 +72,23 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op9_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    model = language_crf.train(docs.filter(~held_out))
+    return language_crf.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.scored(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pii_pseudonyms, op2_jaccard_join, op3_token_files, op4_warc_archives, op5_best_fit_packing, op6_telephony_media, op7_source_mixing)}
+    return {f.__name__: f for f in (op1_pii_pseudonyms, op2_jaccard_join, op3_token_files, op4_warc_archives, op5_best_fit_packing, op6_telephony_media, op7_source_mixing, op8_near_vectors, op9_language_crf, op10_class_lm)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -154,7 +154,7 @@ def parsed(data: bytes) -> dict:
 def read_archives(spark: SparkSession, archives: DataFrame, split_bytes: int = 8 << 20, payloads: bool = True) -> DataFrame:
     """One row per record of the archives. A response's digest and length are taken from the payload read, a revisit's from its headers."""
     splits = archives.select("path", "bytes", F.explode(F.sequence(F.lit(0), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes))).alias("start"))
-    splits = splits.repartition("path", "start").select("path", "start", (F.col("start") + split_bytes).alias("end"))
+    splits = splits.repartition(max(1, splits.count())).select("path", "start", (F.col("start") + split_bytes).alias("end"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["record_id", "record_type", "uri", "refers_to", "payload_digest", "payload_bytes"] + ["payload"] * payloads

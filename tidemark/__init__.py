@@ -1,0 +1 @@
+"""A Spark engine for time-stamped observation files and gridded fields."""

@@ -105,6 +105,7 @@ def draws(sources: DataFrame, mix: Mix) -> DataFrame:
     slot = slot.withColumn("cell", F.floor(F.col("u") * mix.cells))
     counts = slot.join(spans, "cell").filter("u >= lo AND u < hi").groupBy("shard", "sid", "blocks").agg(F.count(F.lit(1)).alias("n"))
     counts = counts.withColumn("base", F.sum("n").over(Window.partitionBy("sid").orderBy("shard")) - F.col("n"))
+    counts = counts.repartition(max(1, total // 100_000), "sid", "shard")  # few small rows, but each makes many below
     taken = counts.select("sid", "blocks", F.explode(F.sequence(F.col("base"), F.col("base") + F.col("n") - 1)).alias("k")).filter(F.col("k") < F.col("blocks") * mix.max_repeats)
     taken = taken.withColumn("pass", F.floor(F.col("k") / F.col("blocks")))
     block = permuted(F.col("k") % F.col("blocks"), F.col("blocks"), F.col("sid") * mix.max_repeats + F.col("pass"), mix)

@@ -171,9 +171,9 @@ def exchange(pairs: np.ndarray, lm: ClassLm) -> tuple[np.ndarray, np.ndarray]:
     n, c = len(pairs) - 2, lm.classes
     total = pairs.sum(0) + pairs.sum(1)
     order = np.argsort(-total[:n], kind="stable")
-    of = np.empty(n + 2, np.int64)
-    of[order] = np.arange(n) % c
-    of[n:] = c, c + 1
+    of = np.full(n + 2, c + 1)  # the first sweep takes words from the rest, the most frequent first
+    of[order[:c]] = np.arange(min(n, c))
+    of[n] = c
     table = np.zeros((c + 2, c + 2))
     np.add.at(table, (of[:, None], of[None, :]), pairs)
     after, before = np.zeros((n + 2, c + 2)), np.zeros((n + 2, c + 2))  # of each word: counts of the classes after and before it
@@ -197,7 +197,7 @@ def exchange(pairs: np.ndarray, lm: ClassLm) -> tuple[np.ndarray, np.ndarray]:
             cell = table[diagonal, diagonal]
             gain -= xlogx(cell + right[:c]) + xlogx(cell + left[:c]) - xlogx(cell) - xlogx(cell + right[:c] + left[:c] + self_pairs)
             gain -= xlogx(row_sum + right.sum() + self_pairs) - xlogx(row_sum) + xlogx(column_sum + left.sum() + self_pairs) - xlogx(column_sum)
-            best = int(gain.argmax()) if gain.max() > gain[own] + 1e-9 else int(own)
+            best = int(gain.argmax()) if own > c or gain.max() > gain[own] + 1e-9 else int(own)
             table[best] += right
             table[:, best] += left
             table[best, best] += self_pairs

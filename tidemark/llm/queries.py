@@ -28,6 +28,23 @@ reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN l
 SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, (SELECT min(b) FROM reach WHERE a = doc_id)) AS component_id FROM sets"""
 
 
+WARC_SQL = """
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS p, sha1(coalesce(html, '')) AS h FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY p) AS first FROM payloads)
+SELECT page_id, octet_length(encode(p))::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1)::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id > first THEN first END AS refers_to FROM firsts"""
+
+VECTORS_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS x FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_dot_product(a.x, b.x) >= 0.93 * sqrt(list_dot_product(a.x, a.x)) * sqrt(list_dot_product(b.x, b.x)) AND list_dot_product(a.x, a.x) > 0 AND list_dot_product(b.x, b.x) > 0),
+reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id)::BIGINT AS n_links, least(vec_id, (SELECT min(b) FROM reach WHERE a = vec_id)) AS component_id,
+  vec_id = least(vec_id, (SELECT min(b) FROM reach WHERE a = vec_id)) AS kept FROM embeddings"""
+
+
 def tokenizer_path(name: str) -> str:
     if TOKENIZERS:
         return f"{TOKENIZERS}/{name}"
@@ -92,4 +109,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_jaccard_join": JACCARD_SQL, "op7_source_mixing": mixing.report_sql()}
+    return {"op2_jaccard_join": JACCARD_SQL, "op4_warc_archives": WARC_SQL, "op8_near_vectors": VECTORS_SQL, "op7_source_mixing": mixing.report_sql()}

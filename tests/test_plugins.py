@@ -19,9 +19,9 @@ def test_storm_task(spark):
     img, snd = listing(spark, "i1", "i0"), listing(spark, "s0")
     task = plugins.storm_tasks(tracks, gfs, img, snd, run)
     row = task.first()
-    assert row.adeck == ["/in/aal182012.dat", "/in/awp022012.dat"]
+    assert row.tracks == ["/in/aal182012.dat", "/in/awp022012.dat"]
     assert row.gfs == "/in/gfs.2012102712.pgrb2.0p25.f003"
-    assert row.mirs_atms_img == ["/in/i0", "/in/i1"]
+    assert row.images == ["/in/i0", "/in/i1"]
     assert (row.job_coverage_start, row.dts) == (dt.datetime(2012, 10, 27, 6), dt.datetime(2012, 10, 27, 18))
     assert plugins.storm_tasks(tracks, gfs, img, snd.limit(0), run).count() == 0
     assert plugins.storm_tasks(tracks, gfs, img, snd, run, done_runs=task).count() == 0

@@ -32,19 +32,19 @@ def storm_tasks(tracks: DataFrame, forecasts: DataFrame, images: DataFrame, soun
     after = run - F.make_interval(secs=F.lit(back))
     forecast = names.forecast_quarter.read(forecasts)
     newest = latest(forecast, "DTS", "path", after).select(F.col("path").alias("gfs"))
-    parts = [recent(df).select(F.col("paths").alias(n)) for df, n in ((tracks, "adeck"), (images, "mirs_atms_img"), (soundings, "mirs_atms_snd"))]
+    parts = [recent(df).select(F.col("paths").alias(n)) for df, n in ((tracks, "tracks"), (images, "images"), (soundings, "soundings"))]
     task = newest
     for part in parts:  # one row each
         task = task.join(part, F.lit(True))
     window = job_coverage(run, back)
-    task = task.select(window["end"].alias("dts"), window["start"].alias("job_coverage_start"), window["end"].alias("job_coverage_end"), "adeck", "gfs", "mirs_atms_img", "mirs_atms_snd")
-    task = task.filter((F.size("adeck") > 0) & (F.size("mirs_atms_img") > 0) & (F.size("mirs_atms_snd") > 0))
+    task = task.select(window["end"].alias("dts"), window["start"].alias("job_coverage_start"), window["end"].alias("job_coverage_end"), "tracks", "gfs", "images", "soundings")
+    task = task.filter((F.size("tracks") > 0) & (F.size("images") > 0) & (F.size("soundings") > 0))
     return task.join(done_runs.select("dts"), "dts", "left_anti") if done_runs is not None else task
 
 
 def storm_control(task: DataFrame, tracks: DataFrame) -> DataFrame:
     """The operational names of a storm task's files, as control-file rows (key, value)."""
-    t = task.select(F.explode("adeck").alias("path")).join(tracks, "path")
+    t = task.select(F.explode("tracks").alias("path")).join(tracks, "path")
     basin = F.regexp_extract("name", r"^a(\w{2})\d{6}\.dat", 1)
     rows = t.select(F.lit("adeck_input").alias("key"), track_name(F.col("name"), basin, F.col("modified")).alias("value"))
     g = names.forecast_quarter.read(task.select(F.element_at(F.split("gfs", "/"), -1).alias("name")))

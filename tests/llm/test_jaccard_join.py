@@ -81,6 +81,13 @@ def test_edges(spark):
     assert kept.columns == df.columns
 
 
+def test_different_texts_under_one_id(spark):
+    text = lambda *w: " ".join(f"w{i}" for i in range(40)) + " " + " ".join(w)
+    docs = [(5, text("a")), (5, "nothing of the kind is in this one"), (6, text("b")), (7, "nothing of the kind is in this one")]
+    got = jaccard_join.jaccard_components(spark.createDataFrame(docs * 3, "doc_id long, text string").repartition(4)).select("doc_id", "component_id").distinct().collect()
+    assert sorted(map(tuple, got)) == [(5, 5), (6, 5), (7, 5)]
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard_join.jaccard_components(empty).count() == 0

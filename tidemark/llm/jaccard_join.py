@@ -208,14 +208,19 @@ def verified(groups: DataFrame, join: Join) -> DataFrame:
 
     def verify(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        values, first, ids, side = [], [0], [], []
+        values, first, ids, side, seen = [], [0], [], [], set()
         for batch in table.to_batches():
             for part, texts in utf8_slices(batch, "text"):
                 v, f, _ = shingle_sets(texts, join.width)
-                first.extend((f[1:] + first[-1]).tolist())
-                values.append(v)
-                ids.extend(part.column("member").to_pylist())
-                side.extend(part.column("side").to_pylist())
+                for i, (member, own) in enumerate(zip(part.column("member").to_pylist(), part.column("side").to_pylist(), strict=True)):
+                    mine = v[f[i] : f[i + 1]]
+                    if member in seen or set_id(mine) != member:  # another text under the same id
+                        continue
+                    seen.add(member)
+                    first.append(first[-1] + len(mine))
+                    values.append(mine)
+                    ids.append(member)
+                    side.append(own)
         found = forest(np.concatenate(values), np.array(first), np.array(ids), np.array(side), join) if ids else []
         return pa.table({"src": pa.array([a for a, _ in found], pa.int64()), "dst": pa.array([b for _, b in found], pa.int64())})
 
@@ -244,7 +249,7 @@ def jaccard_components(docs: DataFrame, join: Join = Join(), id_col: str = "doc_
     dealt = dealt.withColumn("own", own).select("center", "member", F.explode(tasks).alias("t")).select("center", "member", "t.task", "t.side")
     dealt = dealt.join(alike, F.col("member") == F.col("set")).drop("set")
     texts = docs.join(alike.select(F.col("first").alias("doc_id"), "set").join(met.select(F.col("member").alias("set")).distinct(), "set", "left_semi"), "doc_id").select(F.col("set").alias("_set"), "text")
-    texts = texts.dropDuplicates(["_set"])
+    texts = texts.distinct()
     groups = dealt.join(texts, F.col("member") == F.col("_set")).select("center", "task", "side", "member", "text")
     links = verified(groups, join)
     by_id = links.join(alike.select(F.col("set").alias("src"), F.col("first").alias("a")), "src").join(alike.select(F.col("set").alias("dst"), F.col("first").alias("b")), "dst").select(F.col("a").alias("src"), F.col("b").alias("dst"))

@@ -236,11 +236,14 @@ def voted(texts: DataFrame, top: np.ndarray, classes: np.ndarray, table: np.ndar
         rare = np.flatnonzero(learn & (code == c + 1))
         left, right = np.append(c, code[:-1])[rare], code[rare + 1]  # a rare word is never the last token
         own, back = np.unique(at[rare], return_inverse=True)
-        width = c + 2
-        gain = np.bincount(back * width + left, minlength=len(own) * width).reshape(-1, width) @ suits_left + np.bincount(back * width + right, minlength=len(own) * width).reshape(-1, width) @ suits_right
-        vote = np.zeros(len(distinct), np.int64)
-        if len(own):
-            vote[own] = np.maximum(gain.max(1) * 100, 0).astype(np.int64) << 8 | gain.argmax(1)
+        width, vote = c + 2, np.zeros(len(distinct), np.int64)
+        order = np.argsort(back, kind="stable")
+        for first in range(0, len(own), 1 << 14):  # some words at a time: their neighbours' classes are a dense table
+            some = order[slice(*np.searchsorted(back[order], (first, first + (1 << 14))))]
+            rows = min(1 << 14, len(own) - first)
+            count = lambda side: np.bincount((back[some] - first) * width + side[some], minlength=rows * width).reshape(rows, width)  # noqa: B023, E731
+            gain = count(left) @ suits_left + count(right) @ suits_right
+            vote[own[first : first + rows]] = np.maximum(gain.max(1) * 100, 0).astype(np.int64) << 8 | gain.argmax(1)
         used, lists = dealt(part_of(distinct, parts), parts, [distinct, n, vote])
         return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(np.full(len(used), group)), *lists], names=["part", "grp", "words", "counts", "votes"])
 

@@ -158,12 +158,16 @@ def mixed_documents(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", t
     lists = spans.groupBy(F.col("doc_id").alias("_id")).agg(F.array_sort(F.collect_list(F.struct("start", "words", "passes"))).alias("_spans"))
     pieces = F.regexp_extract_all(text_col, F.lit(rf"{WORD}[\x20\x09-\x0D]*"), F.lit(0))
 
-    def one(number: Column) -> Column:
-        own = F.filter("_spans", lambda s: F.getbit(s["passes"], number) == 1)
-        return F.rtrim(F.array_join(F.flatten(F.transform(own, lambda s: F.slice(F.col("_words"), (s["start"] + 1).cast("int"), s["words"].cast("int")))), ""))
+    def one(x: Column, number: Column) -> Column:
+        own = F.filter(x["spans"], lambda s: F.getbit(s["passes"], number) == 1)
+        return F.rtrim(F.array_join(F.flatten(F.transform(own, lambda s: F.slice(x["words"], (s["start"] + 1).cast("int"), s["words"].cast("int")))), ""))
 
-    text = F.array_join(F.filter(F.transform(F.sequence(F.lit(0), F.lit(mix.max_repeats - 1)), one), lambda t: t != ""), "\n")
-    out = docs.join(lists, F.col(id_col).eqNullSafe(F.col("_id"))).withColumn("_words", pieces).withColumn(text_col, text)
+    def joined(x: Column) -> Column:
+        return F.array_join(F.filter(F.transform(F.sequence(F.lit(0), F.lit(mix.max_repeats - 1)), lambda number: one(x, number)), lambda t: t != ""), "\n")
+
+    # transform over one array of a struct, so that a text is split into words once and not for each of its stretches
+    text = F.transform(F.array(F.struct(pieces.alias("words"), F.col("_spans").alias("spans"))), joined)[0]
+    out = docs.join(lists, F.col(id_col).eqNullSafe(F.col("_id"))).withColumn(text_col, text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text_col).cast("long"))
     return out.select(*docs.columns)

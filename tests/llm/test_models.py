@@ -220,3 +220,27 @@ def test_scores_with_nothing_to_learn(spark):
     row = class_lm.scored(df, F.lit(True)).first()
     assert (row.n_known, row.train_tokens, row.n_tokens) == (0, 0, 3)
     assert class_lm.scored(df.limit(0), F.lit(False)).count() == 0
+
+
+def test_classes_do_not_depend_on_groups(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    rows = [{r.doc_id: r.score for r in class_lm.scored(docs.repartition(n), held, class_lm.ClassLm(classes=8, frequent=50, group_bytes=size)).collect()} for n, size in ((1, 4 << 20), (4, 3_000))]
+    assert rows[0].keys() == rows[1].keys()
+    assert all(abs(rows[0][i] - rows[1][i]) <= 1e-6 * abs(rows[0][i]) for i in rows[0])
+
+
+def test_words_among_rare_words_get_classes(spark):
+    rng = random.Random(8)
+    word = lambda slot: f"{slot}{rng.randrange(30)}"
+    texts = []
+    for _ in range(1500):  # the rare x and y stand only beside rare words, x where the frequent fx does and y where fy does
+        a, x, p = ("a", "x", "p") if rng.random() < 0.5 else ("b", "y", "q")
+        kind = rng.random()
+        inner = [word(a), f"f{x}", word(p)] if kind < 0.4 else [word(a), word(x), word(p)] if kind < 0.8 else [f"f{a}", f"f{x}", f"f{p}"]
+        texts.append(" ".join(["the", *inner, "of"] if a == "a" else ["of", *inner, "the"]))
+    odd = [(5000, "the a1 x1 p1 of"), (5001, "the a1 y1 p1 of"), (5002, "of b1 y1 q1 the"), (5003, "of b1 x1 q1 the")]
+    docs = spark.createDataFrame([*enumerate(texts), *odd], "doc_id long, text string")
+    score = {r.doc_id: r.score for r in class_lm.scored(docs, F.col("doc_id") >= 5000, class_lm.ClassLm(classes=8, frequent=8)).collect()}
+    assert score[5000] > score[5001] + 1
+    assert score[5002] > score[5003] + 1

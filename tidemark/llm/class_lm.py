@@ -1,18 +1,21 @@
 """Language-model scores of texts by Brown class-based bigrams: P(class | class before) * P(word | class).
 
-Words are counted over all training texts. Exchange clustering gives the ``frequent`` most frequent words their classes:
-sweeps move one word at a time to the class that most raises the likelihood of the class bigrams, from their bigram
-counts over the whole corpus (at most ``frequent`` squared). Every other word goes by the same likelihood, against those
-classes: in each group of texts its neighbours vote for the class that suits them best, and the votes of all groups are
-added. Class totals, word emissions and class transitions then come from all training tokens.
-
-Texts are staged in groups of about ``group_bytes``. Word tables are never gathered: they are dealt by hash into parts,
-each group gets the entries of its own words back, and a cogroup codes its texts as class numbers, a byte for a token.
+Words are counted over all training texts. Exchange clustering starts with the ``frequent`` most frequent words: sweeps
+move one word at a time to the class that most raises the likelihood of the class bigrams, from their bigram counts over
+the whole corpus (at most ``frequent`` squared). Distributed sweeps go on from there over all words: each word's neighbours
+are counted by class over the whole corpus, and it moves to the class that suits all of them best. The first gives the
+words outside ``frequent`` their classes; each later one counts neighbours by the classes of the one before, and stands
+only if it raises the likelihood. Counts are whole numbers, so no class depends on how the texts are grouped.
+
+Texts are staged in groups of about ``group_bytes``, each a file with its distinct words and its tokens as places among
+them. Word tables are never gathered: they are dealt by hash into parts, and each group gets the classes of its own words
+back, a byte for a word.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import utf8_slices, written
+from tidemark.llm.shared import fresh_dir, open_fs, publish, utf8_slices, written
 from tidemark.llm.textbytes import Words
 
 END_WORD = np.int64(0x0E4D)  # the hash that stands for a text's end
@@ -31,6 +34,7 @@ class ClassLm:
     classes: int = 32
     frequent: int = 1000
     sweeps: int = 6
+    wide_sweeps: int = 3  # over all words; the first gives classes to those outside ``frequent``
     prior: float = 20.0  # tokens that the classes' overall shares weigh in a class's transitions
     group_bytes: int = 4 << 20
 
@@ -55,21 +59,81 @@ def tokens(texts: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
     return out, np.append(0, ends + 1)
 
 
-def staged(docs: DataFrame, lm: ClassLm) -> DataFrame:
-    """doc_id, train, text and grp: a number for each run of rows with about ``group_bytes`` of text."""
+@dataclass(frozen=True)
+class Group:
+    """A file of texts: its rows, its distinct words by part and hash, and its tokens as places among them."""
 
-    def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+    doc_id: pa.Array
+    train: pa.Array
+    count: np.ndarray  # of each text's tokens
+    words: np.ndarray
+    tokens: np.ndarray
 
-        group, size = TaskContext.get().partitionId() << 24, 0
+    @property
+    def learn(self) -> np.ndarray:
+        """Whether each token is one to learn from."""
+        return np.repeat(self.train.to_numpy(zero_copy_only=False), self.count)
+
+    def save(self, uri: str) -> None:
+        columns = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (self.doc_id, self.train)]
+        columns += [pa.array([x.tobytes()], pa.large_binary()) for x in (self.count, self.words, self.tokens)]
+        batch, sink = pa.RecordBatch.from_arrays(columns, names=["doc_id", "train", "count", "words", "tokens"]), pa.BufferOutputStream()
+        with pa.ipc.new_file(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            out.write_batch(batch)
+        publish(uri, sink.getvalue())
+
+    @staticmethod
+    def load(uri: str) -> Group:
+        system, path = open_fs(uri)
+        with system.open_input_file(path) as source:
+            batch = pa.ipc.open_file(source).get_batch(0)
+        doc_id, train = (batch.column(i).flatten() for i in range(2))
+        return Group(doc_id, train, *(np.frombuffer(batch.column(i)[0].as_buffer(), t) for i, t in ((2, np.int64), (3, np.int64), (4, np.int32))))
+
+
+def bounds_of(words: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The parts of a group's words, and where each part's begin."""
+    part = part_of(words, parts)
+    first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    return part[first], np.append(first, len(words))
+
+
+def listed(bounds: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values))
+
+
+def staged(docs: DataFrame, folder: str, parts: int, lm: ClassLm) -> DataFrame:
+    """grp, part, words, counts: of each group that it writes to ``folder`` the distinct words and their training counts."""
+
+    def save(rows: list[pa.RecordBatch], values: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+        words, at = np.unique(np.concatenate(values), return_inverse=True)
+        order = np.argsort(part_of(words, parts), kind="stable")
+        place = np.empty(len(order), np.int32)
+        place[order] = np.arange(len(order))
+        doc_id, train = (pa.concat_arrays([r.column(c) for r in rows]) for c in ("doc_id", "train"))
+        group = Group(doc_id, train, np.concatenate(counts).astype(np.int64), words[order], place[at])
+        number = uuid.uuid4().int >> 65  # a repeated task writes files of its own
+        group.save(f"{folder}/{number:016x}")
+        n = np.bincount(group.tokens, group.learn, len(words)).astype(np.int64)
+        used, bounds = bounds_of(group.words, parts)
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(used), number)), pa.array(used, pa.int32()), listed(bounds, group.words), listed(bounds, n)], names=["grp", "part", "words", "counts"])
+
+    def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, values, counts, size = [], [], [], 0
         for batch in batches:
             for part, texts in utf8_slices(batch, "text", lm.group_bytes // 4):
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "train", "text")), pa.array(np.full(part.num_rows, group))], names=["doc_id", "train", "text", "grp"])
+                value, first = tokens(texts)
+                rows.append(part.select(["doc_id", "train"]))
+                values.append(value)
+                counts.append(np.diff(first))
                 size += texts.nbytes
                 if size >= lm.group_bytes:
-                    group, size = group + 1, 0
+                    yield save(rows, values, counts)
+                    rows, values, counts, size = [], [], [], 0
+        if rows:
+            yield save(rows, values, counts)
 
-    return docs.mapInArrow(stage, "doc_id long, train boolean, text string, grp long")
+    return docs.mapInArrow(stage, "grp long, part int, words array<long>, counts array<long>")
 
 
 def combined(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -94,32 +158,12 @@ def flat(table: pa.Table, column: str) -> np.ndarray:
     return table.column(column).combine_chunks().flatten().to_numpy()
 
 
-def counted(texts: DataFrame, parts: int) -> DataFrame:
-    """part, words, counts: training tokens, each task's counts added up first."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for batch in batches:
-            for _, some in utf8_slices(batch, "text"):
-                k, n = np.unique(tokens(some)[0], return_counts=True)
-                keys.append(k)
-                counts.append(n)
-                if len(keys) > 8:
-                    k, n = combined(keys, counts)
-                    keys, counts = [k], [n]
-        words, n = combined(keys, counts)
-        used, lists = dealt(part_of(words, parts), parts, [words, n])
-        if len(used):
-            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *lists], names=["part", "words", "counts"])
-
-    return texts.filter("train").select("text").mapInArrow(count, "part int, words array<long>, counts array<long>")
-
-
 def vocabulary(counts: DataFrame, lm: ClassLm) -> tuple[int, int, int, np.ndarray]:
     """Tokens, distinct tokens, tokens seen once, and the most frequent words (ties by hash)."""
 
     def add(table: pa.Table) -> pa.Table:
         words, n = combined([flat(table, "words")], [flat(table, "counts")])
+        words, n = words[n > 0], n[n > 0]  # the others are only in texts held out
         top = np.lexsort((words, -n))
         top = top[words[top] != END_WORD][: lm.frequent]
         return pa.table({"word": pa.array([None, *words[top].tolist()], pa.int64()), "n": pa.array([int(n.sum()), *n[top].tolist()], pa.int64()), "types": pa.array([len(words)] + [None] * len(top), pa.int64()), "once": pa.array([int((n == 1).sum())] + [None] * len(top), pa.int64())})
@@ -137,16 +181,17 @@ def coded_as(words: np.ndarray, top: np.ndarray) -> np.ndarray:
     return np.where(found, at, np.where(words == END_WORD, len(top), len(top) + 1))
 
 
-def bigrams(texts: DataFrame, top: np.ndarray) -> np.ndarray:
+def bigrams(groups: DataFrame, folder: str, top: np.ndarray) -> np.ndarray:
     """Counts of neighbours among the frequent words, ends and the rest, over all training texts."""
     n = len(top) + 2
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(n * n, np.int64)
         for batch in batches:
-            for _, some in utf8_slices(batch, "text"):
-                code = coded_as(tokens(some)[0], top)
-                table += np.bincount(np.append(n - 2, code[:-1]) * n + code, minlength=n * n)
+            for number in batch.column("grp").to_pylist():
+                group = Group.load(f"{folder}/{number:016x}")
+                code = coded_as(group.words, top)[group.tokens][group.learn]
+                table += np.bincount(np.append(n - 2, code[:-1]) * n + code, minlength=n * n) if len(code) else 0
         keys = np.flatnonzero(table)
         used, lists = dealt(keys % 64, 64, [keys, table[keys]])
         if len(used):
@@ -156,7 +201,7 @@ def bigrams(texts: DataFrame, top: np.ndarray) -> np.ndarray:
         keys, counts = combined([flat(table, "keys")], [flat(table, "counts")])
         return pa.table({"keys": pa.array([keys], pa.list_(pa.int64())), "counts": pa.array([counts], pa.list_(pa.int64()))})
 
-    rows = texts.filter("train").select("text").mapInArrow(count, "part int, keys array<long>, counts array<long>").groupBy("part").applyInArrow(add, "keys array<long>, counts array<long>").toArrow()
+    rows = groups.mapInArrow(count, "part int, keys array<long>, counts array<long>").groupBy("part").applyInArrow(add, "keys array<long>, counts array<long>").toArrow()
     out = np.zeros(n * n, np.int64)
     out[flat(rows, "keys")] = flat(rows, "counts")
     return out.reshape(n, n)
@@ -213,109 +258,122 @@ def exchange(pairs: np.ndarray, lm: ClassLm) -> tuple[np.ndarray, np.ndarray]:
     return of[:n], table
 
 
-def voted(texts: DataFrame, top: np.ndarray, classes: np.ndarray, table: np.ndarray, parts: int, lm: ClassLm) -> DataFrame:
-    """part, grp, words, counts, votes: for each group its distinct words, their training count, and the class that their neighbours favour.
+def per_group(classes: DataFrame, folder: str, parts: int, function: Callable, schema: str) -> DataFrame:
+    """What ``function`` makes of each group, the classes of its words and their counts in the corpus."""
 
-    A vote is the class in the lowest 8 bits, above them how much it gains over the average class, in hundredths.
-    """
-    c = lm.classes
+    def one(table: pa.Table) -> pa.Table:
+        table = table.sort_by("part")  # the order of the group's words
+        return function(table.column("grp")[0].as_py(), Group.load(f"{folder}/{table.column('grp')[0].as_py():016x}"), flat(table, "classes").view(np.uint8).astype(np.int64), flat(table, "counts"))
+
+    return classes.repartition(parts, "grp").groupBy("grp").applyInArrow(one, schema)
+
+
+def neighbours(classes: DataFrame, folder: str, parts: int, lm: ClassLm) -> DataFrame:
+    """grp, part, words, sizes, keys, counts: for each group its words, and how often a class is before (keys below classes + 2) or after each in training texts."""
+    width = lm.classes + 2
+
+    def tally(number: int, group: Group, of: np.ndarray, _: np.ndarray) -> pa.Table:
+        learn, code = group.learn, of[group.tokens]
+        left, right = np.append(lm.end, code[:-1]), np.append(code[1:], lm.end)
+        inner = learn & (code != lm.end)
+        cell, n = np.unique(np.concatenate([group.tokens[learn] * np.int64(2 * width) + left[learn], group.tokens[inner] * np.int64(2 * width) + width + right[inner]]), return_counts=True)
+        sizes = np.bincount(cell // (2 * width), minlength=len(group.words))
+        used, bounds = bounds_of(group.words, parts)
+        places = np.append(0, np.cumsum(sizes))[bounds]
+        return pa.table({"grp": pa.array(np.full(len(used), number)), "part": pa.array(used, pa.int32()), "words": listed(bounds, group.words), "sizes": listed(bounds, sizes.astype(np.int32)), "keys": listed(places, (cell % (2 * width)).astype(np.int16)), "counts": listed(places, n.astype(np.int32))})
+
+    return per_group(classes, folder, parts, tally, "grp long, part int, words array<long>, sizes array<int>, keys array<short>, counts array<int>")
+
+
+def suits(table: np.ndarray, lm: ClassLm) -> np.ndarray:
+    """How well a class (column) suits a neighbour of each class before, then after it: log P(neighbour's class | class), in whole 1024ths so that sums are exact."""
     smooth = table + 0.5
-    chance = np.log(smooth / smooth.sum(1, keepdims=True))  # of the class after
-    backward = np.log(smooth / smooth.sum(0, keepdims=True))  # of the class before
-    suits_left, suits_right = chance[:, :c], backward[:c].T
-    suits_left, suits_right = (np.where(np.arange(c + 2)[:, None] == c + 1, 0, x - x.mean(1, keepdims=True)) for x in (suits_left, suits_right))
-    class_of = np.append(classes, [c, c + 1])
-
-    def tally(group: int, train: list[bool], values: list[np.ndarray], firsts: list[np.ndarray]) -> pa.RecordBatch | None:
-        words = np.concatenate(values)
-        lengths = np.concatenate([np.diff(f) for f in firsts])
-        learn = np.repeat(np.array(train), lengths)
-        code = class_of[coded_as(words, top)]
-        distinct, at = np.unique(words, return_inverse=True)
-        n = np.bincount(at, learn, len(distinct)).astype(np.int64)
-        rare = np.flatnonzero(learn & (code == c + 1))
-        left, right = np.append(c, code[:-1])[rare], code[rare + 1]  # a rare word is never the last token
-        own, back = np.unique(at[rare], return_inverse=True)
-        width, vote = c + 2, np.zeros(len(distinct), np.int64)
-        order = np.argsort(back, kind="stable")
-        for first in range(0, len(own), 1 << 14):  # some words at a time: their neighbours' classes are a dense table
-            some = order[slice(*np.searchsorted(back[order], (first, first + (1 << 14))))]
-            rows = min(1 << 14, len(own) - first)
-            count = lambda side: np.bincount((back[some] - first) * width + side[some], minlength=rows * width).reshape(rows, width)  # noqa: B023, E731
-            gain = count(left) @ suits_left + count(right) @ suits_right
-            vote[own[first : first + rows]] = np.maximum(gain.max(1) * 100, 0).astype(np.int64) << 8 | gain.argmax(1)
-        used, lists = dealt(part_of(distinct, parts), parts, [distinct, n, vote])
-        return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(np.full(len(used), group)), *lists], names=["part", "grp", "words", "counts", "votes"])
-
-    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, train, values, firsts = None, [], [], []
-        for batch in batches:
-            for part, some in utf8_slices(batch, "text"):
-                cuts = part.column("grp").to_numpy()
-                for g in np.unique(cuts):
-                    rows = np.flatnonzero(cuts == g)
-                    if g != group and train:
-                        yield tally(group, train, values, firsts)
-                        train, values, firsts = [], [], []
-                    group = int(g)
-                    w, f = tokens(some.slice(int(rows[0]), len(rows)))
-                    train.extend(part.column("train").slice(int(rows[0]), len(rows)).to_pylist())
-                    values.append(w)
-                    firsts.append(f)
-        if train:
-            yield tally(group, train, values, firsts)
-
-    return texts.mapInArrow(vote, "part int, grp long, words array<long>, counts array<long>, votes array<long>")
-
-
-def entries(votes: DataFrame, top: np.ndarray, classes: np.ndarray, lm: ClassLm) -> DataFrame:
-    """grp, words, counts, classes: the corpus's count and the class of each group's words; with group -1 the classes' token totals."""
-
-    def settle(table: pa.Table) -> pa.Table:
-        words, votes = flat(table, "words"), flat(table, "votes")
-        distinct, at = np.unique(words, return_inverse=True)
-        n = np.bincount(at, flat(table, "counts"), len(distinct)).astype(np.int64)
-        weight = np.zeros(len(distinct) * lm.classes)
-        np.add.at(weight, at * lm.classes + (votes & 255), votes >> 8)
-        of = weight.reshape(-1, lm.classes).argmax(1)
-        code = coded_as(distinct, top)
-        known = np.flatnonzero(code < len(top))
-        of[known] = classes[code[known]]
+    before, after = np.log(smooth / smooth.sum(0)), np.log(smooth / smooth.sum(1, keepdims=True)).T
+    return np.rint(1024 * np.concatenate([before[:, : lm.classes], after[:, : lm.classes]]))
+
+
+def settled(found: DataFrame, table: np.ndarray, lm: ClassLm, fixed: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
+    """grp, part, classes, counts: the best class of each group's words and their training count, both by the whole corpus. ``fixed`` words (ascending) have their classes."""
+    width, weights = 2 * lm.classes + 4, suits(table, lm)
+
+    def settle(rows: pa.Table) -> pa.Table:
+        distinct, at = np.unique(flat(rows, "words"), return_inverse=True)
+        cell = np.repeat(at, flat(rows, "sizes")) * width + flat(rows, "keys")
+        count = np.bincount(cell, flat(rows, "counts"), len(distinct) * width).reshape(-1, width)
+        n = count[:, : width // 2].sum(1).astype(np.int64)  # a token has one neighbour before it
+        of = (count @ weights).argmax(1)
+        if fixed:
+            code = coded_as(distinct, fixed[0])
+            known = np.flatnonzero(code < len(fixed[0]))
+            of[known] = fixed[1][code[known]]
+        of[n == 0] = lm.unknown
         of[distinct == END_WORD] = lm.end
-        of[(n == 0) & (distinct != END_WORD)] = lm.unknown
-        totals = np.bincount(of, n, lm.unknown + 1).astype(np.int64)
-        lengths = np.diff(table.column("words").combine_chunks().offsets.to_numpy())
-        offsets = pa.array(np.append(0, np.cumsum(lengths)), pa.int32())
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (words, n[at], of[at])]
-        rows = pa.table({"grp": table.column("grp").combine_chunks(), **dict(zip(("words", "counts", "classes"), lists, strict=True))})
-        ids = np.arange(len(totals))
-        own = pa.table({"grp": pa.array([-1], pa.int64()), "words": pa.array([ids], pa.list_(pa.int64())), "counts": pa.array([totals], pa.list_(pa.int64())), "classes": pa.array([ids], pa.list_(pa.int64()))})
-        return pa.concat_tables([rows, own])
+        bounds = rows.column("words").combine_chunks().offsets.to_numpy()
+        bounds = bounds - bounds[0]
+        return pa.table({"grp": rows.column("grp"), "part": rows.column("part"), "classes": listed(bounds, of[at].astype(np.uint8).view(np.int8)), "counts": listed(bounds, n[at])})
+
+    return found.groupBy("part").applyInArrow(settle, "grp long, part int, classes array<byte>, counts array<long>")
+
+
+def class_bigrams(classes: DataFrame, folder: str, parts: int, lm: ClassLm) -> np.ndarray:
+    """Counts of class bigrams over all training tokens, the first of a text after an end."""
+    width = lm.classes + 2
+
+    def count(number: int, group: Group, of: np.ndarray, _: np.ndarray) -> pa.Table:
+        code = of[group.tokens][group.learn]
+        n = np.bincount(np.append(lm.end, code[:-1])[: len(code)] * width + code, minlength=width * width)
+        cell = np.flatnonzero(n)
+        return pa.table({"cell": cell, "n": n[cell]})
+
+    table = np.zeros(width * width)
+    for r in per_group(classes, folder, parts, count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # one row for each pair of classes
+        table[r["cell"]] = r["n"]
+    return table.reshape(width, width)
+
+
+def likelihood(table: np.ndarray) -> float:
+    """What the exchange raises: the log-likelihood of the training tokens, but for a constant."""
+    return float(xlogx(table).sum() - xlogx(table.sum(0)).sum() - xlogx(table.sum(1)).sum())
+
+
+def classed(asked: DataFrame, folder: str, top: np.ndarray, first: np.ndarray, table: np.ndarray, parts: int, lm: ClassLm) -> tuple[DataFrame, np.ndarray]:
+    """grp, part, classes, counts of all words after the sweeps over them, and their class bigrams. The frequent words start at ``first``, with ``table``."""
+    code = np.append(first, [lm.end, lm.classes + 1])
 
-    return votes.groupBy("part").applyInArrow(settle, "grp long, words array<long>, counts array<long>, classes array<long>")
+    def start(rows: pa.Table) -> pa.Table:
+        bounds = rows.column("words").combine_chunks().offsets.to_numpy()
+        of = code[coded_as(flat(rows, "words"), top)]
+        return pa.table({"grp": rows.column("grp"), "part": rows.column("part"), "classes": listed(bounds - bounds[0], of.astype(np.uint8).view(np.int8)), "counts": rows.column("counts")})
+
+    def starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield from start(pa.Table.from_batches([batch])).to_batches()
+
+    schema = "grp long, part int, classes array<byte>, counts array<long>"
+    now, best = asked.mapInArrow(starts, schema), None
+    for sweep in range(max(1, lm.wide_sweeps)):
+        new = written(settled(neighbours(now, folder, parts, lm), table, lm, None if sweep else (top, first)), "classes")
+        found = class_bigrams(new, folder, parts, lm)
+        if best is not None and likelihood(found) <= best:
+            break
+        now, table, best = new, found, likelihood(found)
+    return now, table
 
 
-def coded(texts: DataFrame, lists: DataFrame, totals: np.ndarray, n: int, v: int) -> DataFrame:
+def coded(classes: DataFrame, folder: str, totals: np.ndarray, n: int, v: int, parts: int) -> DataFrame:
     """Each text's counts, base score, log10 of its words' emissions, and its classes as bytes."""
     schema = "doc_id long, train boolean, n_tokens long, n_known long, base_score double, emission double, classes binary"
 
-    def code(left: pa.Table, right: pa.Table) -> pa.Table:
-        words, counts, classes = (flat(right, x) for x in ("words", "counts", "classes"))
-        order = np.argsort(words, kind="stable")
-        words, counts, classes = words[order], counts[order], classes[order]
+    def code(number: int, group: Group, of: np.ndarray, counts: np.ndarray) -> pa.Table:
         base = np.log10((counts + 1) / (n + v + 1))
-        emission = np.where(counts > 0, np.log10(np.maximum(counts, 1) / np.maximum(totals[classes], 1)), 0.0)
-        parts = []
-        for batch in left.combine_chunks().to_batches():
-            for part, some in utf8_slices(batch, "text"):
-                value, first = tokens(some)
-                at = np.searchsorted(words, value)
-                sums = lambda x: np.add.reduceat(x[at], first[:-1])  # noqa: B023, E731
-                own = classes[at].astype(np.uint8).tobytes()
-                parts.append(pa.table({"doc_id": part.column("doc_id"), "train": part.column("train"), "n_tokens": pa.array(np.diff(first)), "n_known": pa.array(sums((counts > 0).astype(np.int64))), "base_score": pa.array(sums(base)), "emission": pa.array(sums(emission)), "classes": pa.array([own[a:b] for a, b in zip(first, first[1:], strict=False)], pa.binary())}))
-        return pa.concat_tables(parts) if parts else pa.table({f: pa.array([], t) for f, t in (("doc_id", pa.int64()), ("train", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("emission", pa.float64()), ("classes", pa.binary()))})
+        emission = np.where(counts > 0, np.log10(np.maximum(counts, 1) / np.maximum(totals[of], 1)), 0.0)
+        first = np.append(0, np.cumsum(group.count))
+        sums = lambda x: np.add.reduceat(x[group.tokens], first[:-1])
+        own = of[group.tokens].astype(np.uint8).tobytes()
+        return pa.table({"doc_id": group.doc_id, "train": group.train, "n_tokens": pa.array(group.count), "n_known": pa.array(sums((counts > 0).astype(np.int64))), "base_score": pa.array(sums(base)), "emission": pa.array(sums(emission)), "classes": pa.array([own[a:b] for a, b in zip(first, first[1:], strict=False)], pa.binary())})
 
-    return texts.groupBy("grp").cogroup(lists.filter("grp >= 0").groupBy("grp")).applyInArrow(code, schema)
+    return per_group(classes, folder, parts, code, schema)
 
 
 def steps(batch: pa.RecordBatch, width: int, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -359,17 +417,15 @@ def scored(docs: DataFrame, held_out: Column, lm: ClassLm = ClassLm(), id_col: s
     empty table gives an empty result. Other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (~F.coalesce(held_out, F.lit(False))).alias("train"), F.col(text_col).alias("text"))
-    texts = written(staged(rows, lm), "staged")
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(max(64, size >> 24))
-    n, v, once, top = vocabulary(counted(texts, parts), lm)
+    folder = fresh_dir(docs.sparkSession, "groups")
+    asked = written(staged(rows, folder, parts, lm), "words")
+    n, v, once, top = vocabulary(asked.select("part", "words", "counts"), lm)
     top = np.sort(top)
-    classes, table = exchange(bigrams(texts, top), lm)
-    lists = written(entries(voted(texts, top, classes, table, parts, lm), top, classes, lm), "words")
-    totals = np.zeros(lm.unknown + 1, np.int64)
-    for r in lists.filter("grp < 0").select(F.posexplode("counts")).groupBy("pos").agg(F.sum("col").alias("n")).collect():  # one row for each class
-        totals[r[0]] = r[1]
-    codes = written(coded(texts, lists, totals, n, v), "coded")
+    first, pairs = exchange(bigrams(asked.select("grp").distinct().repartition(parts), folder, top), lm)
+    classes, table = classed(asked, folder, top, first, pairs, parts, lm)
+    codes = written(coded(classes, folder, table.sum(0), n, v, parts), "coded")
     chance = transitions(codes, n, once, lm)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

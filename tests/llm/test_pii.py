@@ -150,3 +150,17 @@ def test_query_is_native(spark, sf_dir, name):
     assert "Arrow" not in plan
     assert "Exchange" not in plan
     assert df.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+
+
+def test_values_beside_other_digits_and_capitals(spark):
+    c, i = "4111 1111 1111 1111", "PL61109010140000071219812874"
+    forms = ["card {} 12/25", "order 12 {}", "{} 123", "7 7 3 1 5 6 2 9 {}", "{}", "9 {} 5500 0000 0000 0004"]
+    got = [t for t, _ in masked(spark, *(f.format(c) for f in forms), "order 12 4111111111111111 123", f"{i} EUR", f"AB12 {i}", "12 123-45-6789 55555")]
+    want = [f.format(card(c)) for f in forms]
+    want[-1] = want[-1].replace("5500 0000 0000 0004", card("5500 0000 0000 0004"))
+    assert got[:6] == want
+    assert got[6] == f"order 12 {card('4111111111111111')} 123"
+    alone = masked(spark, i)[0][0]
+    assert alone != i
+    assert got[7:9] == [f"{alone} EUR", f"AB12 {alone}"]
+    assert got[9] == f"12 {masked(spark, '123-45-6789')[0][0]} 55555"

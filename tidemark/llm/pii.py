@@ -182,27 +182,55 @@ MAKERS = {"email": email, "iban": iban, "ipv4": ipv4, "date": date, "ssn": ssn,
 
 
 def pseudonym(value: Column, key: str) -> Column:
-    """The pseudonym of one found value; the value itself where its check fails (a number without a valid check digit, no date)."""
-    cases = [(value.rlike(f"^(?:{p})$"), MAKERS[k](value, key)) for k, p in KINDS.items()]
-    return F.coalesce(reduce(lambda c, x: c.when(*x), cases[1:], F.when(*cases[0])), value)
+    """length and text (the pseudonym) of the longest start of a candidate that is a valid value; null where none is (a number without a valid check digit, no date).
+
+    Only cards and IBANs have shorter windows: those that end where no digit or letter follows.
+    """
+
+    def windows(kind: str) -> Column:
+        if kind == "card":
+            return F.array(*(F.regexp_extract(value, rf"^[0-9](?:[ -]?[0-9]){{{n - 1}}}(?![0-9])", 0) for n in range(19, 12, -1)))
+        if kind == "iban":
+            return F.array(*(F.regexp_extract(value, rf"^[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n}}}{tail}(?![A-Za-z0-9])", 0) for n in range(7, 1, -1) for tail in ("(?: ?[A-Z0-9]{1,3})", "")))
+        return F.array(value)
+
+    def first(kind: str) -> Column:
+        made = F.transform(F.filter(windows(kind), lambda w: w != ""), lambda w: F.struct(F.length(w).alias("length"), MAKERS[kind](w, key).alias("text")))
+        return F.get(F.filter(made, lambda m: m["text"].isNotNull()), F.lit(0))
+
+    cases = [(value.rlike(f"^(?:{p})$"), first(k)) for k, p in KINDS.items()]
+    return reduce(lambda c, x: c.when(*x), cases[1:], F.when(*cases[0]))
 
 
 def pseudonymised(docs: DataFrame, key: str, text_col: str = "text", count_col: str | None = None) -> DataFrame:
     """``docs`` with every valid value in ``text_col`` replaced; rows and other columns stay. No shuffle.
 
+    Candidates are tried at every start, from left to right: where one has a valid value, it is replaced, and the search
+    goes on after it; else it goes on at the next start, inside the candidate too.
+
     ``count_col`` adds how many values were replaced. A null text stays null with count 0, an empty one empty. Repeated
     rows get equal results. ``n_chars`` needs no update: pseudonyms are as long as values, except IPv4 addresses and
     dates written without leading zeros.
     """
     text = F.col(text_col)
-    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    between = F.split(text, ANY, -1)
-    swapped = F.transform(found, lambda v: pseudonym(v, key))
-    # transform over one array of a struct, so that matches and their pseudonyms are computed once for both columns
-    made = F.when(text.rlike("[0-9@]"), F.transform(F.array(F.struct(found.alias("f"), swapped.alias("s"), between.alias("b"))), lambda x: F.struct(
-        F.array_join(F.zip_with(x["b"], F.concat(x["s"], F.array(F.lit(""))), lambda p, q: F.concat(p, q)), "").alias("text"),
-        F.size(F.filter(F.zip_with(x["f"], x["s"], lambda p, q: p != q), lambda c: c)).alias("n"),
-    ))[0])
+    led = F.concat(F.lit("\n"), text)  # a split has no piece before a match at the very start
+    pieces, found = F.split(led, f"(?={ANY})", -1), F.regexp_extract_all(led, F.lit(f"(?=({ANY}))"), F.lit(1))
+    start = lambda x: F.struct(F.get(x["p"], F.lit(0)).alias("out"), F.lit(0).alias("skip"), F.lit(0).alias("n"))
+
+    def step(s: Column, x: Column) -> Column:
+        piece, free, m = x["piece"], s["skip"] == 0, x["m"]
+        hit = free & m.isNotNull()
+        over = F.when(hit, m["length"]).otherwise(s["skip"])  # how much of the text from here on is replaced
+        rest = piece.substr(over + 1, F.length(piece))
+        return F.struct(
+            F.concat(s["out"], F.when(hit, m["text"]).otherwise(""), rest).alias("out"), F.greatest(over - F.length(piece), F.lit(0)).alias("skip"),
+            F.when(hit & (m["text"] != x["value"].substr(F.lit(1), m["length"])), s["n"] + 1).otherwise(s["n"]).alias("n"),
+        )
+
+    # transform over one array of a struct, so that pieces and pseudonyms are computed once for both columns
+    tried = lambda x: F.zip_with(F.slice(x["p"], F.lit(2), F.size(x["f"])), x["f"], lambda p, v: F.struct(p.alias("piece"), v.alias("value"), pseudonym(v, key).alias("m")))
+    walked = F.transform(F.array(F.struct(pieces.alias("p"), found.alias("f"))), lambda x: F.aggregate(tried(x), start(x), step))
+    made = F.when(text.rlike("[0-9@]"), F.transform(walked, lambda s: F.struct(s["out"].substr(F.lit(2), F.length(s["out"])).alias("text"), s["n"].alias("n")))[0])
     out = docs.withColumn("_made", made).withColumn(text_col, F.coalesce(F.col("_made.text"), text))
     if count_col:
         out = out.withColumn(count_col, F.coalesce(F.col("_made.n"), F.lit(0)))

@@ -99,3 +99,10 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (95, 100), (7, 7), (None, 3)]
     got = {r.id: r.component for r in connected_components(spark.createDataFrame(edges, "src long, dst long")).collect()}
     assert got == {**dict.fromkeys(range(41), 0), 90: 90, 95: 90, 100: 90}
+
+
+def test_deduplicated_keeps_one_of_equal_rows(spark):
+    a, b = "one two three four five six", "other words that are not like those"
+    rows = [(1, a), (1, a), (1, b), (2, b), (None, a), (None, a), (None, b), (None, None), (None, None)]
+    kept = jaccard_join.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(1, a), (1, b), (None, a), (None, b), (None, None), (None, None)], key=str)

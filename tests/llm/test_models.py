@@ -244,3 +244,23 @@ def test_words_among_rare_words_get_classes(spark):
     score = {r.doc_id: r.score for r in class_lm.scored(docs, F.col("doc_id") >= 5000, class_lm.ClassLm(classes=8, frequent=8)).collect()}
     assert score[5000] > score[5001] + 1
     assert score[5002] > score[5003] + 1
+
+
+def test_mixed_documents_tell_rows_with_equal_ids_apart(spark):
+    rng = random.Random(9)
+    docs = [(rng.choice([None, 1, 2]), " ".join(f"d{i}w{k}" for k in range(rng.choice([2, 30, 120]))), rng.choice(["a", "b"])) for i in range(60)]
+    mix = Mix(block_words=7, shard_slots=64)
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(3)
+    report = mixing.mix_report(df, mix).groupBy("doc_id").agg(F.sum("taken").alias("n"), F.count_if(F.col("taken") > 0).alias("rows")).collect()
+    got = mixing.mixed_documents(df, mix).collect()
+    assert {r.doc_id: r.rows for r in report} == Counter(r.doc_id for r in got)
+    by_text = {t: i for i, t, _ in docs}
+    words_of = {w: t for t in by_text for w in t.split()}
+    taken = Counter()
+    for r in got:
+        own = {words_of[w] for w in r.text.split()}
+        assert len(own) == 1
+        assert by_text[own.pop()] == r.doc_id
+        assert max(Counter(r.text.split()).values()) <= 3
+        taken[r.doc_id] += len(r.text.split())
+    assert sum(taken.values()) == sum(r.n for r in report)

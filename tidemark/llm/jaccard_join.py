@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.llm.components import connected_components
 from tidemark.llm.shared import utf8_slices, written
@@ -260,6 +261,25 @@ def jaccard_components(docs: DataFrame, join: Join = Join(), id_col: str = "doc_
 
 
 def deduplicated(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without those that a document with a smaller id in the same component stands for. Rows with a null id stay."""
-    away = jaccard_components(docs, join, id_col, text_col).filter("doc_id > component_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(away, F.col(id_col) == F.col("_gone"), "left_anti")
+    """``docs`` without those that a document with a smaller id in the same component stands for.
+
+    Of rows with equal ids (or null ids) and equal sets of shingles one stays, whichever it is; those without a shingle all
+    stay. A column "_set" of ``docs`` is not allowed.
+    """
+    found = jaccard_components(docs, join, id_col, text_col)
+    away = found.filter("doc_id > component_id").select(F.col("doc_id").alias("_gone"))
+    left = docs.join(away, F.col(id_col) == F.col("_gone"), "left_anti")
+    again = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias("_again"))
+    once = left.filter(F.col(id_col).isNotNull()).join(again, F.col(id_col) == F.col("_again"), "left_anti")
+    twice = left.filter(F.col(id_col).isNull()).unionByName(left.join(again, F.col(id_col) == F.col("_again"), "left_semi"))
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in utf8_slices(batch, text_col):
+                values, first, _ = shingle_sets(texts, join.width)
+                sets = [set_id(values[a:b]) if b > a else None for a, b in zip(first, first[1:], strict=False)]
+                yield part.append_column("_set", pa.array(sets, pa.int64()))
+
+    known = twice.mapInArrow(describe, StructType([*twice.schema.fields, StructField("_set", LongType())]))
+    alike = known.filter("_set IS NOT NULL").dropDuplicates([id_col, "_set"]).unionByName(known.filter("_set IS NULL"))
+    return once.unionByName(alike.drop("_set"))

@@ -45,10 +45,10 @@ class Mix:
         return out
 
 
-def sized(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def sized(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *keep: str) -> DataFrame:
     size = F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long")
     bucket = (F.pmod(F.coalesce(F.col(id_col), F.lit(-1)), F.lit(PRIME)) * 48271 + mix.seed) % PRIME % mix.buckets
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), bucket.alias("bucket"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), bucket.alias("bucket"), *keep)
 
 
 def targets(sizes: DataFrame, mix: Mix) -> DataFrame:
@@ -116,20 +116,21 @@ def drawn_spans(sizes: DataFrame, sources: DataFrame, mix: Mix) -> DataFrame:
     """A row per document and block it has words in: doc_id, sid, row (tells equal ids apart), size, start (in words of the document), words, passes (0: not taken).
 
     An empty document has one row with 0 words. Offsets within a source are prefix sums over hashed buckets of documents,
-    so a hot source is many windows.
+    so a hot source is many windows. A column "_row" of ``sizes`` stays.
     """
+    own = [c for c in sizes.columns if c == "_row"]
     keyed = sizes.join(sources.select("sid", F.col("source").alias("_s")), F.col("source").eqNullSafe(F.col("_s"))).drop("_s", "source")
     totals = keyed.groupBy("sid", "bucket").agg(F.sum("size").alias("n"))
     totals = totals.withColumn("base", F.sum("n").over(Window.partitionBy("sid").orderBy("bucket")) - F.col("n")).drop("n")
-    order = Window.partitionBy("sid", "bucket").orderBy(F.col("doc_id").asc_nulls_first(), "size")
+    order = Window.partitionBy("sid", "bucket").orderBy(F.col("doc_id").asc_nulls_first(), "size", *own)
     placed = keyed.withColumn("row", F.row_number().over(order)).withColumn("at", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     placed = placed.join(totals, ["sid", "bucket"]).withColumn("at", F.col("at") + F.col("base"))
     b = mix.block_words
     numbers = F.when(F.col("size") > 0, F.sequence(F.floor(F.col("at") / b), F.floor((F.col("at") + F.col("size") - 1) / b)))
-    spread = placed.select("doc_id", "sid", "bucket", "row", "size", "at", F.explode_outer(numbers).alias("block"))
+    spread = placed.select("doc_id", "sid", "bucket", "row", *own, "size", "at", F.explode_outer(numbers).alias("block"))
     start = F.greatest(F.col("block") * b - F.col("at"), F.lit(0))
     end = F.least((F.col("block") + 1) * b - F.col("at"), F.col("size"))
-    spread = spread.select("doc_id", "sid", "bucket", "row", "size", "block", F.coalesce(start, F.lit(0)).alias("start"), F.coalesce(end - start, F.lit(0)).alias("words"))
+    spread = spread.select("doc_id", "sid", "bucket", "row", *own, "size", "block", F.coalesce(start, F.lit(0)).alias("start"), F.coalesce(end - start, F.lit(0)).alias("words"))
     return spread.join(draws(sources, mix), ["sid", "block"], "left").withColumn("passes", F.coalesce("passes", F.lit(0)))
 
 
@@ -150,12 +151,14 @@ def mixed_documents(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", t
     """The documents that the mix takes, with the words it takes: for each pass the document's taken stretches in its own order.
 
     Passes are separated by a newline; stretches keep the white space between their words. Rows of which nothing is taken
-    go. ``id_col`` must be unique here; columns stay as they are, n_chars (if there) is that of the new text.
+    go. Rows with equal or null ids each have their own words; columns stay as they are, n_chars (if there) is that of the
+    new text. A column "_row" of ``docs`` is not allowed.
     """
-    sizes = written(sized(docs, mix, id_col, text_col, source_col), "sizes")
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")  # written once, so that a row keeps its number
+    sizes = written(sized(rows, mix, id_col, text_col, source_col, "_row"), "sizes")
     sources = written(targets(sizes, mix), "sources")
     spans = drawn_spans(sizes, sources, mix).filter("passes > 0 AND words > 0")
-    lists = spans.groupBy(F.col("doc_id").alias("_id")).agg(F.array_sort(F.collect_list(F.struct("start", "words", "passes"))).alias("_spans"))
+    lists = spans.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "words", "passes"))).alias("_spans"))
     pieces = F.regexp_extract_all(text_col, F.lit(rf"{WORD}[\x20\x09-\x0D]*"), F.lit(0))
 
     def one(x: Column, number: Column) -> Column:
@@ -167,7 +170,7 @@ def mixed_documents(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", t
 
     # transform over one array of a struct, so that a text is split into words once and not for each of its stretches
     text = F.transform(F.array(F.struct(pieces.alias("words"), F.col("_spans").alias("spans"))), joined)[0]
-    out = docs.join(lists, F.col(id_col).eqNullSafe(F.col("_id"))).withColumn(text_col, text)
+    out = rows.join(lists, "_row").withColumn(text_col, text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text_col).cast("long"))
     return out.select(*docs.columns)

@@ -2,7 +2,8 @@
 
 Both vocabularies split a text before merging, and no part of that split crosses from a non-space to a following space.
 So a text's ids are those of its pieces in turn, and a piece seen before needs no second encoding. A piece of Latin
-letters is one part for the library's BPE model; any other goes through the whole tokenizer.
+letters is one part for the library's BPE model; any other goes through the whole tokenizer. So do whole texts in which
+the string of a special token stands (the library gives that its one id), and white space of several characters.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ import numpy as np
 SPACES = "\t-\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 SPACED = re.compile(f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
-CACHE_PIECES, CACHE_PIECE_CHARS = 600_000, 40
+AFTER_NEWLINE = re.compile(f"\n[{SPACES}]")
+CACHE_PIECES, CACHE_PIECE_CHARS = 120_000, 40  # pieces in each of two generations
 
 
 def visible_bytes() -> dict[int, str]:
@@ -38,8 +40,9 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [x.content for x in self.whole.get_added_tokens_decoder().values()]
         self.model = self.whole.model
+        self.older: dict[str, bytes] = {}
         self.keeps_spaces = keeps_spaces
         self.shown = visible_bytes()
         self.newline, self.marks = self.encoded("\n"), {x: self.encoded(x) for x in ("", ".", ",")}
@@ -65,6 +68,9 @@ class Encoder(dict):
 
     def __missing__(self, piece: str) -> bytes:
         """The ids of a piece; where spaces are kept, of it after a space, or of what follows its newline."""
+        if (ids := self.older.get(piece)) is not None:
+            self[piece] = ids
+            return ids
         if found := LETTERS.fullmatch(piece):
             word, mark = found.groups()
             ids = (self.get_seen(word) if mark else None) or self.merged(" " + word if self.keeps_spaces else word)
@@ -85,11 +91,14 @@ class Encoder(dict):
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if any(x in text for x in self.added):
+            return self.encoded(text)
         if len(self) > CACHE_PIECES:
+            self.older = dict(self)
             self.clear()
         if not self.keeps_spaces:
             return b"".join(map(self.__getitem__, filter(None, text.replace("\n", " ").split(" "))))
         pieces = text.replace("\n", " \n").split(" ")
-        if "" in pieces or "\n" in pieces:  # white space of more than one character, or at an end
+        if "" in pieces or "\n" in pieces or AFTER_NEWLINE.search(text):  # white space of more than one character, or at an end
             return b"".join([self[x[1:]] if x[0] == " " and len(x) > 1 and not x[1:].isspace() else self.encoded(x) for x in SPACED.findall(text)])
         return self.encoded(pieces[0]) + b"".join(map(self.__getitem__, pieces[1:]))

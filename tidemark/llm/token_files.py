@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import local_path, open_fs, publish
 from tidemark.llm.tokens import Encoder
 
-SHARDS = "shard int, path string, n_docs long, n_tokens long"
+SHARDS = "shard long, path string, n_docs long, n_tokens long"
 
 
 @dataclass(frozen=True)
@@ -40,8 +40,8 @@ def write_shards(docs: DataFrame, folder: str, form: TokenFormat, id_col: str =
     """Encode every text (null: empty), append ``end_id``, write shards in ascending ``id_col`` order; one row per shard.
 
     Rows without an id sort first and are stored as id -1. Equal ids keep every row, in any order. An empty table gives
-    no shard. Other columns are ignored. A shard's name has its partition and part, so a task that runs again replaces
-    its own files and nothing else.
+    no shard. Other columns are ignored. A shard's name has its partition, part and task attempt, so a task that runs
+    again, or twice at once, leaves the files of the other attempt as they are; the table of shards has those that count.
     """
     ordered = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("doc"), F.col(text_col).alias("text"))
     ordered = ordered.repartitionByRange("doc").sortWithinPartitions("doc")
@@ -49,15 +49,15 @@ def write_shards(docs: DataFrame, folder: str, form: TokenFormat, id_col: str =
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, encoder = TaskContext.get().partitionId(), Encoder.get(form.tokenizer, form.keeps_spaces)
+        part, attempt, encoder = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId(), Encoder.get(form.tokenizer, form.keeps_spaces)
         end, cut, held, docs_in, lengths, total = np.array([form.end_id], "<u4").tobytes(), 0, [], [], [], 0
 
         def flush() -> pa.RecordBatch:
-            path = f"{folder}/shard-{part:06d}-{cut:04d}"
+            path = f"{folder}/shard-{part:06d}-{cut:04d}-{attempt}"
             publish(f"{path}.bin", b"".join(held))
             publish(f"{path}.idx", np.concatenate([[0], np.cumsum(lengths)]).astype("<i8").tobytes())
             publish(f"{path}.doc", np.array(docs_in, "<i8").tobytes())
-            return pa.RecordBatch.from_pydict({"shard": pa.array([part * 10_000 + cut], pa.int32()), "path": [path], "n_docs": [len(docs_in)], "n_tokens": [total]})
+            return pa.RecordBatch.from_pydict({"shard": pa.array([(part << 32) + cut]), "path": [path], "n_docs": [len(docs_in)], "n_tokens": [total]})
 
         for batch in batches:
             for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text"), strict=True):

@@ -59,10 +59,10 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", paylo
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, cut, held, size = TaskContext.get().partitionId(), 0, [], 0
+        part, attempt, cut, held, size = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId(), 0, [], 0
 
         def flush() -> pa.RecordBatch:
-            path = f"{folder}/part-{part:06d}-{cut:04d}.warc.gz"
+            path = f"{folder}/part-{part:06d}-{cut:04d}-{attempt}.warc.gz"
             publish(path, b"".join(held))
             return pa.RecordBatch.from_pydict({"path": [path], "bytes": [size]})
 

@@ -18,10 +18,14 @@ ORACLE_SQL = None
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach; those without text or a letter go."""
+    """Documents in a language that the labelled ones teach; those without text or a letter go, all where no language is labelled.
+
+    Null ids, repeated rows and other columns stay as they are; an empty table stays empty.
+    """
     model = language_crf.train(docs)
     others = tuple(c for c in docs.columns if c != "doc_id")
-    return language_crf.predict(docs, model, keep=others).filter(F.col("lang_pred") != "und").select(*docs.columns)
+    found = language_crf.predict(docs, model, keep=others, names=("_lang_pred", "_lang_score"))
+    return found.filter(F.col("_lang_pred") != "und").select(*docs.columns)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

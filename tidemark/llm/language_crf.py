@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import utf8_slices
+from tidemark.llm.shared import bound_batches, utf8_slices
 from tidemark.llm.textbytes import Words, mix
 
 LETTER = np.zeros(256, bool)  # bytes of letters: a-z, and all of other scripts
@@ -35,6 +35,7 @@ class Crf:
     batch: int = 64
     rate: float = 0.3
     seed: int = 11
+    slice_bytes: int = 1 << 20  # of text that a task works on at once
 
 
 @dataclass
@@ -188,19 +189,25 @@ def train(docs: DataFrame, crf: Crf = Crf(), id_col: str = "doc_id", text_col: s
     return fit([r[1] for r in rows], [r[2] for r in rows], crf)
 
 
-def predict(docs: DataFrame, model: Model, crf: Crf = Crf(), id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id (and the columns ``keep``), lang_pred and score for every row.
+def predict(docs: DataFrame, model: Model, crf: Crf = Crf(), id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """doc_id (and the columns ``keep``), lang_pred and score (or as ``names`` calls them) for every row.
 
     A null text, one without a letter, and any text where no language was learned have lang_pred ``und`` and score 0.
-    Equal texts have equal results. An empty table gives an empty result.
+    Equal texts have equal results; repeated rows stay. Of two languages that score alike the first by code point is taken.
+    An empty table gives an empty result. A kept column called as in ``names`` is an error. Texts are worked on in slices
+    of ``crf.slice_bytes``, or alone where they are longer; working memory is about 150 bytes for each byte of a slice.
     """
     columns = [id_col, *keep]
+    if clash := set(names) & set(columns):
+        raise ValueError(f"columns kept and made are both called {sorted(clash)}")
+    sent = columns if text_col in columns else [*columns, text_col]
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 4 bytes for each hashed feature and language
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, emit, turn = np.array([*shared.value.langs, "und"], object), shared.value.emit, shared.value.turn
         for batch in batches:
-            for part, texts in utf8_slices(batch, "_text"):
+            for part, texts in utf8_slices(batch, text_col, crf.slice_bytes):
                 lang, score = np.full(len(texts), len(langs) - 1), np.zeros(len(texts))
                 lines = Lines(texts, crf.bits)
                 if len(langs) > 1 and len(lines.word):
@@ -215,7 +222,7 @@ def predict(docs: DataFrame, model: Model, crf: Crf = Crf(), id_col: str = "doc_
                     raw = texts[int(i)].as_py()
                     if not any(97 <= c < 123 or 65 <= c < 91 for c in raw[:4096]) and not any(c.isalpha() for c in raw.decode("utf-8", "replace")):
                         lang[i], score[i] = len(langs) - 1, 0
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), pa.array(langs[lang].tolist(), pa.string()), pa.array(score)], names=[*columns, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), pa.array(langs[lang].tolist(), pa.string()), pa.array(score)], names=[*columns, *names])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    return docs.select(*columns, F.col(text_col).alias("_text")).mapInArrow(label, f"{fields}, lang_pred string, score double")
+    return docs.select(*sent).mapInArrow(label, f"{fields}, `{names[0]}` string, `{names[1]}` double")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import written
+from tidemark.llm.shared import bound_batches, written
 from tidemark.llm.tokens import Encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -47,6 +47,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, keeps
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), *[pa.int64()] * 3), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
+    bound_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(cut, PIECES)
 
 

@@ -12,16 +12,21 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 
+DEFAULT_BATCH = "67108864b"  # fixed value: Spark's default for spark.sql.execution.arrow.maxBytesPerBatch
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Where it is unset, a temporary one, in local mode only."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = spark.sparkContext.getCheckpointDir()
         if not found:
+            if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
             found = tempfile.mkdtemp(prefix="tidemark-")
             spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -33,11 +38,19 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts lineage and survives lost executors."""
+    bound_batches(df.sparkSession)
     path = fresh_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Lets Spark cut the Arrow batches that go to Python by bytes, not by rows alone, unless the session's own bound is lower."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == DEFAULT_BATCH:
+        spark.conf.set(name, size)
+
+
 def open_fs(uri: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a URI or a plain local path; works on executors."""
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")

@@ -9,6 +9,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -171,7 +172,7 @@ def test_scores(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     extra = spark.createDataFrame([(9001, None), (9002, ""), (None, "the of"), (9003, "unseenword " * 20_000), (9003, "the")], "doc_id long, text string")
     docs = docs.unionByName(extra).withColumn("train", F.lit("clash")).withColumn("grp", F.lit(0)).repartition(3)
-    lm = class_lm.ClassLm(classes=8, frequent=100, group_bytes=20_000)
+    lm = class_lm.ClassLm(classes=8, group_bytes=20_000, slice_groups=3)
     held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
     rows = class_lm.scored(docs, held, lm).collect()
     plain = [(r.doc_id, words(r.text)) for r in docs.collect()]
@@ -187,23 +188,69 @@ def test_scores(spark, sf_dir):
     assert sum(r.score for r in held_rows) > sum(r.base_score for r in held_rows)
 
 
-def test_exchange_finds_classes_and_counts():
-    rng = np.random.default_rng(6)
-    # words 0-9 are followed by 10-19 and the other way round
-    pairs = np.zeros((22, 22), np.int64)
-    for a in range(20):
-        for b in range(10, 20) if a < 10 else range(10):
-            pairs[a, b] = rng.integers(5, 30)
-    lm = class_lm.ClassLm(classes=2, frequent=20)
-    of, table = class_lm.exchange(pairs, lm)
-    assert len(set(of[:10])) == len(set(of[10:])) == 1
-    assert of[0] != of[10]
-    full = np.append(of, [2, 3])
-    want = np.zeros((4, 4))
-    for a in range(22):
-        for b in range(22):
-            want[full[a], full[b]] += pairs[a, b]
-    assert np.allclose(table, want)
+def plain_class_scores(docs, lm):
+    """The model's log10 probability of each of (id, tokens, learned from), by the definition of the sweeps."""
+    hashed = {w: int(h) for w in {w for _, ws, _ in docs for w in ws} - {"\n"} for h in class_lm.tokens(pa.array([w.encode()], pa.large_binary()))[0][:1]}
+    learned = [ws for _, ws, train in docs if train]
+    count = Counter(w for ws in learned for w in ws)
+    top = sorted(sorted((w for w in count if w != "\n"), key=lambda w: (-count[w], hashed[w]))[: lm.classes], key=lambda w: hashed[w])
+    of = {w: lm.end if w == "\n" else top.index(w) if w in top else lm.unknown for _, ws, _ in docs for w in ws}
+    width, pairs = lm.classes + 2, [p for ws in learned for p in zip(["\n", *ws], ws)]
+
+    def bigrams(of):
+        table = np.zeros((width, width))
+        for a, b in pairs:
+            table[of[a], of[b]] += 1
+        return table
+
+    def fit_of(table):
+        cell = lambda x: sum(n * math.log(n) for n in x.ravel() if n > 0)
+        return cell(table) - cell(table.sum(0)) - cell(table.sum(1))
+
+    table, best = bigrams(of), None
+    for _ in range(lm.sweeps):
+        smooth = table + 0.5
+        gain = {w: np.zeros(lm.classes) for w in count if w != "\n"}
+        for a, b in pairs:
+            for c in range(lm.classes):
+                if b != "\n":
+                    gain[b][c] += round(1024 * math.log(smooth[of[a], c] / smooth[:, c].sum()))
+                if a != "\n":
+                    gain[a][c] += round(1024 * math.log(smooth[c, of[b]] / smooth[c].sum()))
+        new = {w: k if w == "\n" else int(gain[w].argmax()) if w in gain else lm.unknown for w, k in of.items()}
+        found = bigrams(new)
+        if best is not None and fit_of(found) <= best:
+            break
+        of, table, best = new, found, fit_of(found)
+    n, once = sum(count.values()), sum(c == 1 for c in count.values())
+    share = table.sum(0) + 1e-3
+    share = share / share.sum()
+    share[lm.unknown] = 0
+    share = share / share.sum()
+    fresh = (once + 0.5) / (n + 1)
+
+    def step(a, b):
+        if of[b] == lm.unknown:
+            return math.log10(fresh)
+        chance = (table[of[a], of[b]] + lm.prior * share[of[b]]) / (table[of[a]].sum() + lm.prior) * (1 - fresh)
+        return math.log10(chance) + math.log10(count[b] / table[:, of[b]].sum())
+
+    return {i: sum(step(a, b) for a, b in zip(["\n", *ws], ws)) for i, ws, _ in docs}
+
+
+@pytest.mark.parametrize("lm", [class_lm.ClassLm(classes=5), class_lm.ClassLm(classes=9, sweeps=2, group_bytes=600, slice_groups=2)])
+def test_scores_against_the_definition(spark, lm):
+    rng = random.Random(12)
+    kinds = [[f"{k}{i}" for i in range(n)] for k, n in (("a", 4), ("b", 30), ("c", 60))]
+    docs = []
+    for i in range(150):
+        text = " ".join(rng.choice(kinds[(j + rng.randrange(2)) % 3]) for j in range(rng.choice([0, 1, 5, 25])))
+        docs.append((i, None if i == 7 else text.upper() if i % 5 == 0 else text))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.score for r in class_lm.scored(df, F.col("doc_id") % 6 == 2, lm).collect()}
+    want = plain_class_scores([(i, words(t), i % 6 != 2) for i, t in docs], lm)
+    assert got.keys() == want.keys()
+    assert all(abs(got[i] - want[i]) <= 1e-6 * abs(want[i]) for i in want)
 
 
 def test_transitions_sum_to_one(spark):
@@ -225,7 +272,7 @@ def test_scores_with_nothing_to_learn(spark):
 def test_classes_do_not_depend_on_groups(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
-    rows = [{r.doc_id: r.score for r in class_lm.scored(docs.repartition(n), held, class_lm.ClassLm(classes=8, frequent=50, group_bytes=size)).collect()} for n, size in ((1, 4 << 20), (4, 3_000))]
+    rows = [{r.doc_id: r.score for r in class_lm.scored(docs.repartition(n), held, class_lm.ClassLm(classes=8, group_bytes=size)).collect()} for n, size in ((1, 4 << 20), (4, 3_000))]
     assert rows[0].keys() == rows[1].keys()
     assert all(abs(rows[0][i] - rows[1][i]) <= 1e-6 * abs(rows[0][i]) for i in rows[0])
 
@@ -241,7 +288,7 @@ def test_words_among_rare_words_get_classes(spark):
         texts.append(" ".join(["the", *inner, "of"] if a == "a" else ["of", *inner, "the"]))
     odd = [(5000, "the a1 x1 p1 of"), (5001, "the a1 y1 p1 of"), (5002, "of b1 y1 q1 the"), (5003, "of b1 x1 q1 the")]
     docs = spark.createDataFrame([*enumerate(texts), *odd], "doc_id long, text string")
-    score = {r.doc_id: r.score for r in class_lm.scored(docs, F.col("doc_id") >= 5000, class_lm.ClassLm(classes=8, frequent=8)).collect()}
+    score = {r.doc_id: r.score for r in class_lm.scored(docs, F.col("doc_id") >= 5000, class_lm.ClassLm(classes=8)).collect()}
     assert score[5000] > score[5001] + 1
     assert score[5002] > score[5003] + 1
 

@@ -1,11 +1,10 @@
 """Language-model scores of texts by Brown class-based bigrams: P(class | class before) * P(word | class).
 
-Words are counted over all training texts. Exchange clustering starts with the ``frequent`` most frequent words: sweeps
-move one word at a time to the class that most raises the likelihood of the class bigrams, from their bigram counts over
-the whole corpus (at most ``frequent`` squared). Distributed sweeps go on from there over all words: each word's neighbours
-are counted by class over the whole corpus, and it moves to the class that suits all of them best. The first gives the
-words outside ``frequent`` their classes; each later one counts neighbours by the classes of the one before, and stands
-only if it raises the likelihood. Counts are whole numbers, so no class depends on how the texts are grouped.
+Exchange clustering is a number of distributed sweeps over all words of the training texts. As many of the most frequent
+words as there are classes start with a class each, the others with none. In a sweep the neighbours of every word are
+counted by class over the whole corpus, and each word moves to the class that, to first order, raises the likelihood of
+the class bigrams most; all move at once. The first sweep always stands, each later one only if it raises the
+likelihood. Counts are whole numbers, so no class depends on how the texts are grouped.
 
 Texts are staged in groups of about ``group_bytes``, each a file with its distinct words and its tokens as places among
 them. Word tables are never gathered: they are dealt by hash into parts, and each group gets the classes of its own words
@@ -23,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import fresh_dir, open_fs, publish, utf8_slices, written
+from tidemark.llm.shared import discard, fresh_dir, open_fs, publish, utf8_slices, written
 from tidemark.llm.textbytes import Words
 
 END_WORD = np.int64(0x0E4D)  # the hash that stands for a text's end
@@ -32,11 +31,10 @@ END_WORD = np.int64(0x0E4D)  # the hash that stands for a text's end
 @dataclass(frozen=True)
 class ClassLm:
     classes: int = 32
-    frequent: int = 1000
-    sweeps: int = 6
-    wide_sweeps: int = 3  # over all words; the first gives classes to those outside ``frequent``
+    sweeps: int = 4
     prior: float = 20.0  # tokens that the classes' overall shares weigh in a class's transitions
-    group_bytes: int = 4 << 20
+    group_bytes: int = 8 << 20
+    slice_groups: int = 4096  # groups whose counts are added in one task
 
     @property
     def end(self) -> int:
@@ -141,15 +139,6 @@ def combined(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
     return distinct, np.bincount(at, np.concatenate(counts), len(distinct)).astype(np.int64)
 
 
-def dealt(part: np.ndarray, parts: int, columns: list[np.ndarray]) -> tuple[np.ndarray, list[pa.Array]]:
-    """Columns as lists, one for each part that has any."""
-    order = np.argsort(part, kind="stable")
-    bounds = np.searchsorted(part[order], np.arange(parts + 1))
-    used = np.flatnonzero(np.diff(bounds))
-    offsets = pa.array(np.append(bounds[used], len(part)), pa.int32())
-    return used, [pa.ListArray.from_arrays(offsets, pa.array(c[order])) for c in columns]
-
-
 def part_of(words: np.ndarray, parts: int) -> np.ndarray:
     return ((words.view(np.uint64) >> np.uint64(17)) % np.uint64(parts)).astype(np.int64)
 
@@ -158,106 +147,38 @@ def flat(table: pa.Table, column: str) -> np.ndarray:
     return table.column(column).combine_chunks().flatten().to_numpy()
 
 
-def vocabulary(counts: DataFrame, lm: ClassLm) -> tuple[int, int, int, np.ndarray]:
-    """Tokens, distinct tokens, tokens seen once, and the most frequent words (ties by hash)."""
+def gathered(found: DataFrame, slices: int) -> DataFrame:
+    """Rows of words and their ``columns`` added up within each part and slice of the groups, so that no word, however many groups have it, brings more than one row a slice to what follows."""
+
+    def add(rows: pa.Table) -> pa.Table:
+        words, n = combined([flat(rows, "words")], [flat(rows, "counts")])
+        return pa.table({"part": rows.column("part")[:1], "words": listed(np.array([0, len(words)]), words), "counts": listed(np.array([0, len(n)]), n)})
+
+    return found.groupBy("part", F.pmod("grp", F.lit(slices))).applyInArrow(add, "part int, words array<long>, counts array<long>")
+
+
+def vocabulary(counts: DataFrame, slices: int, lm: ClassLm) -> tuple[int, int, int, np.ndarray]:
+    """Tokens, distinct tokens, tokens seen once, and as many of the most frequent words as there are classes (ties by hash), ascending."""
 
     def add(table: pa.Table) -> pa.Table:
         words, n = combined([flat(table, "words")], [flat(table, "counts")])
         words, n = words[n > 0], n[n > 0]  # the others are only in texts held out
         top = np.lexsort((words, -n))
-        top = top[words[top] != END_WORD][: lm.frequent]
+        top = top[words[top] != END_WORD][: lm.classes]
         return pa.table({"word": pa.array([None, *words[top].tolist()], pa.int64()), "n": pa.array([int(n.sum()), *n[top].tolist()], pa.int64()), "types": pa.array([len(words)] + [None] * len(top), pa.int64()), "once": pa.array([int((n == 1).sum())] + [None] * len(top), pa.int64())})
 
-    found = written(counts.groupBy("part").applyInArrow(add, "word long, n long, types long, once long"), "vocabulary")
+    rows = counts.select("grp", "part", "words", "counts")
+    rows = gathered(rows, slices) if slices > 1 else rows.drop("grp")
+    found = written(rows.groupBy("part").applyInArrow(add, "word long, n long, types long, once long"), "vocabulary")
     total = found.filter("word IS NULL").agg(F.sum("n"), F.sum("types"), F.sum("once")).first()
-    top = found.filter("word IS NOT NULL").orderBy(F.desc("n"), "word").limit(lm.frequent).select("word").collect()  # ``frequent`` rows
-    return *(x or 0 for x in total), np.array([r[0] for r in top], np.int64)
-
-
-def coded_as(words: np.ndarray, top: np.ndarray) -> np.ndarray:
-    """Places in the ascending ``top``; its length for an end, one more for any other word."""
-    at = np.minimum(np.searchsorted(top, words), max(len(top) - 1, 0))
-    found = top[at] == words if len(top) else np.zeros(len(words), bool)
-    return np.where(found, at, np.where(words == END_WORD, len(top), len(top) + 1))
-
-
-def bigrams(groups: DataFrame, folder: str, top: np.ndarray) -> np.ndarray:
-    """Counts of neighbours among the frequent words, ends and the rest, over all training texts."""
-    n = len(top) + 2
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(n * n, np.int64)
-        for batch in batches:
-            for number in batch.column("grp").to_pylist():
-                group = Group.load(f"{folder}/{number:016x}")
-                code = coded_as(group.words, top)[group.tokens][group.learn]
-                table += np.bincount(np.append(n - 2, code[:-1]) * n + code, minlength=n * n) if len(code) else 0
-        keys = np.flatnonzero(table)
-        used, lists = dealt(keys % 64, 64, [keys, table[keys]])
-        if len(used):
-            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *lists], names=["part", "keys", "counts"])
-
-    def add(table: pa.Table) -> pa.Table:
-        keys, counts = combined([flat(table, "keys")], [flat(table, "counts")])
-        return pa.table({"keys": pa.array([keys], pa.list_(pa.int64())), "counts": pa.array([counts], pa.list_(pa.int64()))})
-
-    rows = groups.mapInArrow(count, "part int, keys array<long>, counts array<long>").groupBy("part").applyInArrow(add, "keys array<long>, counts array<long>").toArrow()
-    out = np.zeros(n * n, np.int64)
-    out[flat(rows, "keys")] = flat(rows, "counts")
-    return out.reshape(n, n)
+    top = found.filter("word IS NOT NULL").orderBy(F.desc("n"), "word").limit(lm.classes).select("word").collect()  # a row for each class
+    return *(x or 0 for x in total), np.sort(np.array([r[0] for r in top], np.int64))
 
 
 def xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
 
-def exchange(pairs: np.ndarray, lm: ClassLm) -> tuple[np.ndarray, np.ndarray]:
-    """Classes of the frequent words, and class bigram counts (then ends, then the rest). pairs: as from ``bigrams``, words by place."""
-    n, c = len(pairs) - 2, lm.classes
-    total = pairs.sum(0) + pairs.sum(1)
-    order = np.argsort(-total[:n], kind="stable")
-    of = np.full(n + 2, c + 1)  # the first sweep takes words from the rest, the most frequent first
-    of[order[:c]] = np.arange(min(n, c))
-    of[n] = c
-    table = np.zeros((c + 2, c + 2))
-    np.add.at(table, (of[:, None], of[None, :]), pairs)
-    after, before = np.zeros((n + 2, c + 2)), np.zeros((n + 2, c + 2))  # of each word: counts of the classes after and before it
-    for k in range(c + 2):
-        after[:, k], before[:, k] = pairs[:, of == k].sum(1), pairs[of == k].sum(0)
-    for _ in range(lm.sweeps):
-        moved = 0
-        for w in order:
-            own, self_pairs = of[w], pairs[w, w]
-            right, left = after[w].copy(), before[w].copy()
-            right[own] -= self_pairs
-            left[own] -= self_pairs
-            table[own] -= right
-            table[:, own] -= left
-            table[own, own] -= self_pairs
-            rows, columns = table[:c], table[:, :c].T
-            row_sum, column_sum = table.sum(1)[:c], table.sum(0)[:c]
-            diagonal = np.arange(c)
-            # the change of the sum of n log n over cells, less that over margins, for each class the word may join
-            gain = (xlogx(rows + right) - xlogx(rows)).sum(1) + (xlogx(columns + left) - xlogx(columns)).sum(1)
-            cell = table[diagonal, diagonal]
-            gain -= xlogx(cell + right[:c]) + xlogx(cell + left[:c]) - xlogx(cell) - xlogx(cell + right[:c] + left[:c] + self_pairs)
-            gain -= xlogx(row_sum + right.sum() + self_pairs) - xlogx(row_sum) + xlogx(column_sum + left.sum() + self_pairs) - xlogx(column_sum)
-            best = int(gain.argmax()) if own > c or gain.max() > gain[own] + 1e-9 else int(own)
-            table[best] += right
-            table[:, best] += left
-            table[best, best] += self_pairs
-            if best != own:
-                moved += 1
-                of[w] = best
-                after[:, own] -= pairs[:, w]
-                after[:, best] += pairs[:, w]
-                before[:, own] -= pairs[w]
-                before[:, best] += pairs[w]
-        if not moved:
-            break
-    return of[:n], table
-
-
 def per_group(classes: DataFrame, folder: str, parts: int, function: Callable, schema: str) -> DataFrame:
     """What ``function`` makes of each group, the classes of its words and their counts in the corpus."""
 
@@ -273,16 +194,39 @@ def neighbours(classes: DataFrame, folder: str, parts: int, lm: ClassLm) -> Data
     width = lm.classes + 2
 
     def tally(number: int, group: Group, of: np.ndarray, _: np.ndarray) -> pa.Table:
-        learn, code = group.learn, of[group.tokens]
-        left, right = np.append(lm.end, code[:-1]), np.append(code[1:], lm.end)
+        learn, code, token = group.learn, of[group.tokens].astype(np.int32), group.tokens * np.int32(2 * width)  # a group has fewer than 2**24 words
+        left, right = np.append(np.int32(lm.end), code[:-1]), np.append(code[1:], np.int32(lm.end))
         inner = learn & (code != lm.end)
-        cell, n = np.unique(np.concatenate([group.tokens[learn] * np.int64(2 * width) + left[learn], group.tokens[inner] * np.int64(2 * width) + width + right[inner]]), return_counts=True)
+        cell = np.sort(np.concatenate([token[learn] + left[learn], token[inner] + np.int32(width) + right[inner]]))
+        new = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])[: len(cell)])
+        n, cell = np.diff(np.append(new, len(cell))), cell[new]
         sizes = np.bincount(cell // (2 * width), minlength=len(group.words))
         used, bounds = bounds_of(group.words, parts)
         places = np.append(0, np.cumsum(sizes))[bounds]
-        return pa.table({"grp": pa.array(np.full(len(used), number)), "part": pa.array(used, pa.int32()), "words": listed(bounds, group.words), "sizes": listed(bounds, sizes.astype(np.int32)), "keys": listed(places, (cell % (2 * width)).astype(np.int16)), "counts": listed(places, n.astype(np.int32))})
+        return pa.table({"grp": pa.array(np.full(len(used), number)), "part": pa.array(used, pa.int32()), "words": listed(bounds, group.words), "sizes": listed(bounds, sizes.astype(np.int32)), "keys": listed(places, (cell % (2 * width)).astype(np.int16)), "counts": listed(places, n.astype(np.int64))})
+
+    return per_group(classes, folder, parts, tally, NEIGHBOURS)
+
+
+NEIGHBOURS = "grp long, part int, words array<long>, sizes array<int>, keys array<short>, counts array<long>"
+CLASSES = "grp long, part int, classes array<byte>, counts array<long>"
+
+
+def joined(rows: pa.Table) -> pa.Table:
+    """Neighbours of groups of one slice as one row, whose ``grp`` is the slice."""
+    words, at = np.unique(flat(rows, "words"), return_inverse=True)
+    cells, n = combined([np.repeat(at, flat(rows, "sizes")) * np.int64(1 << 15) + flat(rows, "keys")], [flat(rows, "counts")])
+    whole = lambda x: listed(np.array([0, len(x)]), x)
+    sizes = np.bincount(cells >> 15, minlength=len(words)).astype(np.int32)
+    return pa.table({"grp": rows.column("slice")[:1], "part": rows.column("part")[:1], "words": whole(words), "sizes": whole(sizes), "keys": whole((cells & 0x7FFF).astype(np.int16)), "counts": whole(n)})
 
-    return per_group(classes, folder, parts, tally, "grp long, part int, words array<long>, sizes array<int>, keys array<short>, counts array<int>")
+
+def handed_down(rows: pa.Table, settled: pa.Table) -> pa.Table:
+    """The classes and counts of each group's words, from those of its slice."""
+    known, classes, counts = flat(settled, "words"), flat(settled, "classes"), flat(settled, "counts")
+    at = np.searchsorted(known, flat(rows, "words"))
+    bounds = rows.column("words").combine_chunks().offsets.to_numpy()
+    return pa.table({"grp": rows.column("grp"), "part": rows.column("part"), "classes": listed(bounds - bounds[0], classes[at]), "counts": listed(bounds - bounds[0], counts[at])})
 
 
 def suits(table: np.ndarray, lm: ClassLm) -> np.ndarray:
@@ -292,8 +236,12 @@ def suits(table: np.ndarray, lm: ClassLm) -> np.ndarray:
     return np.rint(1024 * np.concatenate([before[:, : lm.classes], after[:, : lm.classes]]))
 
 
-def settled(found: DataFrame, table: np.ndarray, lm: ClassLm, fixed: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
-    """grp, part, classes, counts: the best class of each group's words and their training count, both by the whole corpus. ``fixed`` words (ascending) have their classes."""
+def settled(found: DataFrame, table: np.ndarray, slices: int, lm: ClassLm) -> DataFrame:
+    """grp, part, classes, counts: the best class of each group's words and their training count, both by the whole corpus.
+
+    A word's counts are added within slices of the groups first, and its class is handed down the same way, so that a word
+    which every group has is not one row of each group in one task.
+    """
     width, weights = 2 * lm.classes + 4, suits(table, lm)
 
     def settle(rows: pa.Table) -> pa.Table:
@@ -302,17 +250,17 @@ def settled(found: DataFrame, table: np.ndarray, lm: ClassLm, fixed: tuple[np.nd
         count = np.bincount(cell, flat(rows, "counts"), len(distinct) * width).reshape(-1, width)
         n = count[:, : width // 2].sum(1).astype(np.int64)  # a token has one neighbour before it
         of = (count @ weights).argmax(1)
-        if fixed:
-            code = coded_as(distinct, fixed[0])
-            known = np.flatnonzero(code < len(fixed[0]))
-            of[known] = fixed[1][code[known]]
         of[n == 0] = lm.unknown
         of[distinct == END_WORD] = lm.end
         bounds = rows.column("words").combine_chunks().offsets.to_numpy()
         bounds = bounds - bounds[0]
-        return pa.table({"grp": rows.column("grp"), "part": rows.column("part"), "classes": listed(bounds, of[at].astype(np.uint8).view(np.int8)), "counts": listed(bounds, n[at])})
+        return pa.table({"grp": rows.column("grp"), "part": rows.column("part"), "classes": listed(bounds, of[at].astype(np.uint8).view(np.int8)), "counts": listed(bounds, n[at]), **({"words": rows.column("words")} if slices > 1 else {})})
 
-    return found.groupBy("part").applyInArrow(settle, "grp long, part int, classes array<byte>, counts array<long>")
+    if slices == 1:
+        return found.groupBy("part").applyInArrow(settle, CLASSES)
+    found = written(found.withColumn("slice", F.pmod("grp", F.lit(slices))), "neighbours")
+    above = found.groupBy("part", "slice").applyInArrow(joined, NEIGHBOURS).groupBy("part").applyInArrow(settle, CLASSES + ", words array<long>")
+    return found.select("grp", "part", "words", "slice").groupBy("part", "slice").cogroup(above.groupBy("part", "grp")).applyInArrow(handed_down, CLASSES)
 
 
 def class_bigrams(classes: DataFrame, folder: str, parts: int, lm: ClassLm) -> np.ndarray:
@@ -336,28 +284,31 @@ def likelihood(table: np.ndarray) -> float:
     return float(xlogx(table).sum() - xlogx(table.sum(0)).sum() - xlogx(table.sum(1)).sum())
 
 
-def classed(asked: DataFrame, folder: str, top: np.ndarray, first: np.ndarray, table: np.ndarray, parts: int, lm: ClassLm) -> tuple[DataFrame, np.ndarray]:
-    """grp, part, classes, counts of all words after the sweeps over them, and their class bigrams. The frequent words start at ``first``, with ``table``."""
-    code = np.append(first, [lm.end, lm.classes + 1])
-
-    def start(rows: pa.Table) -> pa.Table:
-        bounds = rows.column("words").combine_chunks().offsets.to_numpy()
-        of = code[coded_as(flat(rows, "words"), top)]
-        return pa.table({"grp": rows.column("grp"), "part": rows.column("part"), "classes": listed(bounds - bounds[0], of.astype(np.uint8).view(np.int8)), "counts": rows.column("counts")})
+def classed(asked: DataFrame, folder: str, top: np.ndarray, parts: int, slices: int, lm: ClassLm) -> tuple[DataFrame, np.ndarray]:
+    """grp, part, classes, counts of all words after the sweeps, and their class bigrams. The words of ``top`` start with a class each, all others with the class of unknown words."""
+    code = np.append(np.arange(len(top)), [lm.end, lm.unknown])
 
     def starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield from start(pa.Table.from_batches([batch])).to_batches()
-
-    schema = "grp long, part int, classes array<byte>, counts array<long>"
-    now, best = asked.mapInArrow(starts, schema), None
-    for sweep in range(max(1, lm.wide_sweeps)):
-        new = written(settled(neighbours(now, folder, parts, lm), table, lm, None if sweep else (top, first)), "classes")
+            rows = pa.Table.from_batches([batch])
+            words = flat(rows, "words")
+            at = np.minimum(np.searchsorted(top, words), max(len(top) - 1, 0))
+            found = top[at] == words if len(top) else np.zeros(len(words), bool)
+            of = code[np.where(found, at, np.where(words == END_WORD, len(top), len(top) + 1))]
+            bounds = rows.column("words").combine_chunks().offsets.to_numpy()
+            yield from pa.table({"grp": rows.column("grp"), "part": rows.column("part"), "classes": listed(bounds - bounds[0], of.astype(np.uint8).view(np.int8)), "counts": rows.column("counts")}).to_batches()
+
+    now, old, best = asked.mapInArrow(starts, CLASSES), None, None
+    table = class_bigrams(now, folder, parts, lm)
+    for _ in range(max(1, lm.sweeps)):
+        new = written(settled(neighbours(now, folder, parts, lm), table, slices, lm), "classes")
         found = class_bigrams(new, folder, parts, lm)
         if best is not None and likelihood(found) <= best:
+            discard(new)
             break
-        now, table, best = new, found, likelihood(found)
+        if old is not None:
+            discard(old)
+        now, old, table, best = new, new, found, likelihood(found)
     return now, table
 
 
@@ -421,10 +372,9 @@ def scored(docs: DataFrame, held_out: Column, lm: ClassLm = ClassLm(), id_col: s
     parts = int(max(64, size >> 24))
     folder = fresh_dir(docs.sparkSession, "groups")
     asked = written(staged(rows, folder, parts, lm), "words")
-    n, v, once, top = vocabulary(asked.select("part", "words", "counts"), lm)
-    top = np.sort(top)
-    first, pairs = exchange(bigrams(asked.select("grp").distinct().repartition(parts), folder, top), lm)
-    classes, table = classed(asked, folder, top, first, pairs, parts, lm)
+    slices = 1 + (size // lm.group_bytes) // lm.slice_groups
+    n, v, once, top = vocabulary(asked, slices, lm)
+    classes, table = classed(asked, folder, top, parts, slices, lm)
     codes = written(coded(classes, folder, table.sum(0), n, v, parts), "coded")
     chance = transitions(codes, n, once, lm)
 

@@ -41,7 +41,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     bound_batches(df.sparkSession)
     path = fresh_dir(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.folder_written = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the table that ``written`` made, once nothing needs it any more."""
+    system, path = open_fs(df.folder_written)
+    system.delete_dir(path)
 
 
 def bound_batches(spark: SparkSession, size: str = "8m") -> None:

@@ -58,7 +58,7 @@ def corpus(seed, n):
     return [(i, rng.choice([" ", "  ", "\n", "\t"]).join(w)) for i, w in enumerate(docs[:n])]
 
 
-@pytest.mark.parametrize(("seed", "join"), [(1, Join()), (2, Join(chunk=8, part_entries=500)), (3, Join(deletions_below=10_000, slack=1.0)), (4, Join(deletions_below=0, ratio=1.2, slack=1.0))])
+@pytest.mark.parametrize(("seed", "join"), [(1, Join()), (2, Join(chunk=8, part_entries=500)), (3, Join(entry_cost=0.0, slack=1.0)), (4, Join(entry_cost=1e9, ratio=1.2, slack=1.0)), (5, Join(chunk_shingles=50))])
 def test_against_all_pairs(spark, seed, join):
     docs = corpus(seed, 260)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)

@@ -4,13 +4,18 @@ Sizes fall into bands. A pair is found in the band of its larger set, where the
 segments: two sets with Jaccard similarity of at least t differ in at most H = (1 - t) / (1 + t) * (sum of sizes) shingles,
 so if a set assigns its segments values 0 (skip), 1 (equal) or 2 (equal up to one shingle) that add up to H + 1, a similar
 set must agree with it in one of them. Every set is indexed by a signature of each segment, in the band of its own size
-and in the next if a larger partner may be there; in bands of small sets, also by the segment's one-deletion
-neighbourhood. The values are chosen for least cost: equal large segments are rare and cheap; one-shingle and empty
-segments are common; a value of 2 costs a signature for each shingle, which only small sets repay.
+and in the next if a larger partner may be there; in bands where that pays, also by the segment's one-deletion
+neighbourhood.
+
+The values are chosen for least cost, and costs are counted: the first pass over the texts counts the signatures of all
+segments by band and number of shingles in hashed buckets, whose sums of squares tell how many other sets share such a
+signature. A value of 1 costs the sets that share the segment, a value of 2 those that share it without one of its
+shingles. A band gets one-deletion neighbourhoods if the comparisons that they save its sets outweigh the entries.
 
 Sets that share a signature some of them chose meet in the group of the least of them, and are compared exactly there.
-Groups of more than ``chunk`` sets are compared chunk by chunk, each pair of chunks a task. Equal sets are one set from
-the start. Results are forests, not pairs: enough edges to connect what is linked, each of them a verified link.
+Groups of more than ``chunk`` sets or ``chunk_shingles`` shingles are compared chunk by chunk, each pair of chunks a task.
+Equal sets are one set from the start. Results are forests, not pairs: enough edges to connect what is linked, each of
+them a verified link.
 """
 
 from __future__ import annotations
@@ -38,106 +43,183 @@ class Join:
     width: int = 5
     ratio: float = 1.5  # of the sizes in a band
     slack: float = 1.12  # segments beyond the fewest needed
-    deletions_below: int = 64  # bands of sets smaller than this have one-deletion neighbourhoods
+    entry_cost: float = 1.0  # of one more entry in the index, where a comparison costs 10 and one for each 8 shingles
     chunk: int = 4096
+    chunk_shingles: int = 1 << 21
     part_entries: int = 400_000
 
     def differ(self, total: np.ndarray | int) -> np.ndarray | int:
         """Most shingles in which two similar sets of together ``total`` can differ."""
         return (100 - self.numerator) * total // (100 + self.numerator)
 
-    def bands(self, most: int) -> np.ndarray:
-        """First sizes of the bands up to one that holds ``most``."""
+    def bands(self) -> np.ndarray:
+        """First sizes of the bands, as many as any text can need."""
         out = [1]
-        while out[-1] <= most:
+        while out[-1] < 1 << 40:
             out.append(max(out[-1] + 1, int(out[-1] * self.ratio)))
         return np.array(out, np.int64)
 
 
+CLASSES, BUCKETS = 16, 1024  # numbers of shingles in a segment (the last: that many or more), and buckets to count signatures in
+
+
 def set_id(values: np.ndarray) -> int:
     """63 bits (the lowest is 0) of a digest of a set."""
     return int.from_bytes(hashlib.blake2b(values.tobytes(), digest_size=8).digest(), "little", signed=True) & ~1
 
 
 def describe_sets(docs: DataFrame, join: Join) -> DataFrame:
-    """doc_id, n_shingles and set (an id that equal sets share; null if empty), one row per row of docs (id, text)."""
+    """doc_id, n_shingles and set (an id that equal sets share; null if empty), one row per row of docs (id, text); and for each task one row of counts of signatures (cells, counts), where the others have null."""
+    first_of = join.bands()
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "n_shingles", "set", "cells", "counts"]
+        lists = lambda n: [pa.nulls(n, pa.list_(pa.int32())), pa.nulls(n, pa.list_(pa.int64()))]
+        counted, seen = np.zeros(len(first_of) * CLASSES * BUCKETS, np.int64), set()
         for batch in batches:
-            for part, texts in utf8_slices(batch, "text"):
+            for part, texts in utf8_slices(batch, "text", SLICE):
                 values, first, _ = shingle_sets(texts, join.width)
                 sets = [set_id(values[a:b]) if b > a else None for a, b in zip(first, first[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(first), pa.int64()), pa.array(sets, pa.int64())], names=["doc_id", "n_shingles", "set"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(first), pa.int64()), pa.array(sets, pa.int64()), *lists(len(sets))], names=names)
+                values, owner, sizes, _ = distinct_sets(values, first, [x or 0 for x in sets], seen)
+                if len(sizes):
+                    band = np.searchsorted(first_of, sizes, side="right") - 1
+                    found = Segments(values, owner, sizes, band, first_of, join)
+                    bucket = (found.exact >> np.uint64(40)) % np.uint64(BUCKETS)
+                    cell = (band[found.holder] * CLASSES + np.minimum(found.count, CLASSES - 1)) * BUCKETS + bucket.astype(np.int64)
+                    counted += np.bincount(cell, minlength=len(counted))
+        used = np.flatnonzero(counted)
+        if len(used):
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(1, pa.int64()) for _ in range(3)), pa.array([used], pa.list_(pa.int32())), pa.array([counted[used]], pa.list_(pa.int64()))], names=names)
+
+    return docs.mapInArrow(describe, "doc_id long, n_shingles long, set long, cells array<int>, counts array<long>")
 
-    return docs.mapInArrow(describe, "doc_id long, n_shingles long, set long")
 
+SLICE = 2 << 20  # bytes of text that a task works on at once
 
-def signatures(values: np.ndarray, owner: np.ndarray, sizes: np.ndarray, ids: np.ndarray, band: np.ndarray, first_of: np.ndarray, own: bool, join: Join) -> tuple[np.ndarray, np.ndarray]:
+
+def distinct_sets(values: np.ndarray, first: np.ndarray, ids: list[int], seen: set[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Values, their owners, sizes and ids of the sets that a task has not seen yet."""
+    sizes, keep = np.diff(first), np.zeros(len(ids), bool)
+    for i, x in enumerate(ids):
+        if sizes[i] and x not in seen:
+            keep[i] = True
+            seen.add(x)
+    rows = np.repeat(keep, sizes)
+    return values[rows], np.repeat(np.cumsum(keep) - 1, sizes)[rows], sizes[keep], np.array(ids, np.int64)[keep]
+
+
+@dataclass(frozen=True)
+class Costs:
+    """By band and number of shingles in a segment: cost of the values 1 and 2 above that. By band: whether it has one-deletion neighbourhoods."""
+
+    one: np.ndarray
+    two: np.ndarray
+    deletions: np.ndarray
+
+
+def costs(described: DataFrame, join: Join) -> Costs:
+    """From the counts of all signatures, added up natively; a row for each band and number of shingles comes to the driver."""
+    first_of = join.bands()
+    cells = described.filter("cells IS NOT NULL").select(F.explode(F.arrays_zip("cells", "counts")).alias("c")).groupBy("c.cells").agg(F.sum("c.counts").alias("n"))
+    n = F.col("n").cast("double")
+    rows = cells.groupBy(F.floor(F.col("cells") / BUCKETS).alias("kind")).agg(F.sum(n).alias("n"), F.sum(n * n).alias("squares")).collect()
+    total, squares = np.zeros(len(first_of) * CLASSES), np.zeros(len(first_of) * CLASSES)
+    for r in rows:
+        total[r["kind"]], squares[r["kind"]] = r["n"], r["squares"]
+    total, squares = total.reshape(-1, CLASSES), squares.reshape(-1, CLASSES)
+    # unequal signatures in one bucket add total ** 2 / BUCKETS to the squares; two standard errors count as none
+    others = np.maximum((squares - total * total / BUCKETS) / (1 - 1 / BUCKETS) / np.maximum(total, 1) - 1 - 2 * (2 / BUCKETS) ** 0.5, 0)
+    size = np.arange(CLASSES)
+    one = others + 1e-3 / (size + 1)  # of segments that cost the same, the larger
+    two = np.where(size > 0, size * np.roll(one, 1, axis=1), np.inf)
+    deletions = np.zeros(len(first_of), bool)
+    for b in np.flatnonzero(total.sum(1)):
+        top = int(first_of[b + 1]) - 1 if b + 1 < len(first_of) else int(first_of[b])
+        sets = total[b].sum() / segments_of(np.array([top]), join)[0]
+        each, mean = total[b] / sets, float(total[b] @ size) / sets  # segments of each kind that a set has, and its shingles
+        need = float(join.differ(2 * mean) // 1 + 1)
+
+        def least(price: np.ndarray, amount: np.ndarray, left: float) -> float:
+            spent = 0.0
+            for i in np.argsort(price, kind="stable"):
+                take = min(left, amount[i])
+                spent, left = spent + (take * price[i] if take else 0.0), left - take
+            return spent
+
+        saved = least(one[b], each, need) - least(np.concatenate([one[b], two[b][1:]]), np.concatenate([each, each[1:]]), need)
+        deletions[b] = saved * (10 + mean / 8) > mean * join.entry_cost
+    return Costs(one, two, deletions)
+
+
+def segments_of(top: np.ndarray, join: Join) -> np.ndarray:
+    """Segments in bands whose largest size is ``top``."""
+    return np.ceil((join.differ(2 * top) + 1) * np.where(top >= 8, join.slack, 1)).astype(np.int64)
+
+
+class Segments:
+    """Segments of sets in given bands. holder: of each segment its set; count: its shingles; exact: its signature; at: of each shingle its segment."""
+
+    def __init__(self, values: np.ndarray, owner: np.ndarray, sizes: np.ndarray, band: np.ndarray, first_of: np.ndarray, join: Join):
+        segments = segments_of(first_of[band + 1] - 1, join)
+        base = np.concatenate([[0], np.cumsum(segments)])
+        salt = mix(band.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
+        self.mixed = mix(values ^ salt[owner])
+        self.at = base[:-1][owner] + ((self.mixed >> np.uint64(33)) % segments.astype(np.uint64)[owner]).astype(np.int64)
+        self.count = np.bincount(self.at, minlength=base[-1])
+        self.total = np.zeros(base[-1], np.uint64)
+        np.add.at(self.total, self.at, self.mixed)
+        self.holder = np.repeat(np.arange(len(sizes)), segments)
+        self.place = mix(salt[self.holder] + (np.arange(base[-1]) - base[:-1][self.holder]).astype(np.uint64))
+        self.exact = mix(self.total ^ self.place)
+
+
+def signatures(values: np.ndarray, owner: np.ndarray, sizes: np.ndarray, ids: np.ndarray, band: np.ndarray, first_of: np.ndarray, own: bool, known: Costs, join: Join) -> tuple[np.ndarray, np.ndarray]:
     """Signatures and entries of sets in given bands. owner: each value's set; own: whether the sets choose segments (in their own band) or are only found."""
-    top = first_of[band + 1] - 1  # the largest size in the band
-    segments = np.ceil((join.differ(2 * top) + 1) * np.where(top >= 8, join.slack, 1)).astype(np.int64)
-    base = np.concatenate([[0], np.cumsum(segments)])
-    salt = mix(band.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
-    mixed = mix(values ^ salt[owner])
-    at = base[:-1][owner] + ((mixed >> np.uint64(33)) % segments.astype(np.uint64)[owner]).astype(np.int64)
-    count = np.bincount(at, minlength=base[-1])
-    total = np.zeros(base[-1], np.uint64)
-    np.add.at(total, at, mixed)
-    holder = np.repeat(np.arange(len(sizes)), segments)
-    place = mix(salt[holder] + (np.arange(base[-1]) - base[:-1][holder]).astype(np.uint64))
-    exact = mix(total ^ place)
-    small = first_of[band + 1] <= join.deletions_below
-    probes = np.zeros(base[-1], bool)
-    twice = np.zeros(base[-1], bool)
+    s = Segments(values, owner, sizes, band, first_of, join)
+    n, holder, at = len(s.exact), s.holder, s.at
+    small = known.deletions[band]
+    probes, twice = np.zeros(n, bool), np.zeros(n, bool)
     if own:
-        need = join.differ(2 * sizes) + 1
-        cost = np.where(count == 0, 1e6, np.where(count == 1, 1e3, 10.0 / np.maximum(count, 1)))
-        less = np.where(count <= 1, 1e9, np.where(count == 2, 1e3, 10.0 / np.maximum(count - 1, 1)) + count)
-        upgrade = np.flatnonzero(small[holder] & (count > 0))
-        item = np.concatenate([np.arange(base[-1]), upgrade])
-        price = np.concatenate([cost, less[upgrade]])
+        need, kind = join.differ(2 * sizes) + 1, np.minimum(s.count, CLASSES - 1)
+        upgrade = np.flatnonzero(small[holder] & (s.count > 0))
+        item = np.concatenate([np.arange(n), upgrade])
+        # a value of 2 is one more than a value of 1, so it comes after that
+        price = np.concatenate([known.one[band[holder], kind], np.maximum(known.two[band[holder[upgrade]], kind[upgrade]], known.one[band[holder[upgrade]], kind[upgrade]])])
         order = np.lexsort((price, holder[item]))
         begin = np.searchsorted(holder[item][order], np.arange(len(sizes)))
         rank = np.arange(len(item)) - begin[holder[item][order]]
         chosen = order[rank < need[holder[item][order]]]
-        probes[item[chosen[chosen < base[-1]]]] = True
-        twice[item[chosen[chosen >= base[-1]]]] = True
-    sig, entry = [exact], [ids[holder] | np.where(probes, PROBES, 0)]
+        probes[item[chosen[chosen < n]]] = True
+        twice[item[chosen[chosen >= n]]] = True
+    sig, entry = [s.exact], [ids[holder] | np.where(probes, PROBES, 0)]
     if small.any():  # without one shingle: as found by sets one smaller, and, where the set chose 2, as the others have it
         here = np.flatnonzero(small[owner])
-        sig.append(mix((total[at[here]] - mixed[here]) ^ place[at[here]]))
+        sig.append(mix((s.total[at[here]] - s.mixed[here]) ^ s.place[at[here]]))
         entry.append(ids[owner[here]] | np.where(twice[at[here]], PROBES, 0))
     return np.concatenate(sig).view(np.int64), np.concatenate(entry)
 
 
-def index(docs: DataFrame, join: Join, parts: int, most: int) -> DataFrame:
+def index(docs: DataFrame, join: Join, parts: int, known: Costs) -> DataFrame:
     """part, sigs, entries: the signatures of all distinct sets, dealt by signature, in arrays."""
-    first_of = join.bands(int(most * 100 // join.numerator) + 1)
+    first_of = join.bands()
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            for _, texts in utf8_slices(batch, "text"):
+            for _, texts in utf8_slices(batch, "text", SLICE):
                 values, first, _ = shingle_sets(texts, join.width)
-                sizes = np.diff(first)
-                ids = np.array([set_id(values[a:b]) if b > a else 0 for a, b in zip(first, first[1:], strict=False)], np.int64)
-                keep = np.zeros(len(ids), bool)
-                for i, x in enumerate(ids.tolist()):  # equal sets of a task are one
-                    if sizes[i] and x not in seen:
-                        keep[i] = True
-                        seen.add(x)
-                if not keep.any():
+                values, owner, sizes, ids = distinct_sets(values, first, [set_id(values[a:b]) if b > a else 0 for a, b in zip(first, first[1:], strict=False)], seen)
+                if not len(sizes):
                     continue
-                owner = np.repeat(np.cumsum(keep) - 1, sizes)[np.repeat(keep, sizes)]
-                values, sizes, ids = values[np.repeat(keep, np.diff(first))], sizes[keep], ids[keep]
                 band = np.searchsorted(first_of, sizes, side="right") - 1
-                found = [signatures(values, owner, sizes, ids, band, first_of, True, join)]
+                found = [signatures(values, owner, sizes, ids, band, first_of, True, known, join)]
                 reach = sizes * 100 // join.numerator >= first_of[band + 1]  # a larger partner may be in the next band
                 step = 1
                 while reach.any():
                     chosen = np.cumsum(reach) - 1
                     rows = reach[owner]
-                    found.append(signatures(values[rows], chosen[owner[rows]], sizes[reach], ids[reach], band[reach] + step, first_of, False, join))
+                    found.append(signatures(values[rows], chosen[owner[rows]], sizes[reach], ids[reach], band[reach] + step, first_of, False, known, join))
                     step += 1
                     reach = sizes * 100 // join.numerator >= first_of[np.minimum(band + step, len(first_of) - 1)]
                 sig, entry = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -236,28 +318,32 @@ def jaccard_components(docs: DataFrame, join: Join = Join(), id_col: str = "doc_
     an empty result. Other columns are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sets = written(describe_sets(docs, join), "sets")
+    described = written(describe_sets(docs, join), "sets")
+    sets = described.filter("cells IS NULL").drop("cells", "counts")
     known = sets.filter("doc_id IS NOT NULL AND set IS NOT NULL")
-    size = sets.agg(F.sum("n_shingles").alias("total"), F.max("n_shingles").alias("most")).first()
-    parts = max(64, (size["total"] or 0) // 2 // join.part_entries)
-    alike = known.groupBy("set").agg(F.min("doc_id").alias("first"))  # one document stands for all with an equal set
-    met = written(meetings(index(docs.filter("doc_id IS NOT NULL"), join, int(parts), int(size["most"] or 1))), "meetings")
-    many = met.groupBy("center").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > join.chunk).withColumn("chunks", F.ceil(F.col("n") / join.chunk))
-    dealt = met.join(many.select("center", "chunks"), "center", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    total = sets.agg(F.sum("n_shingles")).first()[0] or 0
+    parts = max(64, total // 2 // join.part_entries)
+    alike = known.groupBy("set").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("size"))  # one document stands for all with an equal set
+    met = written(meetings(index(docs.filter("doc_id IS NOT NULL"), join, int(parts), costs(described, join))), "meetings")
+    chunks = F.ceil(F.greatest(F.count(F.lit(1)) / join.chunk, F.sum("size") / join.chunk_shingles))
+    many = met.join(alike.select(F.col("set").alias("member"), "size"), "member").groupBy("center").agg(chunks.alias("chunks")).filter("chunks > 1")
+    dealt = met.join(many, "center", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     own = F.pmod(F.xxhash64("member"), F.col("chunks"))
     # task a * chunks + b, for each a <= b, holds chunks a and b: side 0 and 1 (both 0 where a = b)
     tasks = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1), lambda x: F.struct((F.least(x, F.col("own")) * F.col("chunks") + F.greatest(x, F.col("own"))).alias("task"), F.when(F.col("own") > x, 1).otherwise(0).alias("side")))
     dealt = dealt.withColumn("own", own).select("center", "member", F.explode(tasks).alias("t")).select("center", "member", "t.task", "t.side")
-    dealt = dealt.join(alike, F.col("member") == F.col("set")).drop("set")
     texts = docs.join(alike.select(F.col("first").alias("doc_id"), "set").join(met.select(F.col("member").alias("set")).distinct(), "set", "left_semi"), "doc_id").select(F.col("set").alias("_set"), "text")
     texts = texts.distinct()
     groups = dealt.join(texts, F.col("member") == F.col("_set")).select("center", "task", "side", "member", "text")
-    links = verified(groups, join)
-    by_id = links.join(alike.select(F.col("set").alias("src"), F.col("first").alias("a")), "src").join(alike.select(F.col("set").alias("dst"), F.col("first").alias("b")), "dst").select(F.col("a").alias("src"), F.col("b").alias("dst"))
-    equal = known.join(alike, "set").filter("doc_id > first").select(F.col("doc_id").alias("src"), F.col("first").alias("dst"))
-    found = connected_components(by_id.unionByName(equal))
-    out = sets.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    # components are those of sets: copies of a text are one vertex, and rows with one id and different sets are links
+    several = known.groupBy("doc_id").agg(F.min("set").alias("src"), F.max("set").alias("most")).filter("src < most")
+    one_id = known.join(several.select("doc_id", "src"), "doc_id").filter("set <> src").select("src", F.col("set").alias("dst"))
+    found = connected_components(verified(groups, join).unionByName(one_id))
+    reached = alike.select("set", "first").join(found.withColumnRenamed("id", "set"), "set")
+    least = reached.groupBy("component").agg(F.min("first").alias("least"))
+    labels = alike.select("set", "first").join(reached.select("set", "component").join(least, "component").select("set", "least"), "set", "left").select("set", F.coalesce("least", "first").alias("label"))
+    out = sets.withColumn("set", F.when(F.col("doc_id").isNotNull(), F.col("set"))).join(labels, "set", "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"))
 
 
 def deduplicated(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

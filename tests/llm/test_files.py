@@ -103,9 +103,31 @@ def test_plan_is_whole_and_tight(n, high):
         for x in inside:
             held[x] += times
     assert +held == Counter(lengths)
-    assert sum(t for t, _ in runs) <= 1.06 * best_fit_decreasing(lengths, 64) + 1
+    assert sum(t for t, _ in runs) <= best_fit_decreasing(lengths, 64)
 
 
+@pytest.mark.parametrize(("low", "high"), [(256, 600), (150, 260), (1, 1024), (300, 400)])
+def test_grouping_against_best_fit(low, high):
+    lengths = np.random.default_rng(low).integers(low, high + 1, 5000).tolist()
+    runs = packing.grouped(dict(Counter(lengths)), 1024, 64, 1 / 8)
+    held = Counter()
+    for times, inside in runs:
+        assert sum(inside) <= 1024
+        for x in inside:
+            held[x] += times
+    assert held == Counter(lengths)
+    assert len({n for _, inside in runs for n in inside}) > 64
+    if high < 1024:
+        assert sum(t for t, _ in runs) < best_fit_decreasing(lengths, 1024)
+
+
+def test_configurations_hold_no_more_than_asked():
+    sizes, demand = np.array([600, 424, 350, 330]), np.array([100, 100, 90, 60])
+    found = packing.configurations(sizes, demand, 1024)
+    assert all(c @ sizes <= 1024 for c, _ in found)
+    assert (sum(c * n for c, n in found) <= demand).all()
+    assert 156 <= sum(n for _, n in found) <= 160  # 100 pairs, 30 triples and 30 pairs hold all
+
 def test_packing(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     texts = [*TEXTS, None, *(f"word{i} " * (i % 90) for i in range(300)), "hot", *["hot"] * 200]

@@ -4,9 +4,11 @@ A source's words, document after document, form fixed-length blocks. Output shar
 each source; a source's draws are numbered through all shards, and a keyed permutation of its block numbers turns the
 numbers into blocks, one pass over the source after the other. Documents then join the drawn blocks by number.
 
-The draw is multinomial with one uniform number per stratum of a shard: a shard's counts stay within one or two of
-their expectations, so a source comes near its target even in small runs. A block is never taken in more than
-``max_repeats`` passes, so no document is.
+The counts of the shards are a multinomial draw, given that each source's sum over all shards is its target: a keyed
+permutation deals as many slots as each source has over the shards. So shards differ by chance and sources meet their
+targets to a block. A block is never taken in more than ``max_repeats`` passes, so no document is.
+
+Sources are few beside documents: a table of one row for each is put in order by one task.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ class Mix:
     max_repeats: int = 3
     block_words: int = 64
     shard_slots: int = 4096
-    buckets: int = 1024
+    buckets: int = 1024  # of a source's documents, and one more for each ``bucket_rows`` documents
+    bucket_rows: int = 1_000_000
     cells: int = 4096
     rounds: int = 12
     seed: int = 7
@@ -47,7 +50,8 @@ class Mix:
 
 def sized(docs: DataFrame, mix: Mix, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", *keep: str) -> DataFrame:
     size = F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long")
-    bucket = (F.pmod(F.coalesce(F.col(id_col), F.lit(-1)), F.lit(PRIME)) * 48271 + mix.seed) % PRIME % mix.buckets
+    buckets = mix.buckets + docs.count() // mix.bucket_rows
+    bucket = (F.pmod(F.coalesce(F.col(id_col), F.lit(-1)), F.lit(PRIME)) * 48271 + mix.seed) % PRIME % buckets
     return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), bucket.alias("bucket"), *keep)
 
 
@@ -81,30 +85,43 @@ def permuted(i: Column, n: Column, key: Column, mix: Mix) -> Column:
     keys = F.array(*(F.array(*(F.lit(v).cast("long") for v in row)) for row in mix.round_keys()))
 
     def step(x: Column, k: Column) -> Column:
-        other = F.pmod((k[0] * ((key + 1) % PRIME) + k[1]) % PRIME - x, n)
+        own = (key + 1) % PRIME
+        other = F.pmod((k[0] * own + k[1]) % PRIME * PRIME + (k[2] * own + k[3]) % PRIME - x, n)
         bit = (k[2] * (F.greatest(x, other) % PRIME) + k[3] + key) % PRIME % 2
         return F.when(bit == 1, other).otherwise(x)
 
     return F.aggregate(keys, i.cast("long"), step)
 
 
+def permuted_sql(i: str, n: str, key: str, mix: Mix) -> str:
+    """``permuted`` in DuckDB's SQL."""
+    keys, p = ", ".join(f"[{', '.join(map(str, row))}]" for row in mix.round_keys()), PRIME
+    own = f"(({key} + 1) % {p})"
+    other = f"((((r[1] * {own} + r[2]) % {p} * {p} + (r[3] * {own} + r[4]) % {p} - x[1]) % {n} + {n}) % {n})"
+    return f"list_reduce(list_prepend([{i}], [{keys}]), lambda x, r: [CASE WHEN (r[3] * (greatest(x[1], {other}) % {p}) + r[4] + {key}) % {p} % 2 = 1 THEN {other} ELSE x[1] END])[1]"
+
+
+SLOT_KEY = PRIME - 7  # of the permutation of slots; those of blocks count up from 0
+RUN_SHARDS = 1024  # shards whose draws are numbered in one window
+
+
 def draws(sources: DataFrame, mix: Mix) -> DataFrame:
     """sid, block and passes: the numbers of the passes over the source in which the mix takes the block (a bit for each)."""
     spark = sources.sparkSession
-    n = sources.agg(F.coalesce(F.sum("slots"), F.lit(0.0)).alias("n")).first()["n"]
-    total = int(n + 0.5)
-    cumulative = F.sum("slots").over(Window.orderBy("sid"))
-    spans = sources.filter("slots > 0").withColumn("hi", F.when(F.col("sid") == F.max("sid").over(Window.partitionBy()), F.lit(2.0)).otherwise(cumulative / n))
-    spans = spans.withColumn("lo", F.coalesce(F.lag("hi").over(Window.orderBy("sid")), F.lit(0.0)))
-    last = F.lit(mix.cells - 1)
-    cells = F.sequence(F.least(F.floor(F.col("lo") * mix.cells), last), F.least(F.floor(F.col("hi") * mix.cells), last))
-    spans = spans.select("sid", "blocks", "lo", "hi", F.explode(cells).alias("cell"))
-    slot = spark.range(total).select(F.floor(F.col("id") / mix.shard_slots).alias("shard"), (F.col("id") % mix.shard_slots).alias("j"))
-    jitter = ((F.col("shard") % PRIME * 69621 + F.col("j") * 48271 + mix.seed) % PRIME * 16807 % PRIME) / F.lit(float(PRIME))
-    slot = slot.withColumn("u", (F.col("j") + jitter) / F.least(F.lit(mix.shard_slots), F.lit(total) - F.col("shard") * mix.shard_slots))
-    slot = slot.withColumn("cell", F.floor(F.col("u") * mix.cells))
-    counts = slot.join(spans, "cell").filter("u >= lo AND u < hi").groupBy("shard", "sid", "blocks").agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.withColumn("base", F.sum("n").over(Window.partitionBy("sid").orderBy("shard")) - F.col("n"))
+    whole = F.floor(F.col("slots") + 0.5)
+    total = int(sources.agg(F.coalesce(F.sum(whole), F.lit(0)).alias("n")).first()["n"])
+    spans = sources.select("sid", "blocks", whole.alias("n")).filter("n > 0")
+    spans = spans.withColumn("hi", F.sum("n").over(Window.orderBy("sid"))).withColumn("lo", F.col("hi") - F.col("n")).drop("n")
+    cell = lambda p: F.floor(p * mix.cells / total) if total else p
+    spans = spans.withColumn("cell", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi") - 1))))
+    slot = spark.range(total).select(F.floor(F.col("id") / mix.shard_slots).alias("shard"), permuted(F.col("id"), F.lit(total).cast("long"), F.lit(SLOT_KEY).cast("long"), mix).alias("p"))
+    counts = slot.withColumn("cell", cell(F.col("p"))).join(spans, "cell").filter("p >= lo AND p < hi").groupBy("shard", "sid", "blocks").agg(F.count(F.lit(1)).alias("n"))
+    # a source's draws are numbered within runs of shards, and runs by the draws of the runs before
+    counts = counts.withColumn("run", F.floor(F.col("shard") / RUN_SHARDS))
+    runs = counts.groupBy("sid", "run").agg(F.sum("n").alias("m"))
+    runs = runs.select("sid", "run", (F.sum("m").over(Window.partitionBy("sid").orderBy("run")) - F.col("m")).alias("before"))
+    counts = counts.withColumn("base", F.sum("n").over(Window.partitionBy("sid", "run").orderBy("shard")) - F.col("n"))
+    counts = counts.join(runs, ["sid", "run"]).withColumn("base", F.col("base") + F.col("before"))
     counts = counts.repartition(max(1, total // 100_000), "sid", "shard")  # few small rows, but each makes many below
     taken = counts.select("sid", "blocks", F.explode(F.sequence(F.col("base"), F.col("base") + F.col("n") - 1)).alias("k")).filter(F.col("k") < F.col("blocks") * mix.max_repeats)
     taken = taken.withColumn("pass", F.floor(F.col("k") / F.col("blocks")))
@@ -178,12 +195,13 @@ def mixed_documents(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", t
 
 def report_sql(mix: Mix = Mix()) -> str:
     """``mix_report`` over documents in DuckDB's SQL."""
-    keys = ", ".join(f"[{', '.join(map(str, row))}]" for row in mix.round_keys())
     b, p = mix.block_words, PRIME
+    dealt = permuted_sql("i", "total", str(SLOT_KEY), mix)
+    block = permuted_sql("k % blocks", "blocks", "key", mix)
     return f"""
 WITH sizes AS (
   SELECT row_number() OVER () AS r, doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-    (((coalesce(doc_id, -1) % {p}) + {p}) % {p} * 48271 + {mix.seed}) % {p} % {mix.buckets} AS bucket FROM documents),
+    (((coalesce(doc_id, -1) % {p}) + {p}) % {p} * 48271 + {mix.seed}) % {p} % ({mix.buckets} + count(*) OVER () // {mix.bucket_rows}) AS bucket FROM documents),
 per AS (
   SELECT *, source_size * {mix.max_repeats} AS cap, list_extract({list(mix.weights)}, (sid % {len(mix.weights)} + 1)::INT)::BIGINT AS weight
   FROM (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid FROM sizes GROUP BY source)),
@@ -194,21 +212,16 @@ fair AS (SELECT level AS fair FROM levels WHERE level * weight <= cap ORDER BY c
 sources AS (
   SELECT sid, source, source_size, target, blocks, CASE WHEN source_size > 0 THEN target * blocks / source_size ELSE 0 END AS slots
   FROM (SELECT *, ceil(source_size / {b})::BIGINT AS blocks, coalesce(least((SELECT fair FROM fair) * weight, cap::DOUBLE), cap::DOUBLE) AS target FROM per)),
-n AS (SELECT sum(slots) AS n, floor(sum(slots) + 0.5)::BIGINT AS total FROM (SELECT slots FROM sources ORDER BY sid)),
-highs AS (SELECT *, CASE WHEN sid = max(sid) OVER () THEN 2.0 ELSE sum(slots) OVER (ORDER BY sid) / (SELECT n FROM n) END AS hi FROM sources WHERE slots > 0),
-spans AS (SELECT *, coalesce(lag(hi) OVER (ORDER BY sid), 0) AS lo FROM highs),
-slot AS (
-  SELECT shard, j, (j + ((shard % {p} * 69621 + j * 48271 + {mix.seed}) % {p} * 16807 % {p}) / {float(p)}::DOUBLE) / least({mix.shard_slots}, total - shard * {mix.shard_slots}) AS u
-  FROM (SELECT i // {mix.shard_slots} AS shard, i % {mix.shard_slots} AS j, total FROM (SELECT unnest(range(total)) AS i, total FROM n))),
+whole AS (SELECT sid, blocks, floor(slots + 0.5)::BIGINT AS n FROM sources),
+spans AS (SELECT *, (sum(n) OVER (ORDER BY sid))::BIGINT AS hi FROM whole WHERE n > 0),
+slot AS (SELECT i // {mix.shard_slots} AS shard, {dealt} AS p FROM (SELECT unnest(range(total)) AS i, total FROM (SELECT sum(n)::BIGINT AS total FROM whole))),
 counts AS (
   SELECT *, (sum(n) OVER (PARTITION BY sid ORDER BY shard))::BIGINT - n AS base
-  FROM (SELECT shard, sid, blocks, count(*) AS n FROM slot JOIN spans ON u >= lo AND u < hi GROUP BY ALL)),
+  FROM (SELECT shard, sid, blocks, count(*) AS n FROM slot JOIN spans ON p >= hi - spans.n AND p < hi GROUP BY ALL)),
 taken AS (SELECT sid, blocks, unnest(range(base, base + n)) AS k FROM counts),
 draws AS (
   SELECT sid, block, count(*) AS times FROM (
-    SELECT sid, list_reduce(list_prepend([k % blocks], [{keys}]), lambda x, r: [
-      CASE WHEN (r[3] * (greatest(x[1], (((r[1] * ((key + 1) % {p}) + r[2]) % {p} - x[1]) % blocks + blocks) % blocks) % {p}) + r[4] + key) % {p} % 2 = 1
-        THEN (((r[1] * ((key + 1) % {p}) + r[2]) % {p} - x[1]) % blocks + blocks) % blocks ELSE x[1] END])[1] AS block
+    SELECT sid, {block} AS block
     FROM (SELECT *, sid * {mix.max_repeats} + k // blocks AS key FROM taken WHERE k < blocks * {mix.max_repeats})) GROUP BY ALL),
 keyed AS (SELECT s.*, sid, source_size, target FROM sizes s JOIN sources t ON s.source IS NOT DISTINCT FROM t.source),
 placed AS (SELECT *, (sum(size) OVER (PARTITION BY sid ORDER BY bucket, doc_id NULLS FIRST, size, r ROWS UNBOUNDED PRECEDING))::BIGINT - size AS pos FROM keyed),

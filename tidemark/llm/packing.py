@@ -4,9 +4,13 @@ The lengths of all pieces form a histogram of at most ``capacity`` entries, so t
 
 1. the large lengths (at least ``small`` of the capacity), in descending order, are cut into ``groups`` groups of equal
    cardinality, and each is rounded up to the largest of its group;
-2. configurations of few rounded sizes are chosen, largest size first, each the fullest by an exact knapsack;
+2. configurations of these few sizes are optimised: the fewest sequences that hold them, by column generation with a
+   knapsack, of which the whole parts are taken;
 3. actual lengths take the rounded places, the longest of a group first, which leaves room;
-4. the small lengths go, longest first, where the room left is the least that suffices (best fit), or into new sequences.
+4. the small lengths and what the whole parts left over go, longest first, where the room left is the least that suffices
+   (best fit), or into new sequences.
+
+Where rounding up costs more than it gains, as on evenly spread lengths, best fit of all lengths is the plan.
 
 A plan is a list of runs: so many sequences that hold the same actual lengths. Documents find their place by their rank
 among those of equal length; ranks come from prefix sums over hashed buckets, so no length, however common, meets in one
@@ -51,90 +55,117 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, keeps
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(cut, PIECES)
 
 
-def fullest(sizes: np.ndarray, most: np.ndarray, room: int) -> list[int]:
-    """Counts of ``sizes`` (each at most ``most``) that fill ``room`` best; of equal fills, the one with larger sizes."""
-    reach = np.full(room + 1, -1)  # the size that completes this fill
-    reach[0] = len(sizes)
-    used = np.zeros(room + 1, int)  # how often that size is in it
-    for i in np.argsort(-sizes, kind="stable"):
-        size = int(sizes[i])
-        for _ in range(int(min(most[i], room // size))):
-            ok = np.flatnonzero((reach[:-size] >= 0) & (reach[size:] < 0) & ((reach[:-size] != i) | (used[:-size] < most[i])))
-            if not len(ok):
-                break
-            reach[ok + size] = i
-            used[ok + size] = np.where(reach[ok] == i, used[ok], 0) + 1
-    counts, at = [0] * len(sizes), int(np.flatnonzero(reach >= 0)[-1])
-    while at:
-        counts[reach[at]] += 1
-        at -= int(sizes[reach[at]])
+def dearest(sizes: np.ndarray, worth: np.ndarray, capacity: int) -> np.ndarray:
+    """Counts of ``sizes`` that fit into ``capacity`` and are worth most together (unbounded knapsack)."""
+    best, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)  # and the size that was put in last
+    for i, size in enumerate(sizes):
+        if worth[i] > 1e-12:
+            for _ in range(capacity // int(size)):
+                more = best[:-size] + worth[i]
+                gain = np.flatnonzero(more > best[size:] + 1e-12)
+                if not len(gain):
+                    break
+                best[gain + size], last[gain + size] = more[gain], i
+    counts, at = np.zeros(len(sizes), np.int64), int(best.argmax())
+    left = best[at]
+    while left > 1e-12 and last[at] >= 0:
+        counts[last[at]] += 1
+        at -= int(sizes[last[at]])
+        left = best[at]
     return counts
 
 
-def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
-    """(counts of each size, number of sequences): the largest size with demand, filled up with the fullest choice of the others, as often as the demand allows."""
-    demand, out = demand.astype(np.int64).copy(), []
-    while demand.any():
-        top = int(np.flatnonzero(demand)[np.argmax(sizes[demand > 0])])
-        room = capacity - int(sizes[top])
-        left = demand.copy()
-        left[top] -= 1
-        fit = np.flatnonzero((left > 0) & (sizes <= room))
-        counts = [0] * len(sizes)
-        if len(fit):
-            for i, n in zip(fit, fullest(sizes[fit], left[fit], room), strict=True):
-                counts[i] = n
-        counts[top] += 1
-        times = min(int(demand[i]) // n for i, n in enumerate(counts) if n)
-        demand -= np.array(counts) * times
-        out.append((counts, times))
-    return out
-
-
-def plan(histogram: dict[int, int], capacity: int, groups: int = 1024, small: float = 1 / 16) -> list[tuple[int, list[int]]]:
-    """Runs (number of sequences, lengths in each) that hold every length of the histogram once for each of its count."""
+def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
+    """(counts of each size, number of sequences): whole parts of the least fractional number of sequences that hold ``demand``.
+
+    Column generation: the simplex method on one row for each size, which prices configurations by a knapsack. It ends
+    when no configuration is worth more than a sequence, or after 20 steps for each size, which only costs quality.
+    """
+    columns = [np.eye(len(sizes), dtype=np.int64)[i] * (capacity // int(s)) for i, s in enumerate(sizes)]
+    inverse = np.diag([1 / c.max() for c in columns])
+    amount = inverse @ demand
+    for _ in range(20 * len(sizes)):
+        worth = inverse.sum(0)
+        new = dearest(sizes, worth, capacity)
+        if worth @ new <= 1 + 1e-9:
+            break
+        step = inverse @ new
+        ratio = np.where(step > 1e-9, amount / np.where(step > 1e-9, step, 1), np.inf)
+        out = int(ratio.argmin())
+        amount = amount - ratio[out] * step
+        amount[out] = ratio[out]
+        row = inverse[out] / step[out]
+        inverse = inverse - np.outer(step, row)
+        inverse[out] = row
+        columns[out] = new
+    whole = np.floor(np.maximum(amount, 0) + 1e-6).astype(np.int64)
+    short = demand.astype(np.int64).copy()
+    chosen = []
+    for c, n in zip(columns, whole, strict=True):
+        n = min(int(n), *(int(short[i]) // int(c[i]) for i in np.flatnonzero(c)))
+        if n:
+            short -= n * c
+            chosen.append((c, n))
+    return chosen
+
+
+def grouped(histogram: dict[int, int], capacity: int, groups: int, small: float) -> list[tuple[int, list[int]]]:
+    """Linear grouping of the lengths of at least ``small`` of the capacity, then best fit of all that has no place yet."""
     large = sorted((n for n in histogram if n >= small * capacity), reverse=True)
     total = sum(histogram[n] for n in large)
-    stacks: list[list[list[int]]] = []  # of each group its [length, count], longest last
-    filled = 0
+    stacks: dict[int, list[list[int]]] = {}  # by rounded size, the [length, count] of its groups, the longest last
+    filled, size = 0, 0
     for n in large:
         left = histogram[n]
         while left:
-            bound = -(-total * (filled * groups // total + 1) // groups)  # where the group that we are in ends
-            take = min(left, max(1, bound - filled))
-            if not stacks or filled * groups // total != group:
-                stacks.append([])
             group = filled * groups // total
-            stacks[-1].append([n, take])
-            filled += take
-            left -= take
-    merged: dict[int, list[list[int]]] = {}
-    for stack in stacks:  # groups that round to one size are one
-        merged.setdefault(stack[0][0], []).extend(stack)
-    sizes = np.array(list(merged), int)
-    demand = np.array([sum(c for _, c in merged[s]) for s in merged], np.int64)
-    for stack in merged.values():
+            if filled == 0 or group != before:
+                size = n
+            before = group
+            take = min(left, -(-total * (group + 1) // groups) - filled)  # up to where the group ends
+            stacks.setdefault(size, []).append([n, take])
+            filled, left = filled + take, left - take
+    sizes = np.array(list(stacks), int)
+    demand = np.array([sum(c for _, c in stacks[s]) for s in stacks], np.int64)
+    for stack in stacks.values():
         stack.reverse()
     runs: list[tuple[int, list[int]]] = []
     for counts, times in configurations(sizes, demand, capacity) if len(sizes) else []:
-        places = [merged[int(sizes[i])] for i, n in enumerate(counts) for _ in range(n)]
-        while times:
-            need: dict[int, int] = defaultdict(int)
-            for stack in places:
-                need[id(stack)] += 1
-            step = min(times, *(max(1, stack[-1][1] // need[id(stack)]) for stack in places))
-            actual = []
-            for stack in places:
-                if stack[-1][1] < step:  # the last of a length: one sequence at a time
-                    step = 1
-            for stack in places:
-                actual.append(stack[-1][0])
-                stack[-1][1] -= step
-                if not stack[-1][1]:
-                    stack.pop()
-            runs.append((step, actual))
+        held = {int(sizes[i]): int(counts[i]) for i in np.flatnonzero(counts)}
+        while times:  # sequences that hold the same lengths, as long as those last
+            own, step = [], times
+            for size, n in held.items():
+                for length, count in reversed(stacks[size]):
+                    take = min(n, count)
+                    own += [length] * take
+                    n -= take
+                    step = min(step, count // take)
+                    if not n:
+                        break
+            for size, n in held.items():
+                n, stack = n * step, stacks[size]
+                while n:
+                    take = min(n, stack[-1][1])
+                    stack[-1][1] -= take
+                    n -= take
+                    if not stack[-1][1]:
+                        stack.pop()
+            runs.append((step, own))
             times -= step
-    return best_fit(runs, {n: c for n, c in histogram.items() if n < small * capacity}, capacity)
+    rest: dict[int, int] = defaultdict(int, {n: c for n, c in histogram.items() if n < small * capacity})
+    for stack in stacks.values():
+        for n, c in stack:
+            rest[n] += c
+    return best_fit(runs, rest, capacity)
+
+
+def plan(histogram: dict[int, int], capacity: int, groups: int = 64, small: float = 1 / 8) -> list[tuple[int, list[int]]]:
+    """Runs (number of sequences, lengths in each) that hold every length of the histogram once for each of its count.
+
+    Rounding up costs room; where plain best fit of all lengths needs fewer sequences, that is the plan.
+    """
+    number = lambda runs: sum(times for times, _ in runs)
+    return min(grouped(histogram, capacity, groups, small), best_fit([], histogram, capacity), key=number)
 
 
 def best_fit(runs: list[tuple[int, list[int]]], small: dict[int, int], capacity: int) -> list[tuple[int, list[int]]]:
@@ -176,13 +207,14 @@ def places(runs: list[tuple[int, list[int]]]) -> dict[int, np.ndarray]:
     return {n: np.array(x, np.int64) for n, x in out.items()}
 
 
-def pack(pieces: DataFrame, capacity: int = 1024, groups: int = 1024, buckets: int = 1024) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 1024, groups: int = 64, bucket_rows: int = 1_000_000) -> DataFrame:
     """Adds sequence_id and offset to a table of pieces (doc_id, piece, length, ...); lengths are 1 to ``capacity``.
 
     Repeated rows each get a place of their own. A null doc_id is a value like any other. An empty table stays empty.
     Other columns are kept; columns named sequence_id or offset are replaced.
     """
-    pieces = written(pieces.drop("sequence_id", "offset").withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int")), "pieces")
+    pieces = written(pieces.drop("sequence_id", "offset"), "pieces")
+    pieces = pieces.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(1024 + pieces.count() // bucket_rows)).cast("int"))
     counts = written(pieces.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n")), "lengths")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}  # at most ``capacity`` rows
     lookup = places(plan(histogram, capacity, groups))

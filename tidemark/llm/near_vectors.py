@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,13 +46,18 @@ class Lsh:
         return k, max(1, math.ceil(math.log(1 - self.recall) / math.log(1 - found)))
 
 
+@lru_cache(maxsize=4)
+def projections(dims: int, count: int, lsh: Lsh) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Directions, shifts and odd multipliers, drawn once for each worker."""
+    rng = np.random.default_rng([lsh.seed, dims])
+    return rng.standard_normal((dims, count)), rng.uniform(0, lsh.width, count), rng.integers(1, 1 << 63, count, dtype=np.uint64) | np.uint64(1)
+
+
 def keys_of(x: np.ndarray, k: int, tables: int, lsh: Lsh) -> np.ndarray:
     """The keys (one for each table) of normalised vectors."""
-    rng = np.random.default_rng([lsh.seed, x.shape[1]])
-    planes, shift = rng.standard_normal((x.shape[1], k * tables)), rng.uniform(0, lsh.width, k * tables)
+    planes, shift, odd = projections(x.shape[1], k * tables, lsh)
     cells = np.floor((x @ planes + shift) / lsh.width).astype(np.int64).view(np.uint64).reshape(len(x), tables, k)
-    odd = rng.integers(1, 1 << 63, k, dtype=np.uint64) | np.uint64(1)
-    mixed = (cells * odd).sum(2, dtype=np.uint64)
+    mixed = (cells * odd[:k]).sum(2, dtype=np.uint64)
     mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return (mixed ^ (mixed >> np.uint64(32))).view(np.int64)
 
@@ -104,13 +110,15 @@ def near_vectors(vectors: DataFrame, lsh: Lsh = Lsh(), id_col: str = "vec_id", v
 
     Vectors link when labels are equal and not null and their cosine is at least ``lsh.cosine``. A null, empty or zero
     vector, one with a null or non-finite component, and a row with a null id link with nothing (component: its own id).
-    Vectors of different length don't link. Rows with equal ids each have a result. An empty table gives an empty result.
+    Vectors of different length don't link. Of equal vectors each links with all others. Rows with equal ids each have a result. An empty table gives an empty result.
     Other columns are ignored.
     """
     bad = F.exists("x", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))) | ~F.exists("x", lambda v: v != 0)
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast("array<double>").alias("x"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).alias("x"))
+    single = vectors.schema[vector_col].dataType.simpleString() == "array<float>"  # half the bytes, and exact in double precision
+    rows = rows.withColumn("x", F.col("x").cast("array<float>" if single else "array<double>"))
     fine = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("x").isNotNull() & ~F.coalesce(bad, F.lit(True))
-    rows = rows.withColumn("x", F.when(fine, F.transform("x", lambda v: v + F.lit(0.0))))
+    rows = rows.withColumn("x", F.when(fine, F.transform("x", lambda v: v + F.lit(0.0).cast("float" if single else "double"))))
     rows = rows.withColumn("h1", F.xxhash64("label", "x")).withColumn("h2", F.xxhash64(F.lit(1), "x", "label"))
     valid = rows.filter("x IS NOT NULL")
     reps = written(valid.groupBy("h1", "h2").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("label").alias("label"), F.first("x").alias("x")), "vectors")

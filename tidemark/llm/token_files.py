@@ -106,4 +106,4 @@ def read_documents(spark: SparkSession, shards: DataFrame, form: TokenFormat, wi
                     yield pa.RecordBatch.from_pydict(out)
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids array<long>" * with_ids
-    return shards.repartition(max(1, shards.count())).mapInArrow(read, schema)  # a task for each shard
+    return shards.repartition(max(1, min(shards.count(), 1 << 16))).mapInArrow(read, schema)  # a task for each shard, or several

@@ -22,6 +22,7 @@ MAGIC = b"\x1f\x8b\x08"
 ARCHIVES = "path string, bytes long"
 RECORDS = "record_id string, record_type string, uri string, refers_to string, payload_digest string, payload_bytes long, payload binary"
 BLOCK = 1 << 18
+MOST_TASKS = 1 << 16  # beyond it a task reads several splits, one after the other
 
 
 def digest(payload: bytes) -> str:
@@ -33,12 +34,16 @@ def with_revisits(pages: DataFrame, id_col: str, payload_col: str, least_bytes:
     """Adds refers_to: for a payload of at least ``least_bytes`` that a row with a smaller id has too, the smallest such id; else null.
 
     A null payload counts as empty. Rows with a null id are never referred to nor revisits. Payloads equal in SHA-256 and
-    length count as equal. The join is on ids, so neither a payload nor a hot digest meets in one task.
+    length count as equal. Rows with one id and different payloads are told apart; repeated rows all stay, the first among them
+    responses. Neither join gathers a payload, and the rows of one hot digest meet a single row, so adaptive execution
+    splits them. Columns "_id", "_sha" and "_len" are not allowed; a column refers_to is replaced.
     """
-    keys = pages.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), F.sha2(F.coalesce(payload_col, F.lit("")).cast("binary"), 256).alias("_sha"), F.octet_length(F.coalesce(payload_col, F.lit(""))).alias("_len"))
+    sha, length = F.sha2(F.coalesce(payload_col, F.lit("")).cast("binary"), 256), F.octet_length(F.coalesce(payload_col, F.lit("")))
+    keys = pages.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id"), sha.alias("_sha"), length.alias("_len"))
     firsts = keys.filter(F.col("_len") >= least_bytes).groupBy("_sha", "_len").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    again = keys.join(firsts, ["_sha", "_len"]).filter("_id > _first").select("_id", F.col("_first").alias("refers_to")).dropDuplicates(["_id"])
-    return pages.drop("refers_to").join(again, F.col(id_col) == F.col("_id"), "left").drop("_id")
+    again = keys.join(firsts, ["_sha", "_len"]).filter("_id > _first").select("_id", "_sha", "_len", F.col("_first").alias("refers_to")).distinct()
+    same = (F.col(id_col) == F.col("_id")) & (sha == F.col("_sha")) & (length == F.col("_len"))
+    return pages.drop("refers_to").join(again, same, "left").drop("_id", "_sha", "_len")
 
 
 def record(rid: str, payload: bytes, uri: str | None, refers_to: str | None) -> bytes:
@@ -54,7 +59,10 @@ def record(rid: str, payload: bytes, uri: str | None, refers_to: str | None) ->
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", payload_col: str = "html", uri_col: str = "url", archive_bytes: int = 64 << 20) -> DataFrame:
-    """Writes a record per row (see ``with_revisits`` for refers_to) and returns one row per archive. An empty table gives none."""
+    """Writes a record per row (see ``with_revisits`` for refers_to) and returns one row per archive. An empty table gives none. Other columns are ignored.
+
+    An archive's name has its partition, part and task attempt, so that an attempt never replaces the records of another.
+    """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -152,9 +160,9 @@ def parsed(data: bytes) -> dict:
 
 
 def read_archives(spark: SparkSession, archives: DataFrame, split_bytes: int = 8 << 20, payloads: bool = True) -> DataFrame:
-    """One row per record of the archives. A response's digest and length are taken from the payload read, a revisit's from its headers."""
+    """One row per record of the archives. A response's digest and length are taken from the payload read, a revisit's from its headers. Repeated ids stay."""
     splits = archives.select("path", "bytes", F.explode(F.sequence(F.lit(0), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes))).alias("start"))
-    splits = splits.repartition(max(1, splits.count())).select("path", "start", (F.col("start") + split_bytes).alias("end"))
+    splits = splits.repartition(max(1, min(splits.count(), MOST_TASKS))).select("path", "start", (F.col("start") + split_bytes).alias("end"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["record_id", "record_type", "uri", "refers_to", "payload_digest", "payload_bytes"] + ["payload"] * payloads

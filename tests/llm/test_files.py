@@ -73,6 +73,12 @@ def test_archives_round_trip(spark, split):
             assert (r.record_type, r.refers_to, r.payload) == ("revisit", str(first[raw]), None)
 
 
+def test_one_id_with_different_payloads(spark):
+    df = spark.createDataFrame([(1, "seen before"), (2, "seen before"), (2, "something else"), (2, "seen before"), (None, "x")], "page_id long, html string")
+    got = warc.with_revisits(df, "page_id", "html").collect()
+    assert sorted(((r.page_id, r.html, r.refers_to) for r in got), key=str) == sorted([(1, "seen before", None), (2, "seen before", 1), (2, "seen before", 1), (2, "something else", None), (None, "x", None)], key=str)
+
+
 def test_short_payloads_and_empty_table(spark):
     df = spark.createDataFrame([(1, "ab"), (2, "ab"), (3, "longer"), (4, "longer")], "page_id long, html string")
     assert {r.page_id: r.refers_to for r in warc.with_revisits(df, "page_id", "html", least_bytes=3).collect()} == {1: None, 2: None, 3: None, 4: 3}
@@ -210,6 +216,12 @@ def test_media(spark):
         assert r.payload_sha256 == hashlib.sha256(payload).hexdigest()
         assert r.tail_crc32 == zlib.crc32(payload[-16:])
         assert (r.media_bytes, r.media_sha256) == (len(telephony.wave(payload)), hashlib.sha256(telephony.wave(payload)).hexdigest())
+        x = [mu_law(b) for b in payload]
+        wide = [v for a, b in zip(x, x[1:] + x[-1:]) for v in (a, (a + b) >> 1)]  # linear, the last sample held
+        level = np.sqrt(sum(v * v for v in wide) / len(wide))
+        shown = r.feature.split(":")
+        assert abs(float(shown[0]) - level) <= 0.002 + 1e-6 * level
+        assert shown[1:] == [str(max(map(abs, wide))), str(sum((a < 0) != (b < 0) for a, b in zip(wide, wide[1:]))), f"{zlib.crc32(np.array(wide, '<i2').tobytes()):08x}"]
     assert got[2].feature == got[3].feature != got[4].feature
     pcm = {r.doc_id: bytes(r.media) for r in telephony.to_pcm(media).collect()}
     rate, x = telephony.samples(pcm[5])

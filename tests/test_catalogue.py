@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from tidemark.plans import catalogue
+from tidemark.plans import catalogue, files  # noqa: F401
 
 
 @pytest.fixture(scope="module")

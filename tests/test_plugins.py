@@ -47,4 +47,16 @@ def test_dust_and_forecast_tasks(spark):
     assert plugins.dust_tasks(listing(spark, "2015_032_1230_MSG03.zip")).first().dts == dt.datetime(2015, 2, 1, 12, 30)
     rows = plugins.forecast_tasks(listing(spark, "gfs.2012102712.pgrb2.0p25.f003", "gfs.2012102712.pgrb2.0p25.f006")).orderBy("hour").collect()
     assert [(r.hour, r.fcst) for r in rows] == [(3, [3]), (6, [6])]
-    assert {"dust", "forecast"} <= set(PLUGINS)
+    assert {"dust", "forecast", "storm", "geostationary"} <= set(PLUGINS)
+
+
+def test_storm_plugin(spark):
+    run = F.lit("2012-10-27 18:20:00").cast("timestamp")
+    inputs = {"tracks": "aal182012.dat", "forecasts": "gfs.2012102712.pgrb2.0p25.f003", "images": "i0", "soundings": "s0"}
+    files = None
+    for kind, name in inputs.items():
+        one = listing(spark, name).withColumn("input", F.lit(kind))
+        files = one if files is None else files.unionByName(one)
+    plugin = PLUGINS["storm"](run)
+    assert [r.tracks for r in plugin.tasks(files).collect()] == [["/in/aal182012.dat"]]
+    assert (plugin.keys, plugin.back_seconds) == (("dts",), 43_200)

@@ -34,6 +34,46 @@ def test_failed_tasks_come_back(spark, tmp_path, run):
     assert {r.name for r in schedule.run_once(spark, found(spark), plugin, state, run).collect()} == {"b"}
 
 
+def test_work_done_before_a_crash_is_kept(spark, tmp_path, run):
+    log, state = tmp_path / "log", str(tmp_path / "state")
+
+    def work(row):
+        with log.open("a") as out:
+            out.write(row["name"] + "\n")
+        if row["name"] == "edge" and log.read_text().count("edge") == 1:
+            raise RuntimeError("lost")
+        return True
+
+    plugin = schedule.Plugin(lambda f: f, work, ("name",), back_seconds=7200)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")  # newest first in one partition: b, then a and edge by name
+    try:
+        with pytest.raises(Exception, match="lost"):
+            schedule.run_once(spark, found(spark), plugin, state, run)
+        assert {r.name for r in schedule.state_table(spark, state, "name string, dts timestamp").collect()} == {"a", "b"}
+        assert {r.name for r in schedule.run_once(spark, found(spark), plugin, state, run).collect()} == {"edge"}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sorted(log.read_text().split()) == ["a", "b", "edge", "edge"]
+
+
+def test_old_tasks_leave_the_state(spark, tmp_path, run):
+    plugin, state = schedule.Plugin(lambda f: f, lambda row: True, ("name",), back_seconds=7200), str(tmp_path / "state")
+    schedule.run_once(spark, found(spark), plugin, state, run)
+    later = run + F.expr("INTERVAL 70 MINUTES")
+    assert schedule.run_once(spark, found(spark), plugin, state, later).count() == 0
+    assert {r.name for r in schedule.state_table(spark, state, "name string, dts timestamp").collect()} == {"b"}
+
+
+def test_stream_leaves_completed_tasks(spark, tmp_path):
+    rows = spark.createDataFrame([("a", dt.datetime(2024, 1, 1)), ("b", dt.datetime(2024, 1, 1))], "name string, ts timestamp")
+    rows.write.parquet(str(tmp_path / "in"))
+    got = []
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    done = lambda: spark.createDataFrame([("a",)], "name string")
+    schedule.stream_tasks(stream, ["name"], "ts", 3600, lambda df, n: got.extend(r.name for r in df.collect()), str(tmp_path / "check"), done=done).awaitTermination()
+    assert got == ["b"]
+
+
 def test_stream_drops_repeats(spark, tmp_path, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     for i in range(3):

@@ -187,3 +187,19 @@ def test_linked_names(spark):
     k, m = link.linked_names(i, f, spark.createDataFrame([(1, "A"), (2, "B")], "key int, out_name string"))
     assert [r.out_name for r in k.collect()] == ["B", "A"]
     assert [r.name for r in m.collect()] == ["q"]
+
+
+def test_nearest_keeps_repeated_rows(spark):
+    left = spark.createDataFrame([(1, dt.datetime(2024, 1, 1))] * 2, "k int, a timestamp")
+    right = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 0, 1), 5)], "k int, b timestamp, pos int")
+    assert [r.pos for r in spatial.nearest(left, right, ["k"], "a", "b", "pos", 120).collect()] == [5, 5]
+
+
+def test_latest_with_a_text_position(spark):
+    df = spark.createDataFrame([("a", 1, "y"), ("a", 1, "x"), ("b", None, "z")], "k string, ts int, pos string")
+    assert {r.k: r.pos for r in select.latest_per_key(df, ["k"], "ts", "pos").collect()} == {"a": "x", "b": "z"}
+
+
+def test_lines_are_numbered_over_partitions(spark):
+    df = spark.range(1000).selectExpr("id * 7919 % 1000 AS k").repartition(5)
+    assert [r.line for r in tables.numbered(df, ["k"]).orderBy("k").collect()] == list(range(1, 1001))

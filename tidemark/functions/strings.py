@@ -9,7 +9,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The letters of date formats, with the pattern that matches each and its width in digits.
-DATE_FIELDS = {"%Y": r"\d{4}", "%m": r"\d{2}", "%d": r"\d{2}", "%H": r"\d{2}", "%M": r"\d{2}", "%S": r"\d{2}", "%j": r"\d{3}", "%y": r"\d{2}"}
+DATE_FIELDS = {
+    "%Y": r"\d{4}", "%y": r"\d{2}", "%m": r"\d{2}", "%w": r"\d{1}", "%j": r"\d{3}", "%d": r"\d{2}", "%H": r"\d{2}", "%M": r"\d{2}", "%S": r"\d{2}",
+}
 BASINS = {"al": "Atlantic", "ep": "Eastern Pacific", "cp": "Central Pacific", "wp": "Western Pacific", "io": "Indian Ocean", "sh": "Southern Hemisphere"}
 
 
@@ -50,9 +52,10 @@ def date_format_pattern(text: Column) -> Column:
 
 
 def date_format_printf(text: Column) -> Column:
-    """C4: a date format as a printf format of zero-padded integers."""
+    """C4: a date format as a printf format of zero-padded integers; a field of one digit is %d."""
     width = {k: re.search(r"\{(\d)\}", v).group(1) for k, v in DATE_FIELDS.items()}
-    return reduce(lambda t, kv: F.replace(t, F.lit(kv[0]), F.lit(f"%0{kv[1]}d")), width.items(), text)
+    one_digit_last = sorted(width.items(), key=lambda kv: kv[1] == "1")  # its %d is a field of dates itself
+    return reduce(lambda t, kv: F.replace(t, F.lit(kv[0]), F.lit("%d" if kv[1] == "1" else f"%0{kv[1]}d")), one_digit_last, text)
 
 
 def path_parts(path: Column) -> Column:

@@ -7,13 +7,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 
 def latest_per_key(df: DataFrame, keys: list[str], ts: str, pos: str) -> DataFrame:
     """A1: of each key the row with the largest ``ts``; of equal ones the first by ``pos``.
 
-    One aggregate with map-side combine: a hot key sends one row per task. Rows with a null ``ts`` lose to all others.
+    A numeric position takes one aggregate with map-side combine, any other a rank that is cut off before the shuffle too: a
+    hot key sends one row per task. Rows with a null ``ts`` lose to all others.
     """
+    if not isinstance(df.schema[pos].dataType, NumericType):
+        order = Window.partitionBy(*keys).orderBy(F.col(ts).desc_nulls_last(), F.col(pos))
+        return df.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
     rest = [c for c in df.columns if c not in keys]
     best = F.max_by(F.struct(*rest), F.struct(F.col(ts), -F.col(pos)))
     return df.groupBy(*keys).agg(best.alias("_row")).select(*keys, *(F.col(f"_row.{c}").alias(c) for c in rest)).select(*df.columns)

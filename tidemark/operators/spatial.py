@@ -57,9 +57,11 @@ def value_range_join(left: DataFrame, right: DataFrame, a: str, b: str, width: f
 def nearest(left: DataFrame, right: DataFrame, keys: list[str], lts: str, rts: str, pos: str, within: int) -> DataFrame:
     """For each left row the right row nearest in time, at most ``within`` seconds away; of equal ones the first by ``pos``.
 
-    Slots of ``within`` seconds make an equi-key, so a left row meets three slots and not a key's whole history. A left
-    row is known by all its columns, which are kept; those without a match go.
+    Slots of ``within`` seconds make an equi-key, so a left row meets three slots and not a key's whole history. Repeated
+    left rows each have a result; those without a match go.
     """
+    own = left.columns
+    left = left.withColumn("_row", F.monotonically_increasing_id())
     at = F.unix_micros(F.col(lts).cast("timestamp"))
     there = F.unix_micros(F.col(rts).cast("timestamp"))
     slot = lambda x: F.floor(x / (within * 1_000_000)).cast("long")
@@ -68,4 +70,4 @@ def nearest(left: DataFrame, right: DataFrame, keys: list[str], lts: str, rts: s
     extra = [c for c in right.columns if c not in keys]
     near = l_.join(r, [*keys, "_slot"]).withColumn("_d", F.abs(F.col("_at") - F.col("_there"))).filter(F.col("_d") <= within * 1_000_000)
     best = near.groupBy(*left.columns).agg(F.min_by(F.struct(*extra), F.struct("_d", pos)).alias("_r"))
-    return best.select(*left.columns, *(F.col(f"_r.{c}").alias(c) for c in extra))
+    return best.select(*own, *(F.col(f"_r.{c}").alias(c) for c in extra))

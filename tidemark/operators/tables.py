@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,14 +17,26 @@ def coordinates(lon: DataFrame, lat: DataFrame) -> DataFrame:
     return lon.select("i0", F.col("value").alias("lon")).join(lat.select("i0", F.col("value").alias("lat")), "i0")
 
 
+def numbered(df: DataFrame, order: list) -> DataFrame:
+    """``df`` with line: its rows' numbers, from 1, in a total order. No task sees the whole table.
+
+    Rows are dealt by range and sorted within partitions; the partitions' sizes, of which there are few, give each its first
+    number. The sorted table is kept (spilling to disk), so that both steps see the same partitions.
+    """
+    at = F.monotonically_increasing_id()
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.shiftright(at, 33)).withColumn("_at", at.bitwiseAND((1 << 33) - 1)).persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
+    first = sizes.select("_part", (F.sum("n").over(Window.orderBy("_part")) - F.col("n")).alias("_first"))
+    return rows.join(F.broadcast(first), "_part").withColumn("line", F.col("_first") + F.col("_at") + 1).drop("_part", "_at", "_first")  # a row for each partition
+
+
 def zip_tables(first: DataFrame, second: DataFrame, order_first: list[str], order_second: list[str], suffixes: tuple[str, str] = ("1", "2")) -> DataFrame:
     """Row n of one table beside row n of the other; surplus rows of the second are ignored, missing ones are an error.
 
-    Positions come from a total order, so both sides pass one task each; for a large table give it a line number and join on that.
+    Positions come from a total order (see ``numbered``), then the lines are an equi-join.
     """
-    number = lambda order: F.row_number().over(Window.orderBy(*order))
-    a = first.select(*(F.col(c).alias(c + suffixes[0]) for c in first.columns), number(order_first).alias("line"))
-    b = second.select(*(F.col(c).alias(c + suffixes[1]) for c in second.columns), number(order_second).alias("line"), F.lit(True).alias("_there"))
+    a = numbered(first, order_first).select(*(F.col(c).alias(c + suffixes[0]) for c in first.columns), "line")
+    b = numbered(second, order_second).select(*(F.col(c).alias(c + suffixes[1]) for c in second.columns), "line", F.lit(True).alias("_there"))
     out = a.join(b, "line", "left").filter(F.when(F.col("_there").isNull(), F.raise_error(F.lit("the second table is shorter")).cast("boolean")).otherwise(True))
     shared = [c for c in first.columns if c in second.columns]
     return out.select("line", *(x for c in shared for x in (c + suffixes[0], c + suffixes[1])), *(c + suffixes[0] for c in first.columns if c not in shared), *(c + suffixes[1] for c in second.columns if c not in shared))
@@ -35,9 +48,9 @@ def located(samples: DataFrame, coords: DataFrame) -> tuple[DataFrame, DataFrame
 
 
 def wide(samples: DataFrame, variables: list[str]) -> DataFrame:
-    """A row for each lon, lat and second index, a column for each variable; of repeated cells the last wins."""
+    """A row for each lon, lat and second index, a column for each variable; of repeated cells the last wins. ``wide_lines`` puts them in order."""
     keyed = samples.withColumn("i1", F.coalesce("i1", F.lit(NO_INDEX)))
-    return keyed.groupBy("lon", "lat", "i1").pivot("var", variables).agg(F.max_by("value", "pos")).orderBy("lon", "lat", "i1")
+    return keyed.groupBy("lon", "lat", "i1").pivot("var", variables).agg(F.max_by("value", "pos"))
 
 
 def wide_lines(table: DataFrame, variables: list[str]) -> DataFrame:

@@ -6,6 +6,8 @@ and ``streaming.schedule`` runs them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -88,7 +90,25 @@ def not_yet(task: dict) -> bool:
     return False
 
 
+def storm_plugin(run: Column, work: Callable[[dict], bool] = not_yet) -> Plugin:
+    """Files are one listing with a column ``input`` that tells tracks, forecasts, images and soundings apart."""
+
+    def tasks(files: DataFrame) -> DataFrame:
+        of = lambda kind: files.filter(F.col("input") == kind).drop("input")
+        return storm_tasks(of("tracks"), of("forecasts"), of("images"), of("soundings"), run)
+
+    return Plugin(tasks, work, ("dts",), back_seconds=LOOK_BACK["storm"])
+
+
+def geostationary_plugin(headers: DataFrame, channels: DataFrame, sectors: DataFrame, required: list[str], work: Callable[[dict], bool] = not_yet) -> Plugin:
+    """Only tasks that have every required channel."""
+    return Plugin(lambda files: ready(geostationary_tasks(files, headers, channels, sectors)[0], required), work, ("dts", "satellite"), ts="dts", back_seconds=LOOK_BACK["geostationary"])
+
+
+#: Plugins, and makers of those that need more than a listing.
 PLUGINS |= {
+    "storm": storm_plugin,
+    "geostationary": geostationary_plugin,
     "dust": Plugin(dust_tasks, not_yet, ("file",), back_seconds=LOOK_BACK["dust"]),
     "forecast": Plugin(forecast_tasks, not_yet, ("dts", "hour"), back_seconds=LOOK_BACK["forecast"]),
 }

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -15,3 +18,14 @@ def session(app: str = "tidemark", master: str | None = None, **conf: str) -> Sp
 
 def table(spark: SparkSession, sf_dir: str, name: str):  # noqa: ANN201
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def scratch(spark: SparkSession, label: str) -> str:
+    """A fresh folder name below ``spark.checkpoint.dir``, which driver and executors share; where that is unset, a temporary one in local mode only."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not shared:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = tempfile.mkdtemp(prefix="tidemark-")
+        spark.sparkContext.setCheckpointDir(shared)
+    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

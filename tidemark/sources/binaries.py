@@ -58,15 +58,14 @@ def members(spark: SparkSession, path: str, kind: str, pattern: str = ".*", stri
         test = re.compile(pattern)
         for batch in batches:
             for source, content in zip(batch["path"], batch["content"], strict=True):
-                if kind == "tar":
-                    with tarfile.open(fileobj=io.BytesIO(bytes(content))) as archive:
-                        found = ((m.name, archive.extractfile(m).read()) for m in archive if m.isfile())
-                        rows = [(source, "/".join(n.split("/")[strip:]), data) for n, data in found]
-                else:
-                    with zipfile.ZipFile(io.BytesIO(bytes(content))) as archive:
-                        rows = [(source, "/".join(n.split("/")[strip:]), archive.read(n)) for n in archive.namelist() if not n.endswith("/")]
-                if rows := [r for r in rows if test.match(r[1])]:
-                    yield pd.DataFrame(rows, columns=["path", "member", "content"])
+                opened = tarfile.open(fileobj=io.BytesIO(content)) if kind == "tar" else zipfile.ZipFile(io.BytesIO(content))
+                with opened as archive:  # one member in memory beside the archive, and only those with such a name
+                    files = ((m, m.name) for m in archive if m.isfile()) if kind == "tar" else ((n, n) for n in archive.namelist() if not n.endswith("/"))
+                    for member, full in files:
+                        name = "/".join(full.split("/")[strip:])
+                        if test.match(name):
+                            data = archive.extractfile(member).read() if kind == "tar" else archive.read(member)
+                            yield pd.DataFrame([(source, name, data)], columns=["path", "member", "content"])
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(read, "path string, member string, content binary")
 
@@ -102,12 +101,30 @@ def sample_source(name: str, decode: Callable[[str], Iterator[tuple]], schema: s
     return Samples
 
 
+# The forecast fields (J14), name and message pattern.
+GRID_FIELDS = """
+u70 :UGRD:70 mb: | u100 :UGRD:100 mb: | u150 :UGRD:150 mb: | u200 :UGRD:200 mb: | u250 :UGRD:250 mb:
+u300 :UGRD:300 mb: | u400 :UGRD:400 mb: | u500 :UGRD:500 mb: | u600 :UGRD:600 mb: | u700 :UGRD:700 mb:
+u850 :UGRD:850 mb: | u925 :UGRD:925 mb: | u1000 :UGRD:1000 mb: | u1070 :UGRD:0.995 sigma level:
+v70 :VGRD:70 mb: | v100 :VGRD:100 mb: | v150 :VGRD:150 mb: | v200 :VGRD:200 mb: | v250 :VGRD:250 mb:
+v300 :VGRD:300 mb: | v400 :VGRD:400 mb: | v500 :VGRD:500 mb: | v600 :VGRD:600 mb: | v700 :VGRD:700 mb:
+v850 :VGRD:850 mb: | v925 :VGRD:925 mb: | v1000 :VGRD:1000 mb: | v1070 :VGRD:0.995 sigma level:
+height70 :HGT:70 mb: | height100 :HGT:100 mb: | height150 :HGT:150 mb: | height200 :HGT:200 mb: | height250 :HGT:250 mb:
+height300 :HGT:300 mb: | height400 :HGT:400 mb: | height500 :HGT:500 mb: | height600 :HGT:600 mb: | height700 :HGT:700 mb:
+height850 :HGT:850 mb: | height925 :HGT:925 mb: | height1000 :HGT:1000 mb: | height1070 :HGT:surface:
+temp70 :TMP:70 mb: | temp100 :TMP:100 mb: | temp150 :TMP:150 mb: | temp200 :TMP:200 mb: | temp250 :TMP:250 mb:
+temp300 :TMP:300 mb: | temp400 :TMP:400 mb: | temp500 :TMP:500 mb: | temp600 :TMP:600 mb: | temp700 :TMP:700 mb:
+temp850 :TMP:850 mb: | temp925 :TMP:925 mb: | temp1000 :TMP:1000 mb: | temp1070 :TMP:0.995 sigma level:
+relh100 :RH:100 mb: | relh70 :RH:70 mb: | relh150 :RH:150 mb: | relh200 :RH:200 mb: | relh250 :RH:250 mb:
+relh300 :RH:300 mb: | relh400 :RH:400 mb: | relh500 :RH:500 mb: | relh600 :RH:600 mb: | relh700 :RH:700 mb:
+relh850 :RH:850 mb: | relh925 :RH:925 mb: | relh1000 :RH:1000 mb: | relh1070 :RH:0.995 sigma level:
+p1070 :PRMSL:mean sea level:
+"""
+
+
 def grid_fields() -> list[tuple[str, str]]:
-    """The 71 forecast fields: name and message pattern. Levels are by the rule of the set, sigma and surface ones aside."""
-    levels = [70, 100, 150, 200, 250, 300, 400, 500, 600, 700, 850, 925, 1000]
-    kinds = {"u": ("UGRD", "0.995 sigma level"), "v": ("VGRD", "0.995 sigma level"), "height": ("HGT", "surface"), "temp": ("TMP", "0.995 sigma level"), "relh": ("RH", "0.995 sigma level")}
-    out = [(f"{k}{level}", f":{code}:{level} mb:") for k, (code, _) in kinds.items() for level in levels]
-    return out + [(f"{k}1070", f":{code}:{low}:") for k, (code, low) in kinds.items()] + [("p1070", ":PRMSL:mean sea level:")]
+    """(name, message pattern) of the forecast fields."""
+    return [tuple(entry.strip().split(" ", 1)) for entry in GRID_FIELDS.strip().replace("\n", "|").split("|")]
 
 
 def wanted_fields(messages: DataFrame, spark: SparkSession) -> DataFrame:

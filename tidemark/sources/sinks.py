@@ -82,7 +82,7 @@ def array_dataset(levels: DataFrame, surface: DataFrame, header: DataFrame, crea
     plevs = levels.groupBy("file").agg(F.array_sort(F.collect_set("level")).alias("levels"))
     east = lambda c: F.when(F.col(c) < 0, F.col(c) + 360).otherwise(F.col(c))
     storm = F.to_timestamp(F.format_string("%04d%02d%02d%02d", "ayear", "amonth", "aday", "ahour"), "yyyyMMddHH")
-    attrs = {
+    attrs = {  # fixed values: the attributes' names
         "date_created": formatted(created), "satellite_name": F.lit(satellite), "instrument_name": F.lit(instrument), "atcf_storm_id": F.concat(F.upper("abasin"), F.col("asnum").cast("string"), F.col("ayear").cast("string")),
         "atcf_storm_basin": F.upper("abasin"), "atcf_storm_number": F.col("asnum"), "atcf_storm_name": F.col("asname"), "atcf_storm_date_time": formatted(storm), "atcf_storm_latitude_degrees_north": F.col("alat"),
         "atcf_storm_longitude_degrees_east": east("alon"), "atcf_storm_speed_knots": F.col("aspeed"), "atcf_storm_direction_degrees": F.col("adir"), "atcf_storm_intensity_knots": F.col("avmx"),

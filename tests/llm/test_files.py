@@ -127,6 +127,11 @@ def test_grouping_against_best_fit(low, high):
         assert sum(t for t, _ in runs) < best_fit_decreasing(lengths, 1024)
 
 
+def test_plan_of_even_lengths():
+    lengths = np.random.default_rng(0).integers(1, 1025, 5000).tolist()
+    assert sum(t for t, _ in packing.plan(dict(Counter(lengths)), 1024)) <= 1.001 * best_fit_decreasing(lengths, 1024) + 1
+
+
 def test_configurations_hold_no_more_than_asked():
     sizes, demand = np.array([600, 424, 350, 330]), np.array([100, 100, 90, 60])
     found = packing.configurations(sizes, demand, 1024)

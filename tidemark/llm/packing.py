@@ -2,16 +2,16 @@
 
 The lengths of all pieces form a histogram of at most ``capacity`` entries, so the plan is made from counts alone:
 
-1. the large lengths (at least ``small`` of the capacity), in descending order, are cut into ``groups`` groups of equal
-   cardinality, and each is rounded up to the largest of its group;
+1. the large lengths (at least an eighth or a quarter of the capacity, whichever ends in fewer sequences), in descending
+   order, are cut into ``groups`` groups of equal cardinality, and each is rounded up to the largest of its group;
 2. configurations of these few sizes are optimised: the fewest sequences that hold them, by column generation with a
    knapsack, of which the whole parts are taken;
-3. actual lengths take the rounded places, the longest of a group first, which leaves room;
+3. actual lengths take the rounded places, the longest of a group first; the last place of a sequence may take a longer
+   one, up to all the room that the others left. Half of each configuration is filled so; what is left is grouped and
+   configured anew, until no whole part is left;
 4. the small lengths and what the whole parts left over go, longest first, where the room left is the least that suffices
    (best fit), or into new sequences.
 
-Where rounding up costs more than it gains, as on evenly spread lengths, best fit of all lengths is the plan.
-
 A plan is a list of runs: so many sequences that hold the same actual lengths. Documents find their place by their rank
 among those of equal length; ranks come from prefix sums over hashed buckets, so no length, however common, meets in one
 task.
@@ -109,63 +109,59 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list
     return chosen
 
 
+def groups_of(left: np.ndarray, groups: int, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rounded sizes (descending), how many lengths each stands for, and its shortest length; ``left`` counts each length."""
+    lengths = np.arange(len(left) - 1, int(np.ceil(least)) - 1, -1)
+    below = np.cumsum(left[lengths])
+    total = int(below[-1]) if len(below) else 0
+    ends = np.arange(1, min(groups, total) + 1) * total // max(min(groups, total), 1)
+    starts = np.concatenate([[0], ends])[:-1]
+    longest, shortest = lengths[np.searchsorted(below, starts, side="right")], lengths[np.searchsorted(below, ends - 1, side="right")]
+    sizes = np.unique(longest)[::-1]  # groups with one longest length are one
+    return sizes, np.array([(ends - starts)[longest == s].sum() for s in sizes], np.int64), np.array([shortest[longest == s].min() for s in sizes], np.int64)
+
+
+def substituted(places: list[tuple[int, int]], left: np.ndarray, capacity: int) -> list[int]:
+    """For each place (size, shortest length of its group) the longest length left in its group; the last one's may fill all the room. Empty where one is lacking."""
+    own: list[int] = []
+    for k, (size, shortest) in enumerate(places):
+        top = capacity - sum(own) if k == len(places) - 1 else size
+        found = next((int(n) for n in range(top, shortest - 1, -1) if left[n] > own.count(n)), 0)
+        if not found:
+            return []
+        own.append(found)
+    return own
+
+
 def grouped(histogram: dict[int, int], capacity: int, groups: int, small: float) -> list[tuple[int, list[int]]]:
-    """Linear grouping of the lengths of at least ``small`` of the capacity, then best fit of all that has no place yet."""
-    large = sorted((n for n in histogram if n >= small * capacity), reverse=True)
-    total = sum(histogram[n] for n in large)
-    stacks: dict[int, list[list[int]]] = {}  # by rounded size, the [length, count] of its groups, the longest last
-    filled, size = 0, 0
-    for n in large:
-        left = histogram[n]
-        while left:
-            group = filled * groups // total
-            if filled == 0 or group != before:
-                size = n
-            before = group
-            take = min(left, -(-total * (group + 1) // groups) - filled)  # up to where the group ends
-            stacks.setdefault(size, []).append([n, take])
-            filled, left = filled + take, left - take
-    sizes = np.array(list(stacks), int)
-    demand = np.array([sum(c for _, c in stacks[s]) for s in stacks], np.int64)
-    for stack in stacks.values():
-        stack.reverse()
+    """Rounds of linear grouping of the lengths of at least ``small`` of the capacity, then best fit of all that has no place yet.
+
+    The rounds go on until none gives a whole part: at most about two for each doubling of the number of lengths.
+    """
+    left = np.zeros(capacity + 1, np.int64)
+    left[list(histogram)] = list(histogram.values())
     runs: list[tuple[int, list[int]]] = []
-    for counts, times in configurations(sizes, demand, capacity) if len(sizes) else []:
-        held = {int(sizes[i]): int(counts[i]) for i in np.flatnonzero(counts)}
-        while times:  # sequences that hold the same lengths, as long as those last
-            own, step = [], times
-            for size, n in held.items():
-                for length, count in reversed(stacks[size]):
-                    take = min(n, count)
-                    own += [length] * take
-                    n -= take
-                    step = min(step, count // take)
-                    if not n:
-                        break
-            for size, n in held.items():
-                n, stack = n * step, stacks[size]
-                while n:
-                    take = min(n, stack[-1][1])
-                    stack[-1][1] -= take
-                    n -= take
-                    if not stack[-1][1]:
-                        stack.pop()
-            runs.append((step, own))
-            times -= step
-    rest: dict[int, int] = defaultdict(int, {n: c for n, c in histogram.items() if n < small * capacity})
-    for stack in stacks.values():
-        for n, c in stack:
-            rest[n] += c
-    return best_fit(runs, rest, capacity)
-
-
-def plan(histogram: dict[int, int], capacity: int, groups: int = 64, small: float = 1 / 8) -> list[tuple[int, list[int]]]:
+    placed = True
+    while placed:
+        placed = False
+        sizes, demand, shortest = groups_of(left, groups, small * capacity)
+        for counts, whole in configurations(sizes, demand, capacity) if len(sizes) else []:
+            slots = [(int(sizes[i]), int(shortest[i])) for i in np.repeat(np.arange(len(sizes)), counts)]
+            times = -(-whole // 2)
+            while times and (own := substituted(slots, left, capacity)):
+                step = min(times, *(int(left[n]) // own.count(n) for n in own))  # sequences that hold the same lengths, as long as those last
+                left[own] -= np.array([own.count(n) * step for n in own])
+                runs.append((step, own))
+                times, placed = times - step, True
+    return best_fit(runs, {int(n): int(left[n]) for n in np.flatnonzero(left)}, capacity)
+
+
+def plan(histogram: dict[int, int], capacity: int, groups: int = 64, small: tuple[float, ...] = (1 / 8, 1 / 4)) -> list[tuple[int, list[int]]]:
     """Runs (number of sequences, lengths in each) that hold every length of the histogram once for each of its count.
 
-    Rounding up costs room; where plain best fit of all lengths needs fewer sequences, that is the plan.
+    Which lengths are small is tried in turn: what is left to best fit should fill the room that the groups leave.
     """
-    number = lambda runs: sum(times for times, _ in runs)
-    return min(grouped(histogram, capacity, groups, small), best_fit([], histogram, capacity), key=number)
+    return min((grouped(histogram, capacity, groups, s) for s in small), key=lambda runs: sum(times for times, _ in runs))
 
 
 def best_fit(runs: list[tuple[int, list[int]]], small: dict[int, int], capacity: int) -> list[tuple[int, list[int]]]:

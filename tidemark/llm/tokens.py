@@ -19,7 +19,7 @@ SPACES = "\t-\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3
 SPACED = re.compile(f" ?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 AFTER_NEWLINE = re.compile(f"\n[{SPACES}]")
-CACHE_PIECES, CACHE_PIECE_CHARS = 300_000, 40  # pieces in each of two generations
+CACHE_PIECES, CACHE_PIECE_CHARS = 600_000, 40  # pieces in each of two generations, together at most some 300 MB a worker
 
 
 def visible_bytes() -> dict[int, str]:

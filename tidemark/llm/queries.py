@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import class_lm, jaccard_join, language_crf, mixing, near_vectors, packing, pii, telephony, token_files, warc
+from tidemark.llm import bpe, class_lm, jaccard_join, language_crf, mixing, near_vectors, packing, pii, telephony, token_files, warc
 from tidemark.llm.shared import fresh_dir, table, written
 
 TOKENIZERS = None  # folder of the tokenizers' files; None: that of the installed package
@@ -104,8 +104,20 @@ def op10_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return class_lm.scored(table(spark, sf_dir, "documents"), F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
 
 
+def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("word_bpe_49k.json")
+    texts = bpe.decode(bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text"), path)
+    return texts.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+OPERATORS = [
+    op1_pii_pseudonyms, op2_jaccard_join, op3_token_files, op4_warc_archives, op5_best_fit_packing, op6_telephony_media, op7_source_mixing,
+    op8_near_vectors, op9_language_crf, op10_class_lm, op11_bpe_round_trip,
+]
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pii_pseudonyms, op2_jaccard_join, op3_token_files, op4_warc_archives, op5_best_fit_packing, op6_telephony_media, op7_source_mixing, op8_near_vectors, op9_language_crf, op10_class_lm)}
+    return {f.__name__: f for f in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:

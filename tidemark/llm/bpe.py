@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql.types import BinaryType, DataType, StringType, StructField, StructType
 
 from tidemark.llm.shared import bound_batches, utf8_slices
 from tidemark.llm.tokens import SPACES, visible_bytes
@@ -165,7 +166,7 @@ class Bpe(dict):
             return " ".join(self.strings[x] for x in numbers if x in self.strings)
 
 
-def mapped(df: DataFrame, column: str, name: str, kind: str, each: Callable[[pa.RecordBatch, pa.LargeBinaryArray], pa.Array]) -> DataFrame:
+def mapped(df: DataFrame, column: str, name: str, kind: DataType, each: Callable[[pa.RecordBatch, pa.LargeBinaryArray], pa.Array]) -> DataFrame:
     """``df`` with one more column, which ``each`` makes of slices of bounded size. A column of that name is an error."""
     if name in df.columns:
         raise ValueError(f"there is a column {name} already")
@@ -176,7 +177,7 @@ def mapped(df: DataFrame, column: str, name: str, kind: str, each: Callable[[pa.
             for part, values in utf8_slices(batch, column):
                 yield pa.RecordBatch.from_arrays([*part.columns, each(part, values)], [*part.schema.names, name])
 
-    return df.mapInArrow(run, df.schema.add(name, kind))
+    return df.mapInArrow(run, StructType([*df.schema, StructField(name, kind)]))
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
@@ -184,9 +185,9 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
 
     A null or empty text has no ids (empty binary). Repeated rows and all other columns stay; an empty table stays empty.
     """
-    return mapped(docs, text_col, ids_col, "binary", lambda part, _: pa.array(map(Bpe.get(path).ids, part.column(text_col).to_pylist()), pa.binary()))
+    return mapped(docs, text_col, ids_col, BinaryType(), lambda part, _: pa.array(map(Bpe.get(path).ids, part.column(text_col).to_pylist()), pa.binary()))
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``df`` with ``text_col``: the text of ``ids_col`` (empty where that is null or empty). Ids outside the vocabulary are left out."""
-    return mapped(df, ids_col, text_col, "string", lambda _, ids: pa.array((Bpe.get(path).text(x.as_py()) for x in ids), pa.string()))
+    return mapped(df, ids_col, text_col, StringType(), lambda _, ids: pa.array((Bpe.get(path).text(x.as_py()) for x in ids), pa.string()))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, class_lm, jaccard_join, language_crf, mixing, near_vectors, packing, pii, telephony, token_files, warc
+from tidemark.llm import bpe, class_lm, jaccard_join, language_crf, mixing, near_vectors, packing, pii, prefix_trie, telephony, token_files, warc
 from tidemark.llm.shared import fresh_dir, table, written
 
 TOKENIZERS = None  # folder of the tokenizers' files; None: that of the installed package
@@ -44,6 +44,35 @@ reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN l
 SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id)::BIGINT AS n_links, least(vec_id, (SELECT min(b) FROM reach WHERE a = vec_id)) AS component_id,
   vec_id = least(vec_id, (SELECT min(b) FROM reach WHERE a = vec_id)) AS kept FROM embeddings"""
 
+TRIE_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+    sha256(octet_length(encode(coalesce(role, '')))::VARCHAR || ' ' || coalesce(role, '') || coalesce(text, '')) AS label,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS words FROM conversations WHERE conv_id IS NOT NULL),
+bits AS (
+  SELECT DISTINCT conv_id, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+    lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) ELSE xor(c >> 1, (c & 1) * 3988292384) END) AS crc FROM turns),
+convs AS (SELECT conv_id, (xor(crc, 4294967295) & 3) AS head, conv_id - conv_id % 20 AS first FROM bits),
+sizes AS (SELECT conv_id AS first, count(*) AS own FROM turns GROUP BY conv_id),
+rebuilt AS (
+  SELECT c.conv_id, t.pos, t.label, t.words FROM convs c JOIN turns t ON t.conv_id = c.first AND t.pos <= c.head
+  UNION ALL SELECT c.conv_id, t.pos - c.head + least(c.head, coalesce(s.own, 0)), t.label, t.words
+  FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.head LEFT JOIN sizes s ON s.first = c.first),
+keys AS (
+  SELECT conv_id, pos, words, string_agg(label, '') OVER (PARTITION BY conv_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS key FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+lasts AS (SELECT conv_id, max(pos) AS n FROM keys GROUP BY conv_id),
+nodes AS (
+  SELECT key, k.pos AS depth, min(k.conv_id) AS conv_id, count(*) AS n_convs, min(words) AS words, string_agg(CASE WHEN k.pos = n THEN k.conv_id::VARCHAR END, ',' ORDER BY k.conv_id) AS ends
+  FROM keys k JOIN lasts l ON k.conv_id = l.conv_id GROUP BY key, k.pos),
+counts AS (SELECT left(key, 64 * (depth - 1)::INT) AS key, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+whole AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN counts c ON n.key = c.key),
+above AS (SELECT left(key, 64 * i::INT) AS key, sum((n_convs - 1) * words) AS saved, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS leaves
+  FROM (SELECT key, n_convs, words, n_children, unnest(range(0, depth + 1)) AS i FROM whole) GROUP BY 1)
+SELECT w.conv_id, w.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, w.n_convs::BIGINT AS n_convs, w.n_children::BIGINT AS n_children, a.leaves::BIGINT AS n_leaves,
+  a.saved::BIGINT AS saved_tokens, sha256(coalesce(w.ends, '')) AS ends_sha256
+FROM whole w JOIN above a ON w.key = a.key LEFT JOIN nodes p ON w.depth > 0 AND p.key = left(w.key, 64 * (w.depth - 1)::INT)"""
+
 
 def tokenizer_path(name: str) -> str:
     if TOKENIZERS:
@@ -110,9 +139,14 @@ def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turns_of(table(spark, sf_dir, "conversations"))
+    return prefix_trie.prefix_trie(*prefix_trie.rebuilt(turns))
+
+
 OPERATORS = [
     op1_pii_pseudonyms, op2_jaccard_join, op3_token_files, op4_warc_archives, op5_best_fit_packing, op6_telephony_media, op7_source_mixing,
-    op8_near_vectors, op9_language_crf, op10_class_lm, op11_bpe_round_trip,
+    op8_near_vectors, op9_language_crf, op10_class_lm, op11_bpe_round_trip, op12_conversation_trie,
 ]
 
 
@@ -121,4 +155,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_jaccard_join": JACCARD_SQL, "op4_warc_archives": WARC_SQL, "op8_near_vectors": VECTORS_SQL, "op7_source_mixing": mixing.report_sql()}
+    return {"op2_jaccard_join": JACCARD_SQL, "op4_warc_archives": WARC_SQL, "op8_near_vectors": VECTORS_SQL, "op7_source_mixing": mixing.report_sql(), "op12_conversation_trie": TRIE_SQL}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, class_lm, jaccard_join, language_crf, mixing, near_vectors, packing, pii, prefix_trie, telephony, token_files, warc
+from tidemark.llm import bpe, class_lm, jaccard_join, language_crf, mixing, near_vectors, packing, pii, prefix_trie, telephony, token_alignment, token_files, warc
 from tidemark.llm.shared import fresh_dir, table, written
 
 TOKENIZERS = None  # folder of the tokenizers' files; None: that of the installed package
@@ -144,9 +144,13 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(*prefix_trie.rebuilt(turns))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.aligned(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 OPERATORS = [
     op1_pii_pseudonyms, op2_jaccard_join, op3_token_files, op4_warc_archives, op5_best_fit_packing, op6_telephony_media, op7_source_mixing,
-    op8_near_vectors, op9_language_crf, op10_class_lm, op11_bpe_round_trip, op12_conversation_trie,
+    op8_near_vectors, op9_language_crf, op10_class_lm, op11_bpe_round_trip, op12_conversation_trie, op13_token_alignment,
 ]
 
 

@@ -203,3 +203,37 @@ def test_latest_with_a_text_position(spark):
 def test_lines_are_numbered_over_partitions(spark):
     df = spark.range(1000).selectExpr("id * 7919 % 1000 AS k").repartition(5)
     assert [r.line for r in tables.numbered(df, ["k"]).orderBy("k").collect()] == list(range(1, 1001))
+
+
+def test_a_large_file_is_read_by_many_tasks(spark, tmp_path):
+    """One file of 50,000 numbered lines, some empty, some ending in CR LF, in ranges of 16 kB; a small one beside it."""
+    text = [f"{i} " + "x" * (i % 37) if i % 11 else "" for i in range(50_000)]
+    (tmp_path / "big.txt").write_text("".join(x + ("\r\n" if i % 5 == 0 else "\n") for i, x in enumerate(text)), newline="")
+    (tmp_path / "small.txt").write_text("a\nb")
+    (tmp_path / "none.txt").write_text("")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        found = texts.lines(spark, str(tmp_path))
+        parts = found.filter("file LIKE '%big.txt'").groupBy("start", F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()
+        got = {(r.file.rsplit("/", 1)[1], r.line_no): r.value for r in found.collect()}
+        heads = found.withColumn("head", F.when(F.col("line_no") % 4000 == 0, F.col("line_no")))
+        filled = texts.scanned(heads, ordinal="n", fill={"last": "head"}, since={"gone": "head"}).filter("file LIKE '%big.txt'")
+        wrong = filled.filter("n <> line_no + 1 OR last <> line_no - line_no % 4000 OR gone <> line_no % 4000").count()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len({p.task for p in parts}) > 50 and max(p.n for p in parts) < 3000
+    assert got == {("big.txt", i): x for i, x in enumerate(text)} | {("small.txt", 0): "a", ("small.txt", 1): "b"}
+    assert wrong == 0
+
+
+def test_pieces_are_one_file(spark, tmp_path):
+    rows = spark.range(3000).select(F.when(F.col("id") < 2500, "hot").otherwise("cold").alias("file"), F.col("id").alias("pos"), F.col("id").cast("string").alias("value"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows.repartitionByRange(8, "file", "pos").sortWithinPartitions("file", "pos").select("file", "value").write.partitionBy("file").text(str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "out" / "file=hot").glob("*.txt"))) > 4
+    found = texts.lines(spark, str(tmp_path / "out"), pieces=True)
+    got = sorted((r.file.rsplit("=", 1)[1], r.line_no, r.value) for r in found.collect())
+    assert got == sorted([("hot", i, str(i)) for i in range(2500)] + [("cold", i, str(i + 2500)) for i in range(500)])

@@ -134,9 +134,10 @@ def segmented_scan(
     for c in filled:
         before += [F.last(f"{x}_{c}", ignorenulls=True).over(earlier).alias(f"_before{x}_{c}") for x in ("_fill", "_stood")]
     inherited = sums.select(*(F.col(k).alias(f"_before_{i}") for i, k in enumerate(keys)), F.col("_part").alias("_before_part"), *before).filter("_before_rows IS NOT NULL")
-    if order is not None:  # it isn't free to find with parts, and its two rows for each task are few
-        inherited = F.broadcast(inherited)
-    elif inherited.count() <= MOST_BROADCAST:
+    kept = scratch(df.sparkSession, "inherited")
+    inherited.write.parquet(kept)
+    inherited = df.sparkSession.read.schema(inherited.schema).parquet(kept)
+    if inherited.count() <= MOST_BROADCAST:
         inherited = F.broadcast(inherited)
     same = F.col("_part") == F.col("_before_part")
     for i, k in enumerate(keys):

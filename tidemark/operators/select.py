@@ -1,4 +1,4 @@
-"""Newest-per-key selection, horizons, endpoints and order.
+"""Newest-per-key selection, horizons, endpoints and order.
 
 Every tie is broken by an explicit position column, so results don't depend on the order in which Spark reads.
 """
@@ -69,21 +69,6 @@ def projected(df: DataFrame, wanted: list[str], renames: dict[str, str] | None =
     return df.drop(*dropped).select(*wanted).withColumnsRenamed(renames or {})
 
 
-def sticky_flag(df: DataFrame, keys: list[str], pos: str, starts: Column, name: str) -> DataFrame:
-    """False before the first row where ``starts`` holds, true from there on."""
-    return df.withColumn(name, F.coalesce(F.max(starts).over(Window.partitionBy(*keys).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)), F.lit(False)))
-
-
-def filled_down(df: DataFrame, keys: list[str], pos: str, header: Column, name: str) -> DataFrame:
-    """The last header at or above each row, null before the first."""
-    return df.withColumn(name, F.last(header, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)))
-
-
-def ordinals(df: DataFrame, keys: list[str], pos: str, name: str = "ordinal") -> DataFrame:
-    """The place of each row within its block, from 0."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(pos)) - 1)
-
-
 def non_empty(files: DataFrame) -> DataFrame:
     """F13."""
     return files.filter(F.col("length") > 0)

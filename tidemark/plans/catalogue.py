@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import arrays, strings, times, values
-from tidemark.operators import groups, link, select, sets, spatial, tables
+from tidemark.operators import groups, link, scan, select, sets, spatial, tables
 from tidemark.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -358,8 +358,9 @@ WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED P
 def q44_filldown(spark, sf):  # noqa: ANN001, ANN201
     events = table(spark, sf, "events").select("event_id", "user_id", "event_type", F.struct("ts", "event_id").alias("pos"))
     head = F.col("event_type") == "purchase"
-    out = select.filled_down(events, ["user_id"], "pos", F.when(head, F.col("event_id")), "header")
-    return select.sticky_flag(out, ["user_id"], "pos", head, "begun").select("event_id", "header", "begun")
+    marked = events.withColumns({"purchase": F.when(head, F.col("event_id")), "seen": F.when(head, True)})
+    out = scan.segmented_scan(marked, ["user_id"], [F.col("pos")], fill={"header": "purchase", "begun": "seen"})
+    return out.select("event_id", "header", F.coalesce("begun", F.lit(False)).alias("begun"))
 
 
 @query("SELECT user_id, arg_min(value, (ts, event_id)) AS first_value, arg_max(value, (ts, event_id)) AS last_value FROM events GROUP BY user_id")

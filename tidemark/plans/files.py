@@ -15,10 +15,14 @@ from tidemark.sources import names, sinks, texts
 
 
 def through_files(rows: DataFrame, label: str) -> DataFrame:
-    """Rows of (file, pos, value) written as text files and read back as file, line_no, value."""
+    """Rows of (file, pos, value) written as text files and read back as file, start, line_no, value.
+
+    Ranges of (file, pos) go to tasks, each of which writes its piece of a file; the pieces are read as the file they make up.
+    """
     path = scratch(rows.sparkSession, label)
-    rows.repartition("file").sortWithinPartitions("file", "pos").select("file", "value").write.partitionBy("file").text(path)
-    return texts.lines(rows.sparkSession, path).withColumn("file", F.regexp_extract("file", r"file=([^/]+)/", 1))
+    at = [F.col("file"), F.col("pos")]
+    rows.repartitionByRange(*at).sortWithinPartitions(*at).select("file", "value").write.partitionBy("file").text(path)
+    return texts.lines(rows.sparkSession, path, pieces=True).withColumn("file", F.regexp_extract("file", r"file=([^/]+)$", 1))
 
 
 def in_order(*lines: Column) -> Column:
@@ -143,27 +147,37 @@ def q68_manifests(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.text(path).select("channel", F.col("value").alias("name"))
 
 
+# Heading lines in the documented layout.
 HEADING = ("01 20121027 201230118   29.8  -75.6   28.1  -76.9 034 010 075 065 065 AL1812  SANDY", "01 2012301 180860    29.70   -76.38    29.82   -75.58")
 KNOTS = 1.943844492457398
 
 
 def grid_lines(nation: DataFrame) -> DataFrame:
     """A gridded field file for each nation: two pressure levels and the surface, three by two cells."""
-    cell = lambda j, i: F.concat_ws(" ", F.lit(f"{10 + j}.0 {300 + i}.0"), (F.col("n_nationkey") + i).cast("double").cast("string"), (F.col("n_regionkey") + j).cast("double").cast("string"), F.lit("2.5 3.5"))
-    cells = [cell(j, i) for j in range(2) for i in range(3)]
+    number = lambda x: F.expr(f"CAST(CAST({x} AS DOUBLE) AS STRING)")
+
+    def cell(j: int, i: int, *more: str) -> Column:
+        return F.concat_ws(" ", F.lit(f"{10 + j}.0 {300 + i}.0"), *map(number, (f"n_nationkey + {i}", f"n_regionkey + {j}", f"n_nationkey + {j} / 2D", *more)))
+
+    at = [(j, i) for j in range(2) for i in range(3)]
+    cells = [cell(j, i, f"n_regionkey + {100 + i}") for j, i in at]
     block = lambda p: [F.lit(f"Pressure level (Pa)= {p} nlat= 2 nlon= 3"), F.lit("Lat Lon U V T Z"), *cells]
-    surface = [F.lit("Surface"), F.lit("Lat Lon U V T SLP CLW"), *(F.concat_ws(" ", c, F.lit("4.5")) for c in cells)]
-    return nation.select(F.concat(F.lit("n"), "n_nationkey").alias("file"), F.inline(in_order(*map(F.lit, HEADING), *block("10000.0"), *block("85000.0"), *surface)))
+    below = [cell(j, i, f"n_regionkey + {1000 + i}", f"n_nationkey / 4D + {j}") for j, i in at]
+    surface = [F.lit("Surface"), F.lit("Lat Lon U V T SLP CLW"), *below]
+    lines = in_order(*map(F.lit, HEADING), *block("10000.0"), *block("85000.0"), *surface)
+    return nation.select(F.concat(F.lit("n"), "n_nationkey").alias("file"), F.inline(lines))
 
 
-@query(f"""SELECT 'n' || n_nationkey AS file, level, i::INT AS i, j::INT AS j, 10.0::DOUBLE + j AS lat, 300.0::DOUBLE + i AS lon, (n_nationkey + i) * {KNOTS}::DOUBLE AS u, (n_regionkey + j) * {KNOTS}::DOUBLE AS v, 2.5::DOUBLE AS t, 3.5::DOUBLE AS z
+@query(f"""SELECT 'n' || n_nationkey AS file, level, i::INT AS i, j::INT AS j, 10.0::DOUBLE + j AS lat, 300.0::DOUBLE + i AS lon,
+(n_nationkey + i) * {KNOTS}::DOUBLE AS u, (n_regionkey + j) * {KNOTS}::DOUBLE AS v, n_nationkey + j / 2.0::DOUBLE AS t, (n_regionkey + 100 + i)::DOUBLE AS z
 FROM nation, range(3) a(i), range(2) b(j), (SELECT unnest([10000.0::DOUBLE, 85000.0::DOUBLE]) AS level)""")
 def q69_pressure_cells(spark: SparkSession, sf: str) -> DataFrame:
     """The cells of pressure levels."""
     return texts.pressure_fields(through_files(grid_lines(table(spark, sf, "nation")), "grids"))[0]
 
 
-@query(f"""SELECT 'n' || n_nationkey AS file, i::INT AS i, j::INT AS j, 10.0::DOUBLE + j AS lat, 300.0::DOUBLE + i AS lon, (n_nationkey + i) * {KNOTS}::DOUBLE AS u, (n_regionkey + j) * {KNOTS}::DOUBLE AS v, 2.5::DOUBLE AS t, 3.5::DOUBLE AS slp, 4.5::DOUBLE AS clw
+@query(f"""SELECT 'n' || n_nationkey AS file, i::INT AS i, j::INT AS j, 10.0::DOUBLE + j AS lat, 300.0::DOUBLE + i AS lon, (n_nationkey + i) * {KNOTS}::DOUBLE AS u,
+(n_regionkey + j) * {KNOTS}::DOUBLE AS v, n_nationkey + j / 2.0::DOUBLE AS t, (n_regionkey + 1000 + i)::DOUBLE AS slp, n_nationkey / 4.0::DOUBLE + j AS clw
 FROM nation, range(3) a(i), range(2) b(j)""")
 def q70_surface_cells(spark: SparkSession, sf: str) -> DataFrame:
     """The cells of the surface."""
@@ -188,3 +202,25 @@ def q72_date_formats(spark: SparkSession, sf: str) -> DataFrame:
 
     tail = (F.col("event_id") % 3).cast("string")
     return table(spark, sf, "events").select("event_id", date_format_pattern(F.concat(F.lit("%Y-%j"), tail)).alias("pattern"), date_format_printf(F.concat(F.lit("%Y%w_"), tail)).alias("printf"))
+
+
+@query("""SELECT 'c' || c_custkey AS file, 2012::INT AS ayear, (c_custkey % 12 + 1)::INT AS amonth, (c_custkey % 28 + 1)::INT AS aday, (c_custkey % 24)::INT AS ahour, (c_custkey % 90)::DOUBLE AS alat,
+(c_nationkey * 2)::DOUBLE AS alon, (c_custkey % 150)::INT AS avmx, 'AL' AS abasin, (c_custkey % 100)::INT AS asnum, 'STORM' || c_nationkey AS asname,
+strftime(TIMESTAMP '2012-01-01' + INTERVAL 1 DAY * (c_custkey % 366)::INT + INTERVAL 1 HOUR * (c_custkey % 24)::INT + INTERVAL 1 MINUTE * (c_custkey % 60)::INT + INTERVAL 1 SECOND * (c_custkey % 61)::INT, '%Y-%m-%d %H:%M:%S') AS swath,
+(c_custkey % 180 - 90)::DOUBLE AS clat FROM customer""")
+def q73_storm_headings(spark: SparkSession, sf: str) -> DataFrame:
+    """The two heading lines of a field file for each customer; some swaths are at second 60."""
+    f = lambda form, x: F.expr(f"format_string('{form}', {x})")
+    date = F.concat(F.lit("2012"), f("%02d", "c_custkey % 12 + 1"), f("%02d", "c_custkey % 28 + 1"))
+    numbers = lambda *x: [F.expr(f"CAST(CAST({y} AS DOUBLE) AS STRING)") for y in x]
+    name = F.concat(F.lit("AL"), f("%02d", "c_custkey % 100"), F.lit("12"))
+    first = F.concat_ws(" ", F.lit("01"), date, F.concat(F.lit("2012001"), f("%02d", "c_custkey % 24")), *numbers("c_custkey % 90", "c_nationkey * 2", "0", "0"),
+        F.lit("034 010 075"), f("%03d", "c_custkey % 150"), F.lit("065"), name, F.concat(F.lit("STORM"), "c_nationkey"))
+    clock = [f("%02d", f"c_custkey % {n}") for n in (24, 60, 61)]
+    second = F.concat_ws(" ", F.lit("01"), F.concat(F.lit("2012"), f("%03d", "c_custkey % 366 + 1")), F.concat(*clock), *numbers("1", "2", "c_custkey % 180 - 90", "3"))
+    rows = table(spark, sf, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("file"), F.inline(in_order(first, second)))
+    path = scratch(spark, "headings")
+    rows.select(F.concat_ws("|", "file", F.col("pos").cast("string"), "value").alias("value")).write.text(path)
+    part = F.split("value", r"\|")
+    found = texts.storm_headers(spark.read.text(path).select(part[0].alias("file"), part[1].cast("long").alias("line_no"), part[2].alias("value")))
+    return found.select("file", "ayear", "amonth", "aday", "ahour", "alat", "alon", "avmx", "abasin", "asnum", "asname", text_of("swath_time").alias("swath"), "clat")

@@ -1,4 +1,4 @@
-"""Text formats as tables (S10-S15, S23). A file's lines get positions, then parsing is columns and windows per file."""
+"""Text formats as tables (S10-S15). Lines are numbered over byte ranges, then parsing is columns and segmented scans."""
 
 from __future__ import annotations
 
@@ -10,15 +10,53 @@ from tidemark.functions.strings import key_value
 from tidemark.functions.times import day_of_year, timestamp_60
 from tidemark.functions.values import axis, knots
 from tidemark.operators.groups import multi_values
-from tidemark.operators.select import filled_down, ordinals, sticky_flag
+from tidemark.operators.scan import MOST_BROADCAST, segmented_scan
+from tidemark.session import scratch
 
 TRACK_COLUMNS = ["DELTA_T", "LATITUDE", "LONGITUDE", "DIRECTION", "SPEED", "RMAX", "VMAX", "NAME"]
 
 
-def lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """file, line_no (from 0), value. A file is one row first, so that its lines keep their order; files are small, and many run in parallel."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    return whole.select("file", F.posexplode(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")).alias("line_no", "value"))
+PIECE = r"^(.*)/part-(\d+)-[^/]*c(\d+)[^/]*$"  # fixed value: how Spark's writers name the pieces of an output
+
+
+def lines(spark: SparkSession, path: str | list[str], pieces: bool = False) -> DataFrame:
+    """file, start, line_no (from 0), value of text files of any size, which many tasks read by byte ranges.
+
+    A line belongs to the range in which it begins. The ranges' line counts are added up per file, so a line's number needs
+    its range's sum and its place in the range alone. ``start`` ascends within a file and marks a range: rows of one come in
+    order, which ``segmented_scan`` takes as ``part``. With ``pieces`` a folder of Spark's part files is one file, in the
+    order of their numbers (below 2 ** 17, of files below 1 TB). Ranges are as long as
+    ``spark.sql.files.maxPartitionBytes`` says; compressed files are one range. Empty files have no line.
+    """
+    at, begin = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    if pieces:
+        number, part = (F.regexp_extract(at, PIECE, i).cast("long") for i in (2, 3))
+        far = (number >= 1 << 17) | (part >= 1 << 6) | (begin >= 1 << 40)
+        begin = F.when(far, F.raise_error(F.concat(F.lit("too many pieces: "), at)).cast("long")).otherwise(F.shiftleft(number, 46) + F.shiftleft(part, 40) + begin)
+        at = F.regexp_extract(at, PIECE, 1)
+    rows = spark.read.text(path).select(at.alias("file"), begin.alias("start"), F.monotonically_increasing_id().alias("_id"), "value")
+    kept = scratch(spark, "ranges")
+    rows.groupBy("file", "start").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).write.parquet(kept)
+    ranges = spark.read.schema("file string, start long, _first long, _n long").parquet(kept)
+    before = F.sum("_n").over(Window.partitionBy("file").orderBy("start")) - F.col("_n")
+    sums = ranges.select("file", "start", (before - F.col("_first")).alias("_shift"))
+    few = ranges.count() <= MOST_BROADCAST
+    out = rows.join(F.broadcast(sums) if few else sums, ["file", "start"]).withColumn("line_no", F.col("_id") + F.col("_shift"))
+    return out.select("file", *(["start"] if few else []), "line_no", "value")  # a shuffle loses the order within ranges
+
+
+def scanned(rows: DataFrame, **wanted) -> DataFrame:  # noqa: ANN003
+    """A scan over each file's lines: by the ranges in which they were read, or in the order of line_no."""
+    if "start" in rows.columns:
+        return segmented_scan(rows, ["file"], part="start", **wanted)
+    return segmented_scan(rows, ["file"], [F.col("line_no")], **wanted)
+
+
+def body_lines(rows: DataFrame, first: int) -> DataFrame:
+    """Lines from ``first`` on that aren't blank. Their values are tied to their numbers, so that no later test on a value is
+    made on a heading line: a filter on values alone would be pushed below the join that numbers lines."""
+    own = F.col("line_no") >= first
+    return rows.filter(own).withColumn("value", F.when(own, F.col("value"))).filter("trim(value) <> ''")
 
 
 def words(value: Column) -> Column:
@@ -52,7 +90,7 @@ def track_table(rows: DataFrame, where: tuple[str, float] | None = None, time_fo
 
         raise InputError(f"no column {where[0]}")
     w = words(F.col("value"))
-    table = rows.filter("line_no >= 3 AND trim(value) <> ''").select("file", "line_no", w.alias("w"))
+    table = body_lines(rows, 3).select("file", "line_no", w.alias("w"))
     types = ["int", *["double"] * 6, "string"]
     out = table.select("file", "line_no", F.to_timestamp(F.concat_ws(" ", F.col("w")[0], F.col("w")[1]), time_format).alias("DATETIME"), *(F.col("w")[i + 2].cast(t).alias(c) for i, (c, t) in enumerate(zip(TRACK_COLUMNS, types, strict=True))))
     return out.filter(F.col(where[0]) == where[1]) if where else out
@@ -66,7 +104,7 @@ def sparse_variables(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     bad = ~F.col("type").isin("int", "float")
     heads = heads.withColumn("type", F.when(bad, F.raise_error(F.concat(F.lit("unknown type "), F.col("type"))).cast("string")).otherwise(F.col("type"))).withColumn("var", var)
     f = F.split(F.rtrim("value"), ",")
-    values = rows.filter("line_no >= 3 AND trim(value) <> ''").select("file", var.alias("var"), (F.col("line_no") - 3).alias("pos"), f.alias("f"))
+    values = body_lines(rows, 3).select("file", var.alias("var"), (F.col("line_no") - 3).alias("pos"), f.alias("f"))
     return heads, values.select("file", "var", "pos", F.col("f")[0].cast("int").alias("i0"), F.when(F.size("f") == 3, F.col("f")[1].cast("int")).alias("i1"), F.element_at("f", -1).cast("double").alias("value"))
 
 
@@ -90,23 +128,25 @@ def storm_headers(rows: DataFrame) -> DataFrame:
 def pressure_fields(rows: DataFrame, convert: bool = True, compat: bool = False) -> tuple[DataFrame, DataFrame]:
     """Of gridded field files the pressure-level cells and the surface cells, long.
 
-    Cells are numbered column-major within a block (longitude index first). Winds become knots if asked for; ``compat``
+    Cells are numbered column-major within a block (longitude index first), by their distance from its heading. Winds become knots if asked for; ``compat``
     leaves the surface v as it is, as an old rule had it. Blank lines are skipped; other unexpected lines are an error.
     """
-    body = rows.filter("line_no >= 2 AND trim(value) <> ''").withColumn("w", words(F.col("value")))
+    body = body_lines(rows, 2).withColumn("w", words(F.col("value")))
     first = F.col("w")[0]
+    is_cell = first.rlike(r"^[-+]?\d")
+    known = first.isin("Pressure", "Lat", "Surface") | is_cell
+    body = body.filter(F.when(~known, F.raise_error(F.concat(F.lit("unexpected line in "), F.col("file"))).cast("boolean")).otherwise(first != "Lat"))
     level = F.regexp_extract("value", r"=\s*([0-9.]+)\s+nlat", 1)
-    head = F.when(first == "Pressure", F.struct(level.cast("double").alias("level"), F.regexp_extract("value", r"nlat=\s*(\d+)", 1).cast("int").alias("nlat"), F.regexp_extract("value", r"nlon=\s*(\d+)", 1).cast("int").alias("nlon"), F.col("line_no").alias("at")))
-    body = filled_down(sticky_flag(body, ["file"], "line_no", first == "Surface", "surface"), ["file"], "line_no", head, "head")
-    known = first.isin("Pressure", "Lat", "Surface") | first.rlike(r"^[-+]?\d")
-    body = body.filter(F.when(~known, F.raise_error(F.concat(F.lit("unexpected line in "), F.col("file"))).cast("boolean")).otherwise(True))
-    cells = body.filter(first.rlike(r"^[-+]?\d")).withColumn("block", F.when(F.col("surface"), -1).otherwise(F.col("head.at")))
-    cells = ordinals(cells, ["file", "block"], "line_no")
+    nlon = F.regexp_extract("value", r"nlon=\s*(\d+)", 1)
+    pressure, surface = first == "Pressure", first == "Surface"
+    heads = {"h_level": F.when(pressure, level.cast("double")), "h_nlon": F.when(pressure, nlon.cast("int")), "h_surface": F.when(surface, True), "h_block": F.when(~is_cell, F.col("line_no"))}
+    body = scanned(body.withColumns(heads), fill={"level": "h_level", "nlon": "h_nlon", "surface": "h_surface"}, since={"in_block": "h_block"})
+    cells = body.filter(is_cell).withColumn("ordinal", F.col("in_block") - 1).withColumn("surface", F.coalesce("surface", F.lit(False)))
     number = lambda i: F.col("w")[i].cast("double")
     wind = lambda i: knots(number(i)) if convert else number(i)
-    i, j = F.col("ordinal") % F.col("head.nlon"), F.floor(F.col("ordinal") / F.col("head.nlon"))
+    i, j = F.col("ordinal") % F.col("nlon"), F.floor(F.col("ordinal") / F.col("nlon"))
     place = [F.col("file"), i.cast("int").alias("i"), j.cast("int").alias("j"), number(0).alias("lat"), number(1).alias("lon"), wind(2).alias("u")]
-    levels = cells.filter("NOT surface").select(F.col("head.level").alias("level"), *place, wind(3).alias("v"), number(4).alias("t"), number(5).alias("z"))
+    levels = cells.filter("NOT surface").select("level", *place, wind(3).alias("v"), number(4).alias("t"), number(5).alias("z"))
     surface = cells.filter("surface").select(*place, (number(3) if compat else wind(3)).alias("v"), number(4).alias("t"), number(5).alias("slp"), number(6).alias("clw"))
     return levels, surface
 
@@ -115,13 +155,15 @@ def radial_fields(rows: DataFrame, convert: bool = True) -> DataFrame:
     """File, var, r_idx, z_idx, radius, height, value of radius-height files: free-format numbers under named headings, column-major."""
     heads = rows.filter("line_no = 2").select("file", words(F.col("value")).alias("w"))
     heads = heads.select("file", F.col("w")[4].cast("int").alias("nr"), axis(F.col("w")[5].cast("double"), F.col("w")[6].cast("double"), F.col("w")[4].cast("int")).alias("radii"), axis(F.col("w")[9].cast("double"), F.col("w")[10].cast("double"), F.col("w")[8].cast("int")).alias("heights"))
-    body = rows.filter("line_no >= 3 AND trim(value) <> ''").withColumn("w", words(F.col("value")))
+    body = body_lines(rows, 3).withColumn("w", words(F.col("value")))
     name = F.when(F.col("w")[0].isin("PRESSURE", "DENSITY", "TEMPERATURE", "GRADIENT"), F.lower(F.col("w")[0]))
-    body = filled_down(body, ["file"], "line_no", name, "var").filter(name.isNull())
-    known = F.col("w")[0].rlike(r"^[-+]?\d")
+    known = name.isNotNull() | F.col("w")[0].rlike(r"^[-+]?\d")
     body = body.filter(F.when(~known, F.raise_error(F.concat(F.lit("unexpected line in "), F.col("file"))).cast("boolean")).otherwise(True))
-    values = body.select("file", "var", "line_no", F.posexplode("w").alias("at", "x")).withColumn("value", F.col("x").cast("double"))
-    values = values.withColumn("ordinal", F.row_number().over(Window.partitionBy("file", "var").orderBy("line_no", "at")) - 1).join(heads, "file")
+    place = ["start"] if "start" in rows.columns else []
+    numbers = body.select("file", *place, "line_no", name.alias("h_var"), F.posexplode(F.when(name.isNull(), F.col("w")).otherwise(F.array(F.lit(None).cast("string")))).alias("at", "x"))
+    wanted = {"fill": {"var": "h_var"}, "since": {"in_block": "h_var"}}
+    numbers = scanned(numbers, **wanted) if place else segmented_scan(numbers, ["file"], [F.col("line_no"), F.col("at")], **wanted)
+    values = numbers.filter("h_var IS NULL").withColumn("value", F.col("x").cast("double")).withColumn("ordinal", F.col("in_block") - 1).join(heads, "file")
     value = F.when(F.col("var") == "gradient", knots(F.col("value"))).otherwise(F.col("value")) if convert else F.col("value")
     r, z = F.col("ordinal") % F.col("nr"), F.floor(F.col("ordinal") / F.col("nr"))
     return values.select("file", "var", r.cast("int").alias("r_idx"), z.cast("int").alias("z_idx"), F.col("radii")[r.cast("int")].alias("radius"), F.col("heights")[z.cast("int")].alias("height"), value.alias("value"))

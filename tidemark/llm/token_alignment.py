@@ -35,9 +35,9 @@ SLICES = "slice long, doc_id long, n_a long, n_b long, n_groups long, n_links lo
 DIGESTS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
-def shared_cuts(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Places (i, j) of equal ends a[i] = b[j], ascending, by division at the cut nearest the middle. Both lists ascend."""
-    found, todo = [], [(0, len(a), 0, len(b))]
+def shared_cuts(a: list[int], b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Places i and j of equal ends a[i] = b[j], ascending, by division at the cut nearest the middle. Both lists ascend."""
+    at_a, at_b, todo = [], [], [(0, len(a), 0, len(b))]
     while todo:
         low, high, b_low, b_high = todo.pop()
         left = (low + high - 1) // 2
@@ -46,19 +46,26 @@ def shared_cuts(a: list[int], b: list[int]) -> list[tuple[int, int]]:
             if left >= low:
                 j = bisect_left(b, a[left], b_low, b_high)
                 if j < b_high and b[j] == a[left]:
-                    found.append((left, j))
-                    todo += [(low, left, b_low, j), (right, high, j + 1, b_high)]
+                    at_a.append(left)
+                    at_b.append(j)
+                    if low < left and b_low < j:
+                        todo.append((low, left, b_low, j))
+                    if right < high and j + 1 < b_high:
+                        todo.append((right, high, j + 1, b_high))
                     break
                 left -= 1
             if right < high:
                 j = bisect_left(b, a[right], b_low, b_high)
                 if j < b_high and b[j] == a[right]:
-                    found.append((right, j))
-                    todo += [(low, left + 1, b_low, j), (right + 1, high, j + 1, b_high)]
+                    at_a.append(right)
+                    at_b.append(j)
+                    if low <= left and b_low < j:
+                        todo.append((low, left + 1, b_low, j))
+                    if right + 1 < high and j + 1 < b_high:
+                        todo.append((right + 1, high, j + 1, b_high))
                     break
                 right += 1
-    found.sort()
-    return found
+    return np.sort(np.array(at_a, np.int64)), np.sort(np.array(at_b, np.int64))  # both ascend together
 
 
 class Pair:
@@ -78,6 +85,9 @@ class Pair:
         self.a_bytes = {i: bytes(byte_of[c] for c in s) if all(c in byte_of for c in s) else s.encode() for s, i in self.a.get_vocab().items()}
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(s[3:5], 16)]) if self.b.is_byte(i) else s.replace("▁", " ").encode() for i, s in enumerate(pieces)]
+        self.a_size = np.array([len(self.a_bytes.get(i, b"")) for i in range(max(self.a_bytes) + 1)])
+        self.b_size = np.array([len(x) for x in self.b_bytes])
+        self.shown = [f"{i}{mark}" for i in range(max(len(self.a_size), len(self.b_size))) for mark in ",|;"]
         if any("\n" in s or "▁" in s.lstrip("▁") for i, s in enumerate(pieces) if not self.b.is_byte(i)):
             raise ValueError("only pieces without newlines, and with blanks at their beginning alone")
 
@@ -151,24 +161,23 @@ class Slice(dict):
 
     def align_run(self, first: int, part: tuple) -> np.ndarray:
         run, a, b = part
-        ends_a = np.cumsum([len(self.pair.a_bytes[x]) for x in a])
-        ends_b = np.cumsum([len(self.pair.b_bytes[x]) for x in b])
-        cuts = np.array(shared_cuts(ends_a.tolist(), ends_b.tolist()))
-        a_text, b_text = [*map(str, a)], [*map(str, b)]
-        (i, j), groups = (0, 0), []
-        for x, y in cuts.tolist():
-            groups.append(",".join(a_text[i : x + 1]) + "|" + ",".join(b_text[j : y + 1]))
-            i, j = x + 1, y + 1
+        ids = np.array(a), np.array(b)
+        ends_a, ends_b = np.cumsum(self.pair.a_size[ids[0]]), np.cumsum(self.pair.b_size[ids[1]])
+        cuts = shared_cuts(ends_a.tolist(), ends_b.tolist())
         ends = np.cumsum([2, *(len(x.encode()) for x in run)])
         stretch = np.union1d(ends_a, ends_b)
-        places = [np.searchsorted(x, ends, "right") for x in (ends_a, ends_b, ends_a[cuts[:, 0]], stretch)]
         own = slice(first, first + len(run))
-        for row, place in zip(self.counts, places, strict=True):
-            row[own] = np.diff(place)
-        at = places[2].tolist()
-        self.text[own] = [";".join(groups[x:y]) for x, y in zip(at, at[1:], strict=False)]
-        stretch = stretch[places[3][0] :]
-        return np.array(a)[np.searchsorted(ends_a, stretch)] << 32 | np.array(b)[np.searchsorted(ends_b, stretch)]
+        for row, x in zip(self.counts, (ends_a, ends_b, ends_a[cuts[0]], stretch), strict=True):
+            row[own] = np.diff(np.searchsorted(x, ends, "right"))
+        group = [np.searchsorted(cut, np.arange(len(x))) for cut, x in zip(cuts, ids, strict=True)]
+        mark = [np.zeros(len(x), np.int64) for x in ids]
+        mark[0][cuts[0]], mark[1][cuts[1]] = 1, 2  # what follows a token: a comma, the bar after A's, the semicolon after a group
+        order = np.argsort(np.concatenate(group), kind="stable")
+        words = [*map(self.pair.shown.__getitem__, np.concatenate([x * 3 + m for x, m in zip(ids, mark, strict=True)])[order].tolist())]
+        at = (np.searchsorted(ends_a, ends, "right") + np.searchsorted(ends_b, ends, "right")).tolist()
+        self.text[own] = ["".join(words[x:y])[:-1] for x, y in zip(at, at[1:], strict=False)]
+        stretch = stretch[np.searchsorted(stretch, 2, "right") :]
+        return ids[0][np.searchsorted(ends_a, stretch)] << 32 | ids[1][np.searchsorted(ends_b, stretch)]
 
     def rows(self, number: int) -> Iterator[dict]:
         """A row for each document, then one with the slice's own tables: links of each chunk, distinct pairs and their uses."""

@@ -15,14 +15,23 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 # What a value looks like, as patterns for Java.
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+NAME_CHARS = r"\p{L}\p{M}\p{N}._%+'-"
+EMAIL = rf"(?<![{NAME_CHARS}])[{NAME_CHARS}]{{1,64}}@(?:[\p{{L}}\p{{M}}\p{{N}}_-]{{1,63}}\.){{1,8}}[\p{{L}}\p{{M}}]{{2,24}}(?![\p{{L}}\p{{M}}\p{{N}}])"
+IBAN = r"(?<![A-Za-z0-9])[A-Za-z]{2}[0-9]{2}(?:[ \u00A0]?[A-Za-z0-9]{4}){2,7}(?:[ \u00A0]?[A-Za-z0-9]{1,3})?(?![A-Za-z0-9])"
 IPV4 = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9])(?!\.[0-9])"
 DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![0-9])(?![./-][0-9])"
 SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
 PHONE = r"(?<![0-9])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"
-PHONE_ABROAD = r"(?<![0-9+])\+[1-9](?:[ .()-]{0,2}[0-9]){7,14}(?![0-9])"
-CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
+PHONE_ABROAD = r"(?<![0-9+])\+[1-9](?:[ \u00A0.()-]{0,2}[0-9]){7,40}(?![0-9])"  # what follows the number included
+BETWEEN = r"(?:[ \u00A0\u202F\u2010-\u2015-]{0,2}|\.(?=[0-9]{3,6}(?![0-9])))"  # what may part a card number's digits
+CARD = rf"(?<![0-9])[0-9](?:{BETWEEN}[0-9]){{12,40}}(?![0-9])"  # what follows the number included
+GROUPS = r"(?<=[^0-9])(?=[0-9])"
+# Leading digits of issuers with the lengths of their numbers, and how numbers are usually grouped.
+ISSUER = (
+    r"^(?:4(?:[0-9]{12}|[0-9]{15}|[0-9]{18})|5[1-5][0-9]{14}|2(?:22[1-9]|2[3-9][0-9]|[3-6][0-9]{2}|7[01][0-9]|720)[0-9]{12}|3[47][0-9]{13}"
+    r"|(?:6011|64[4-9][0-9]|65[0-9]{2}|35[0-9]{2}|62[0-9]{2})[0-9]{12,15}|(?:30[0-5]|3[689][0-9])[0-9]{11,16}|(?:50|5[6-9]|6[0-9])[0-9]{11,17})$"
+)
+GROUPED = r"^(?:[0-9]{13,19}|[0-9]{4}[^0-9]+[0-9]{4}[^0-9]+[0-9]{4}[^0-9]+[0-9]{4}(?:[^0-9]+[0-9]{3})?|[0-9]{4}[^0-9]+[0-9]{6}[^0-9]+[0-9]{4,5})$"
 KINDS = {"email": EMAIL, "iban": IBAN, "ipv4": IPV4, "date": DATE, "ssn": SSN, "phone": PHONE, "phone_abroad": PHONE_ABROAD, "card": CARD}
 ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 FIRST_DAY, DAYS = "1700-01-01", (189, 773)  # 400 years have 146,097 = 189 * 773 days
@@ -79,6 +88,54 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda x, y: x + y)
 
 
+def card_window(pieces: Column) -> Column:
+    """The best card number that begins with the first of ``pieces`` (a group of digits and what follows it) and ends with a
+    group: rank, length (negative) and text. Rank 0: an issuer's, grouped as usual; 1: an issuer's; 2: any other of 13 to 19
+    digits with a valid check digit. Of equal rank the longest. Null if there is none."""
+    text = lambda n: F.regexp_replace(F.array_join(F.slice(pieces, F.lit(1), n), ""), "[^0-9]+$", "")
+    windows = F.transform(F.sequence(F.lit(1), F.least(F.size(pieces), F.lit(19))), lambda n: F.struct(text(n).alias("text"), only_digits(text(n)).alias("digits")))
+    valid = F.filter(windows, lambda w: F.length(w["digits"]).between(13, 19) & (luhn_sum(w["digits"]) % 10 == 0))
+    rank = lambda w: F.when(~w["digits"].rlike(ISSUER), 2).when(w["text"].rlike(GROUPED), 0).otherwise(1)
+    return F.array_min(F.transform(valid, lambda w: F.struct(rank(w).alias("rank"), (-F.length(w["digits"])).alias("length"), w["text"].alias("text"))))
+
+
+def later_windows(pieces: Column) -> Column:
+    """Of each group but the first: how many pieces stand before it, and the rank of the best card number that begins there."""
+    rest = lambda i: F.slice(pieces, i + 1, F.size(pieces))
+    places = F.filter(F.sequence(F.lit(0), F.size(pieces) - 1), lambda i: i > 0)
+    return F.transform(places, lambda i: F.struct(i.alias("at"), card_window(rest(i))["rank"].alias("rank")))
+
+
+def card_windows(value: Column) -> Column:
+    """The window to replace in a candidate: none if a better number begins inside it, which is then found from there."""
+    pieces = F.split(value, GROUPS)
+
+    def kept(x: Column) -> Column:
+        own, later = x["own"], x["later"]
+        inside = lambda y: F.length(F.array_join(F.slice(x["pieces"], F.lit(1), y["at"]), "")) < F.length(own["text"])
+        better = F.exists(later, lambda y: (y["rank"] < own["rank"]) & inside(y))
+        return F.when(own.isNull() | better, F.lit("")).otherwise(own["text"])
+
+    parts = F.transform(F.array(pieces), lambda p: F.struct(p.alias("pieces"), card_window(p).alias("own"), later_windows(p).alias("later")))
+    return F.transform(parts, kept)
+
+
+def abroad_windows(value: Column) -> Column:
+    """The longest start with 8 to 15 digits that ends with a group and before any other kind that begins with a group."""
+    pieces = F.split(value, GROUPS)
+    other = "^(?:" + "|".join(f"(?:{p})" for p in (IPV4, DATE, SSN)) + ")"
+
+    def kept(x: Column) -> Column:
+        text = lambda n: F.regexp_replace(F.array_join(F.slice(x["pieces"], F.lit(1), n), ""), "[^0-9]+$", "")
+        from_here = lambda i: F.array_join(F.slice(x["pieces"], i + 1, F.size(x["pieces"])), "")
+        stops = F.filter(x["later"], lambda y: (y["rank"] < 2) | from_here(y["at"]).rlike(other))
+        most = F.coalesce(F.array_min(F.transform(stops, lambda y: y["at"])), F.size(x["pieces"]))
+        return F.array_max(F.filter(F.transform(F.sequence(F.lit(1), most), text), lambda w: F.length(only_digits(w)).between(8, 15)))
+
+    parts = F.transform(F.array(pieces), lambda p: F.struct(p.alias("pieces"), later_windows(p).alias("later")))
+    return F.transform(parts, lambda x: F.coalesce(kept(x), F.lit("")))
+
+
 def card(value: Column, key: str) -> Column:
     """The first digit (the industry's) stays."""
     digits = only_digits(value)
@@ -94,12 +151,14 @@ def mod97(s: Column) -> Column:
 
 
 def iban(value: Column, key: str) -> Column:
-    bare = F.regexp_replace(value, " ", "")
+    """The country stays; letters keep their case."""
+    bare = F.regexp_replace(value, "[ \u00A0]", "")
     body, land = bare.substr(F.lit(5), F.length(bare) - 4), F.substring(bare, 1, 2)
     new = class_permuted(body, key, "iban")
-    check = 98 - mod97(F.concat(new, land, F.lit("00")))
+    check = 98 - mod97(F.upper(F.concat(new, land, F.lit("00"))))
     full = F.concat(land, F.lpad(check.cast("string"), 2, "0"), new)
-    return F.when((mod97(F.concat(body, F.substring(bare, 1, 4))) == 1) & F.length(bare).between(15, 34), refilled(value, full, "[A-Z0-9]"))
+    valid = (mod97(F.upper(F.concat(body, F.substring(bare, 1, 4)))) == 1) & F.length(bare).between(15, 34)
+    return F.when(valid, refilled(value, full, "[A-Za-z0-9]"))
 
 
 def ssn(value: Column, key: str) -> Column:
@@ -151,7 +210,8 @@ def date(value: Column, key: str) -> Column:
 
 
 def class_permuted(value: Column, key: str, tweak: str) -> Column:
-    """Permutes strings character by character: digits stay digits, lower-case letters lower-case, upper-case upper-case, others as they are."""
+    """Permutes strings character by character: digits stay digits, letters of each case (those from U+00C0 to U+00F6 among
+    themselves) letters of that case; others stay as they are."""
     n = F.length(value)
     left = F.floor(n / 2).cast("int")
 
@@ -160,7 +220,8 @@ def class_permuted(value: Column, key: str, tweak: str) -> Column:
             by = F.conv(stream.substr(i % 32 * 2 + 1, F.lit(2)), 16, 10).cast("int")
             code = F.ascii(c)
             turn = lambda first, n: F.chr(F.lit(first) + (code - first + by) % n)
-            return F.when(c.rlike("[0-9]"), turn(48, 10)).when(c.rlike("[a-z]"), turn(97, 26)).when(c.rlike("[A-Z]"), turn(65, 26)).otherwise(c)
+            plain = F.when(c.rlike("[0-9]"), turn(48, 10)).when(c.rlike("[a-z]"), turn(97, 26)).when(c.rlike("[A-Z]"), turn(65, 26))
+            return plain.when(c.rlike("[\u00e0-\u00f6]"), turn(0xE0, 23)).when(c.rlike("[\u00c0-\u00d6]"), turn(0xC0, 23)).otherwise(c)
 
         return F.array_join(F.transform(chars(half), one), "")
 
@@ -182,16 +243,20 @@ MAKERS = {"email": email, "iban": iban, "ipv4": ipv4, "date": date, "ssn": ssn,
 
 
 def pseudonym(value: Column, key: str) -> Column:
-    """length and text (the pseudonym) of the longest start of a candidate that is a valid value; null where none is (a number without a valid check digit, no date).
+    """length and text (the pseudonym) of the start of a candidate that is a valid value; null where none is (a number without a valid check digit, no date).
 
-    Only cards and IBANs have shorter windows: those that end where no digit or letter follows.
+    IBANs end where no digit or letter follows, the longest first; for cards and foreign telephone numbers see their windows.
     """
 
     def windows(kind: str) -> Column:
         if kind == "card":
-            return F.array(*(F.regexp_extract(value, rf"^[0-9](?:[ -]?[0-9]){{{n - 1}}}(?![0-9])", 0) for n in range(19, 12, -1)))
+            return card_windows(value)
+        if kind == "phone_abroad":
+            return abroad_windows(value)
         if kind == "iban":
-            return F.array(*(F.regexp_extract(value, rf"^[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n}}}{tail}(?![A-Za-z0-9])", 0) for n in range(7, 1, -1) for tail in ("(?: ?[A-Z0-9]{1,3})", "")))
+            start, group = r"^[A-Za-z]{2}[0-9]{2}", r"(?:[ \u00A0]?[A-Za-z0-9]{4})"
+            tails = (r"(?:[ \u00A0]?[A-Za-z0-9]{1,3})", "")
+            return F.array(*(F.regexp_extract(value, rf"{start}{group}{{{n}}}{tail}(?![A-Za-z0-9])", 0) for n in range(7, 1, -1) for tail in tails))
         return F.array(value)
 
     def first(kind: str) -> Column:

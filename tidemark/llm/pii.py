@@ -8,6 +8,7 @@ different ones to different ones, so links across documents stay.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -37,6 +38,11 @@ ANY = "|".join(f"(?:{p})" for p in KINDS.values())
 FIRST_DAY, DAYS = "1700-01-01", (189, 773)  # 400 years have 146,097 = 189 * 773 days
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once and stands once in the plan."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def keyed(key: str, tweak: Column, number: Column, half: Column) -> Column:
     """The round function: the hex SHA-256 of key, tweak, round and the other half."""
     return F.sha2(F.concat_ws("|", F.lit(key), tweak, number.cast("string"), half), 256)
@@ -55,12 +61,20 @@ def feistel(a: Column, b: Column, na: Column, nb: Column, key: str, tweak: Colum
 
 def digits_permuted(digits: Column, key: str, tweak: str) -> Column:
     """Permutes strings of n digits, for each n from 1 to 18."""
-    n = F.length(digits)
-    left = F.floor(n / 2).cast("int")
-    a, b = F.when(left > 0, digits.substr(F.lit(1), left)).otherwise("0").cast("long"), digits.substr(left + 1, n - left).cast("long")
-    na, nb = F.pow(F.lit(10), left).cast("long"), F.pow(F.lit(10), n - left).cast("long")
-    s = feistel(a, b, na, nb, key, F.concat(F.lit(tweak), n.cast("string")))
-    return F.concat(F.when(left > 0, F.lpad(s["a"].cast("string"), left, "0")).otherwise(""), F.lpad(s["b"].cast("string"), n - left, "0"))
+
+    def halves(d: Column) -> Column:
+        n = F.length(d)
+        left = F.floor(n / 2).cast("int")
+        return F.struct(
+            n.alias("n"), left.alias("left"), F.pow(F.lit(10), left).cast("long").alias("na"), F.pow(F.lit(10), n - left).cast("long").alias("nb"),
+            F.when(left > 0, d.substr(F.lit(1), left)).otherwise("0").cast("long").alias("a"), d.substr(left + 1, n - left).cast("long").alias("b"),
+        )
+
+    def joined(h: Column, s: Column) -> Column:
+        return F.concat(F.when(h["left"] > 0, F.lpad(s["a"].cast("string"), h["left"], "0")).otherwise(""), F.lpad(s["b"].cast("string"), h["n"] - h["left"], "0"))
+
+    permuted = lambda h: feistel(h["a"], h["b"], h["na"], h["nb"], key, F.concat(F.lit(tweak), h["n"].cast("string")))
+    return let(let(digits, halves), lambda h: let(permuted(h), lambda s: joined(h, s)))
 
 
 def chars(s: Column) -> Column:
@@ -93,7 +107,8 @@ def card_window(pieces: Column) -> Column:
     group: rank, length (negative) and text. Rank 0: an issuer's, grouped as usual; 1: an issuer's; 2: any other of 13 to 19
     digits with a valid check digit. Of equal rank the longest. Null if there is none."""
     text = lambda n: F.regexp_replace(F.array_join(F.slice(pieces, F.lit(1), n), ""), "[^0-9]+$", "")
-    windows = F.transform(F.sequence(F.lit(1), F.least(F.size(pieces), F.lit(19))), lambda n: F.struct(text(n).alias("text"), only_digits(text(n)).alias("digits")))
+    texts = F.transform(F.sequence(F.lit(1), F.least(F.size(pieces), F.lit(19))), text)
+    windows = F.transform(texts, lambda x: F.struct(x.alias("text"), only_digits(x).alias("digits")))
     valid = F.filter(windows, lambda w: F.length(w["digits"]).between(13, 19) & (luhn_sum(w["digits"]) % 10 == 0))
     rank = lambda w: F.when(~w["digits"].rlike(ISSUER), 2).when(w["text"].rlike(GROUPED), 0).otherwise(1)
     return F.array_min(F.transform(valid, lambda w: F.struct(rank(w).alias("rank"), (-F.length(w["digits"])).alias("length"), w["text"].alias("text"))))
@@ -138,11 +153,13 @@ def abroad_windows(value: Column) -> Column:
 
 def card(value: Column, key: str) -> Column:
     """The first digit (the industry's) stays."""
-    digits = only_digits(value)
-    first = F.substring(digits, 1, 1)
-    body = F.concat(first, digits_permuted(digits.substr(F.lit(2), F.length(digits) - 2), key, "card"))
-    check = (10 - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10
-    return F.when(luhn_sum(digits) % 10 == 0, refilled(value, F.concat(body, check.cast("string"))))
+
+    def made(digits: Column) -> Column:
+        body = F.concat(F.substring(digits, 1, 1), digits_permuted(digits.substr(F.lit(2), F.length(digits) - 2), key, "card"))
+        check = lambda b: ((10 - luhn_sum(F.concat(b, F.lit("0"))) % 10) % 10).cast("string")
+        return F.when(luhn_sum(digits) % 10 == 0, let(body, lambda b: refilled(value, F.concat(b, check(b)))))
+
+    return let(only_digits(value), made)
 
 
 def mod97(s: Column) -> Column:
@@ -152,61 +169,75 @@ def mod97(s: Column) -> Column:
 
 def iban(value: Column, key: str) -> Column:
     """The country stays; letters keep their case."""
-    bare = F.regexp_replace(value, "[ \u00A0]", "")
-    body, land = bare.substr(F.lit(5), F.length(bare) - 4), F.substring(bare, 1, 2)
-    new = class_permuted(body, key, "iban")
-    check = 98 - mod97(F.upper(F.concat(new, land, F.lit("00"))))
-    full = F.concat(land, F.lpad(check.cast("string"), 2, "0"), new)
-    valid = (mod97(F.upper(F.concat(body, F.substring(bare, 1, 4)))) == 1) & F.length(bare).between(15, 34)
-    return F.when(valid, refilled(value, full, "[A-Za-z0-9]"))
+
+    def made(bare: Column) -> Column:
+        land, body = F.substring(bare, 1, 2), bare.substr(F.lit(5), F.length(bare) - 4)
+        check = lambda new: F.lpad((98 - mod97(F.upper(F.concat(new, land, F.lit("00"))))).cast("string"), 2, "0")
+        valid = (mod97(F.upper(F.concat(body, F.substring(bare, 1, 4)))) == 1) & F.length(bare).between(15, 34)
+        whole = let(class_permuted(body, key, "iban"), lambda new: refilled(value, F.concat(land, check(new), new), "[A-Za-z0-9]"))
+        return F.when(valid, whole)
+
+    return let(F.regexp_replace(value, "[ \u00A0]", ""), made)
 
 
 def ssn(value: Column, key: str) -> Column:
     """Areas 001-665 and 667-899, groups 01-99, serials 0001-9999: all 898 * 99 * 9999 stay in that range."""
     area, group, serial = (F.split(value, "-")[i].cast("long") for i in range(3))
     s = feistel((area - F.when(area > 666, 2).otherwise(1)) * 99 + group - 1, serial - 1, F.lit(898 * 99), F.lit(9999), key, F.lit("ssn"))
-    new = F.floor(s["a"] / 99) + 1
-    return F.format_string("%03d-%02d-%04d", F.when(new > 665, new + 1).otherwise(new), s["a"] % 99 + 1, s["b"] + 1)
+    new = lambda s: F.floor(s["a"] / 99) + 1
+    return let(s, lambda s: F.format_string("%03d-%02d-%04d", new(s) + F.when(new(s) > 665, 1).otherwise(0), s["a"] % 99 + 1, s["b"] + 1))
 
 
 def phone(value: Column, key: str) -> Column:
     """Area code and exchange keep a first digit of 2 to 9; the prefix +1 and all punctuation stay."""
-    digits = only_digits(value)
-    start = F.length(digits) - 10
-    part = lambda i, n: digits.substr(start + i, F.lit(n)).cast("long")
-    half = lambda x: F.format_string("%05d", x + 20000)
-    # two halves of 80,000: area and two digits of the line; exchange and the other two
-    s = feistel(part(1, 3) * 100 + part(7, 2) - 20000, part(4, 3) * 100 + part(9, 2) - 20000, F.lit(80000), F.lit(80000), key, F.lit("phone"))
-    a, b = half(s["a"]), half(s["b"])
-    return refilled(value, F.concat(digits.substr(F.lit(1), start), F.substring(a, 1, 3), F.substring(b, 1, 3), F.substring(a, 4, 2), F.substring(b, 4, 2)))
+
+    def made(digits: Column) -> Column:
+        start = F.length(digits) - 10
+        part = lambda i, n: digits.substr(start + i, F.lit(n)).cast("long")
+        half = lambda x: F.format_string("%05d", x + 20000)
+        # two halves of 80,000: area and two digits of the line; exchange and the other two
+        s = feistel(part(1, 3) * 100 + part(7, 2) - 20000, part(4, 3) * 100 + part(9, 2) - 20000, F.lit(80000), F.lit(80000), key, F.lit("phone"))
+        halves = let(s, lambda s: F.struct(half(s["a"]).alias("a"), half(s["b"]).alias("b")))
+        new = lambda h: [F.substring(h[c], *at) for at in ((1, 3), (4, 2)) for c in "ab"]
+        return let(halves, lambda h: refilled(value, F.concat(digits.substr(F.lit(1), start), *new(h))))
+
+    return let(only_digits(value), made)
 
 
 def phone_abroad(value: Column, key: str) -> Column:
     """The first two digits (the country's) stay."""
-    digits = only_digits(value)
-    return refilled(value, F.concat(F.substring(digits, 1, 2), digits_permuted(digits.substr(F.lit(3), F.length(digits) - 2), key, "abroad")))
+    new = lambda d: F.concat(F.substring(d, 1, 2), digits_permuted(d.substr(F.lit(3), F.length(d) - 2), key, "abroad"))
+    return let(only_digits(value), lambda d: refilled(value, new(d)))
 
 
 def ipv4(value: Column, key: str) -> Column:
     o = [F.split(value, r"\.")[i].cast("long") for i in range(4)]
     s = feistel(o[0] * 256 + o[1], o[2] * 256 + o[3], F.lit(65536), F.lit(65536), key, F.lit("ipv4"))
-    return F.concat_ws(".", *(x.cast("string") for x in (F.floor(s["a"] / 256), s["a"] % 256, F.floor(s["b"] / 256), s["b"] % 256)))
+    return let(s, lambda s: F.concat_ws(".", *(x.cast("string") for x in (F.floor(s["a"] / 256), s["a"] % 256, F.floor(s["b"] / 256), s["b"] % 256))))
 
 
 def date(value: Column, key: str) -> Column:
     """Calendar dates of 1700 to 2099. With slashes the month is first if that gives a date, else the day; with dots the day is first."""
-    part = F.transform(F.split(value, "[-/.]"), lambda x: x.cast("int"))
     iso, dots = value.contains("-"), value.contains(".")
     ymd = lambda y, m, d: F.try_to_date(F.format_string("%04d-%02d-%02d", y, m, d), "yyyy-MM-dd")
-    month_first = ymd(part[2], part[0], part[1])
-    by_month = ~iso & ~dots & month_first.isNotNull()
-    day = F.when(iso, ymd(part[0], part[1], part[2])).when(by_month, month_first).otherwise(ymd(part[2], part[1], part[0]))
-    number = F.datediff(day, F.lit(FIRST_DAY).cast("date")).cast("long")
-    s = feistel(F.floor(number / DAYS[1]), number % DAYS[1], F.lit(DAYS[0]), F.lit(DAYS[1]), key, F.lit("date"))
-    new = F.date_add(F.lit(FIRST_DAY).cast("date"), (s["a"] * DAYS[1] + s["b"]).cast("int"))
-    y, m, d = (F.date_format(new, p) for p in ("yyyy", "MM", "dd"))
-    shown = F.when(iso, F.concat_ws("-", y, m, d)).when(dots, F.concat_ws(".", d, m, y)).when(by_month, F.concat_ws("/", m, d, y)).otherwise(F.concat_ws("/", d, m, y))
-    return F.when(F.year(day).between(1700, 2099), shown)
+    first = F.lit(FIRST_DAY).cast("date")
+
+    def read(part: Column) -> Column:
+        month_first = F.when(~iso & ~dots, ymd(part[2], part[0], part[1]))
+        day = F.when(iso, ymd(part[0], part[1], part[2])).otherwise(F.coalesce(month_first, ymd(part[2], part[1], part[0])))
+        return F.struct(day.alias("day"), month_first.isNotNull().alias("by_month"))
+
+    def shown(new: Column, by_month: Column) -> Column:
+        as_form = lambda form: let(new, lambda d: F.date_format(d, form))
+        return F.when(iso, as_form("yyyy-MM-dd")).when(dots, as_form("dd.MM.yyyy")).when(by_month, as_form("MM/dd/yyyy")).otherwise(as_form("dd/MM/yyyy"))
+
+    def made(x: Column) -> Column:
+        number = F.datediff(x["day"], first).cast("long")
+        s = feistel(F.floor(number / DAYS[1]), number % DAYS[1], F.lit(DAYS[0]), F.lit(DAYS[1]), key, F.lit("date"))
+        new = let(s, lambda s: shown(F.date_add(first, (s["a"] * DAYS[1] + s["b"]).cast("int")), x["by_month"]))
+        return F.when(F.year(x["day"]).between(1700, 2099), new)
+
+    return let(let(F.transform(F.split(value, "[-/.]"), lambda x: x.cast("int")), read), made)
 
 
 def class_permuted(value: Column, key: str, tweak: str) -> Column:

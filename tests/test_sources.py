@@ -133,7 +133,7 @@ def test_binary_header_and_members(spark, tmp_path):
         z.writestr("c01.dat", "x")
         z.writestr("other", "y")
     assert [r.member for r in binaries.members(spark, str(tmp_path / "z.zip"), "zip", r"c\d\d").collect()] == ["c01.dat"]
-    assert len(binaries.grid_fields()) == 71
+    assert len(binaries.GRID_FIELDS) == 71
 
 
 def sample_rows(path):

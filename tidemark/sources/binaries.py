@@ -102,32 +102,82 @@ def sample_source(name: str, decode: Callable[[str], Iterator[tuple]], schema: s
 
 
 # The forecast fields (J14), name and message pattern.
-GRID_FIELDS = """
-u70 :UGRD:70 mb: | u100 :UGRD:100 mb: | u150 :UGRD:150 mb: | u200 :UGRD:200 mb: | u250 :UGRD:250 mb:
-u300 :UGRD:300 mb: | u400 :UGRD:400 mb: | u500 :UGRD:500 mb: | u600 :UGRD:600 mb: | u700 :UGRD:700 mb:
-u850 :UGRD:850 mb: | u925 :UGRD:925 mb: | u1000 :UGRD:1000 mb: | u1070 :UGRD:0.995 sigma level:
-v70 :VGRD:70 mb: | v100 :VGRD:100 mb: | v150 :VGRD:150 mb: | v200 :VGRD:200 mb: | v250 :VGRD:250 mb:
-v300 :VGRD:300 mb: | v400 :VGRD:400 mb: | v500 :VGRD:500 mb: | v600 :VGRD:600 mb: | v700 :VGRD:700 mb:
-v850 :VGRD:850 mb: | v925 :VGRD:925 mb: | v1000 :VGRD:1000 mb: | v1070 :VGRD:0.995 sigma level:
-height70 :HGT:70 mb: | height100 :HGT:100 mb: | height150 :HGT:150 mb: | height200 :HGT:200 mb: | height250 :HGT:250 mb:
-height300 :HGT:300 mb: | height400 :HGT:400 mb: | height500 :HGT:500 mb: | height600 :HGT:600 mb: | height700 :HGT:700 mb:
-height850 :HGT:850 mb: | height925 :HGT:925 mb: | height1000 :HGT:1000 mb: | height1070 :HGT:surface:
-temp70 :TMP:70 mb: | temp100 :TMP:100 mb: | temp150 :TMP:150 mb: | temp200 :TMP:200 mb: | temp250 :TMP:250 mb:
-temp300 :TMP:300 mb: | temp400 :TMP:400 mb: | temp500 :TMP:500 mb: | temp600 :TMP:600 mb: | temp700 :TMP:700 mb:
-temp850 :TMP:850 mb: | temp925 :TMP:925 mb: | temp1000 :TMP:1000 mb: | temp1070 :TMP:0.995 sigma level:
-relh100 :RH:100 mb: | relh70 :RH:70 mb: | relh150 :RH:150 mb: | relh200 :RH:200 mb: | relh250 :RH:250 mb:
-relh300 :RH:300 mb: | relh400 :RH:400 mb: | relh500 :RH:500 mb: | relh600 :RH:600 mb: | relh700 :RH:700 mb:
-relh850 :RH:850 mb: | relh925 :RH:925 mb: | relh1000 :RH:1000 mb: | relh1070 :RH:0.995 sigma level:
-p1070 :PRMSL:mean sea level:
-"""
-
-
-def grid_fields() -> list[tuple[str, str]]:
-    """(name, message pattern) of the forecast fields."""
-    return [tuple(entry.strip().split(" ", 1)) for entry in GRID_FIELDS.strip().replace("\n", "|").split("|")]
+GRID_FIELDS = [
+    ("u70", ":UGRD:70 mb:"),
+    ("u100", ":UGRD:100 mb:"),
+    ("u150", ":UGRD:150 mb:"),
+    ("u200", ":UGRD:200 mb:"),
+    ("u250", ":UGRD:250 mb:"),
+    ("u300", ":UGRD:300 mb:"),
+    ("u400", ":UGRD:400 mb:"),
+    ("u500", ":UGRD:500 mb:"),
+    ("u600", ":UGRD:600 mb:"),
+    ("u700", ":UGRD:700 mb:"),
+    ("u850", ":UGRD:850 mb:"),
+    ("u925", ":UGRD:925 mb:"),
+    ("u1000", ":UGRD:1000 mb:"),
+    ("u1070", ":UGRD:0.995 sigma level:"),
+    ("v70", ":VGRD:70 mb:"),
+    ("v100", ":VGRD:100 mb:"),
+    ("v150", ":VGRD:150 mb:"),
+    ("v200", ":VGRD:200 mb:"),
+    ("v250", ":VGRD:250 mb:"),
+    ("v300", ":VGRD:300 mb:"),
+    ("v400", ":VGRD:400 mb:"),
+    ("v500", ":VGRD:500 mb:"),
+    ("v600", ":VGRD:600 mb:"),
+    ("v700", ":VGRD:700 mb:"),
+    ("v850", ":VGRD:850 mb:"),
+    ("v925", ":VGRD:925 mb:"),
+    ("v1000", ":VGRD:1000 mb:"),
+    ("v1070", ":VGRD:0.995 sigma level:"),
+    ("height70", ":HGT:70 mb:"),
+    ("height100", ":HGT:100 mb:"),
+    ("height150", ":HGT:150 mb:"),
+    ("height200", ":HGT:200 mb:"),
+    ("height250", ":HGT:250 mb:"),
+    ("height300", ":HGT:300 mb:"),
+    ("height400", ":HGT:400 mb:"),
+    ("height500", ":HGT:500 mb:"),
+    ("height600", ":HGT:600 mb:"),
+    ("height700", ":HGT:700 mb:"),
+    ("height850", ":HGT:850 mb:"),
+    ("height925", ":HGT:925 mb:"),
+    ("height1000", ":HGT:1000 mb:"),
+    ("height1070", ":HGT:surface:"),
+    ("temp70", ":TMP:70 mb:"),
+    ("temp100", ":TMP:100 mb:"),
+    ("temp150", ":TMP:150 mb:"),
+    ("temp200", ":TMP:200 mb:"),
+    ("temp250", ":TMP:250 mb:"),
+    ("temp300", ":TMP:300 mb:"),
+    ("temp400", ":TMP:400 mb:"),
+    ("temp500", ":TMP:500 mb:"),
+    ("temp600", ":TMP:600 mb:"),
+    ("temp700", ":TMP:700 mb:"),
+    ("temp850", ":TMP:850 mb:"),
+    ("temp925", ":TMP:925 mb:"),
+    ("temp1000", ":TMP:1000 mb:"),
+    ("temp1070", ":TMP:0.995 sigma level:"),
+    ("relh100", ":RH:100 mb:"),
+    ("relh70", ":RH:70 mb:"),
+    ("relh150", ":RH:150 mb:"),
+    ("relh200", ":RH:200 mb:"),
+    ("relh250", ":RH:250 mb:"),
+    ("relh300", ":RH:300 mb:"),
+    ("relh400", ":RH:400 mb:"),
+    ("relh500", ":RH:500 mb:"),
+    ("relh600", ":RH:600 mb:"),
+    ("relh700", ":RH:700 mb:"),
+    ("relh850", ":RH:850 mb:"),
+    ("relh925", ":RH:925 mb:"),
+    ("relh1000", ":RH:1000 mb:"),
+    ("relh1070", ":RH:0.995 sigma level:"),
+    ("p1070", ":PRMSL:mean sea level:"),
+]
 
 
 def wanted_fields(messages: DataFrame, spark: SparkSession) -> DataFrame:
     """Messages (descr, ...) joined with the field table: one scan for all fields. 71 rows are broadcast."""
-    dim = spark.createDataFrame(grid_fields(), "field string, pattern string")
+    dim = spark.createDataFrame(GRID_FIELDS, "field string, pattern string")
     return messages.withColumn("pattern", F.regexp_extract("descr", r"(:[A-Z]+:[^:]+:)", 1)).join(F.broadcast(dim), "pattern")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import tables
 from tidemark.plans.catalogue import query, text_of
 from tidemark.session import scratch, table
-from tidemark.sources import names, sinks, texts
+from tidemark.sources import array_files, named_files, names, sinks, texts
 
 
 def through_files(rows: DataFrame, label: str) -> DataFrame:
@@ -98,9 +98,12 @@ def q63_time_files(spark: SparkSession, sf: str) -> DataFrame:
 @query("""SELECT c_mktsegment AS file, 'nation' || c_nationkey AS key, string_agg(c_custkey::VARCHAR, ',' ORDER BY c_custkey) AS vals, count(*) = 1 AS single FROM customer GROUP BY ALL""")
 def q64_control_files(spark: SparkSession, sf: str) -> DataFrame:
     """A control file for each segment; repeated keys become lists in file order."""
-    attrs = table(spark, sf, "customer").select(F.col("c_mktsegment").alias("file"), F.col("c_custkey").alias("pos"), F.concat(F.lit("nation"), "c_nationkey").alias("key"), F.col("c_custkey").cast("string").alias("value"))
-    found = texts.control_file(through_files(attrs.select("file", "pos", F.concat_ws("=", "key", "value").alias("value")), "control"))
-    return found.select("file", "key", F.array_join("values", ",").alias("vals"), "single")
+    key = F.concat(F.lit("nation"), "c_nationkey").alias("key")
+    attrs = table(spark, sf, "customer").select(F.col("c_mktsegment").alias("file"), F.col("c_custkey").alias("pos"), key, F.col("c_custkey").cast("string").alias("value"))
+    path = scratch(spark, "control")
+    named_files.write_text_files(sinks.control_lines(attrs), path)
+    lines = texts.lines(spark, path).withColumn("file", F.regexp_extract("file", r"([^/]+)$", 1))
+    return texts.control_file(lines).select("file", "key", F.array_join("values", ",").alias("vals"), "single")
 
 
 @query("""SELECT printf('%07.2f', (s_suppkey % 360)::DOUBLE) || ' ' || printf('%06.2f', s_nationkey::DOUBLE) || ' ---- ' || coalesce(printf('%010.5f', max(s_suppkey::DOUBLE) FILTER (s_suppkey % 2 = 0)), '----------') || ' '
@@ -141,7 +144,7 @@ def q67_interleaved_file(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("""SELECT c_mktsegment AS channel, 'c' || c_custkey AS name FROM customer""")
 def q68_manifests(spark: SparkSession, sf: str) -> DataFrame:
-    """A list of names for each channel."""
+    """A list of names for each channel."""
     path = scratch(spark, "manifests")
     sinks.manifests(table(spark, sf, "customer").select(F.col("c_mktsegment").alias("channel"), F.concat(F.lit("c"), "c_custkey").alias("name")), path)
     return spark.read.text(path).select("channel", F.col("value").alias("name"))
@@ -224,3 +227,46 @@ def q73_storm_headings(spark: SparkSession, sf: str) -> DataFrame:
     part = F.split("value", r"\|")
     found = texts.storm_headers(spark.read.text(path).select(part[0].alias("file"), part[1].cast("long").alias("line_no"), part[2].alias("value")))
     return found.select("file", "ayear", "amonth", "aday", "ahour", "alat", "alon", "avmx", "abasin", "asnum", "asname", text_of("swath_time").alias("swath"), "clat")
+
+
+def grid_datasets(spark: SparkSession, sf: str) -> str:
+    """K4: the folder of an array file for each nation's grids."""
+    rows = through_files(grid_lines(table(spark, sf, "nation")), "grids")
+    levels, surface = texts.pressure_fields(rows)
+    path = scratch(spark, "arrays")
+    created = F.lit("2013-01-01 00:00:00").cast("timestamp")
+    array_files.write_arrays(sinks.array_dataset(levels, surface, texts.storm_headers(rows), created, "NPP", "ATMS"), path)
+    return path
+
+
+@query(f"""WITH cells AS (SELECT 'n' || n_nationkey || '.nc' AS file, l, j, i, (n_nationkey + i) * {KNOTS}::DOUBLE AS u, (n_regionkey + j) * {KNOTS}::DOUBLE AS v, n_nationkey + j / 2.0::DOUBLE AS t,
+(n_regionkey + 100 + i)::DOUBLE AS z, (n_regionkey + 1000 + i)::DOUBLE AS slp, n_nationkey / 4.0::DOUBLE + j AS clw FROM nation, range(2) c(l), range(2) b(j), range(3) a(i))
+SELECT file, 'u' AS var, (l * 2 + j) * 3 + i AS at, u AS value FROM cells UNION ALL SELECT file, 'v', (l * 2 + j) * 3 + i, v FROM cells
+UNION ALL SELECT file, 't', (l * 2 + j) * 3 + i, t FROM cells UNION ALL SELECT file, 'z', (l * 2 + j) * 3 + i, z FROM cells
+UNION ALL SELECT file, 'su', j * 3 + i, u FROM cells WHERE l = 0 UNION ALL SELECT file, 'sv', j * 3 + i, v FROM cells WHERE l = 0
+UNION ALL SELECT file, 'st', j * 3 + i, t FROM cells WHERE l = 0 UNION ALL SELECT file, 'sslp', j * 3 + i, slp FROM cells WHERE l = 0
+UNION ALL SELECT file, 'sclw', j * 3 + i, clw FROM cells WHERE l = 0 UNION ALL SELECT file, 'levels', l, 10000.0::DOUBLE + 75000 * l FROM cells WHERE j = 0 AND i = 0
+UNION ALL SELECT file, 'lats', j, 10.0::DOUBLE + j FROM cells WHERE l = 0 AND i = 0 UNION ALL SELECT file, 'lons', i, 300.0::DOUBLE + i FROM cells WHERE l = 0 AND j = 0""")
+def q75_array_values(spark: SparkSession, sf: str) -> DataFrame:
+    """The arrays of each nation's grids, written with a commit and read back by ranges."""
+    return array_files.read_values(spark, grid_datasets(spark, sf))
+
+
+@query("""SELECT 'n' || n_nationkey || '.nc' AS file, kind, var, name, value FROM nation, (VALUES ('dimension', '', 'pressure', '2'), ('dimension', '', 'lat', '2'), ('dimension', '', 'lon', '3'),
+('attribute', 'u', 'units', 'kt'), ('attribute', '', 'satellite_name', 'NPP'), ('attribute', '', 'atcf_storm_name', 'SANDY'), ('attribute', '', 'geospatial_lat_max', '11.0'),
+('variable', 't', 'dimensions', 'pressure,lat,lon'), ('variable', 'sclw', 'dimensions', 'lat,lon')) AS h(kind, var, name, value)""")
+def q76_array_heads(spark: SparkSession, sf: str) -> DataFrame:
+    """K4: dimensions, attributes and shapes of each nation's array file."""
+    heads = array_files.read_heads(spark, grid_datasets(spark, sf))
+    shown = (F.col("kind") == "dimension") | F.concat_ws(".", "var", "name").isin("u.units", ".satellite_name", ".atcf_storm_name", ".geospatial_lat_max", "t.dimensions", "sclw.dimensions")
+    return heads.filter(shown)
+
+
+@query("""SELECT 'TC-' || c_custkey || '_' || lower(c_mktsegment) AS line FROM customer""")
+def q77_product_list(spark: SparkSession, sf: str) -> DataFrame:
+    """K5: names of products, appended to one list in two runs."""
+    path = scratch(spark, "products")
+    products = table(spark, sf, "customer").select("c_custkey", F.concat(F.lit("TC-"), "c_custkey", F.lit("_"), F.lower("c_mktsegment")).alias("name"))
+    for half in range(2):
+        sinks.product_list(products.filter(F.col("c_custkey") % 2 == half), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))

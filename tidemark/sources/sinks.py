@@ -43,8 +43,8 @@ def coordinate_times(coords: DataFrame, times: DataFrame, satellite: str, instru
 
 
 def control_lines(attrs: DataFrame) -> DataFrame:
-    """K6: key=value lines of (pos, key, value)."""
-    return attrs.select("pos", F.concat_ws("=", "key", "value").alias("value"))
+    """K6: key=value lines of (pos, key, value); other columns, such as the file, stay."""
+    return attrs.select(*(c for c in attrs.columns if c not in ("key", "value")), F.concat_ws("=", "key", "value").alias("value"))
 
 
 def product_list(names: DataFrame, path: str) -> None:

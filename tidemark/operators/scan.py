@@ -58,10 +58,10 @@ class Run:
             values = batch.column(c)
             seen = np.maximum.accumulate(np.where(np.asarray(values.is_valid()), at, -1))
             known = seen >= start
-            found = values.take(pa.array(np.where(known, seen, 0), mask=~known))
             stood = np.where(known, rows[np.maximum(seen, 0)], np.where(goes_on, self.stood[c], 0))
-            if self.last[c] is not None:
-                found = pc.if_else(pa.array(goes_on & ~known), pa.scalar(self.last[c], values.type), found)
+            inherits = goes_on & ~known if self.last[c] is not None else np.zeros(n, bool)
+            found = pa.concat_arrays([values, *([self.last[c]] if inherits.any() else [])])
+            found = found.take(pa.array(np.where(known, seen, n), mask=~(known | inherits)))
             columns, names = [*columns, found, pa.array(stood)], [*names, f"_fill_{c}", f"_stood_{c}"]
         out = pa.RecordBatch.from_arrays([*columns, pa.array(np.zeros(n, bool))], [*names, "_sum"])
         for i in np.flatnonzero(new):
@@ -71,7 +71,9 @@ class Run:
             self.key = ()
         self.key, self.rows, self.held = tuple(batch.column(k)[n - 1].as_py() for k in self.keys), int(rows[-1]), out.slice(n - 1, 1)
         for c in self.filled:
-            self.last[c], self.stood[c] = out.column(f"_fill_{c}")[n - 1].as_py(), int(out.column(f"_stood_{c}")[n - 1].as_py())
+            last = out.column(f"_fill_{c}").slice(n - 1, 1)
+            self.last[c] = last if last.is_valid()[0].as_py() else None
+            self.stood[c] = int(out.column(f"_stood_{c}")[n - 1].as_py())
         yield out
 
     def ended(self, last: bool = False) -> Iterator[pa.RecordBatch]:

@@ -1,8 +1,10 @@
 """Selection around moving targets in space and time.
 
-A pure range join would compare every target with every sample. Samples and boxes share integer cells as wide as the box,
-so a box touches at most three cells in each direction, and the join has an equi-key; exact predicates follow. Cells that
-hold many samples are split by time slots, which are part of the key.
+A pure range join would compare every target with every sample. Samples and boxes share integer cells as wide as the box
+(and time slots), so a box touches at most three cells in each direction, and the join has an equi-key; exact predicates
+follow. Cells that hold more samples than a bound are cut into eight parts (north and south, east and west, early and
+late), again and again where a part still holds more; what stays too large at the deepest level, such as one place at one
+time, is dealt out by a hash, and the targets go to each share.
 """
 
 from __future__ import annotations
@@ -12,6 +14,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.scan import MOST_BROADCAST, segmented_scan
+from tidemark.session import scratch
+
+DEPTH = 8  # how often a busy cell is cut at most
+MOST_SAMPLES = 1_000_000  # samples of one key of the range join
+KEY = ["_y", "_x", "_t", "_d", "_ly", "_lx", "_lt", "_share"]
+
 
 @dataclass(frozen=True)
 class Box:
@@ -26,24 +35,85 @@ def lon_apart(a: Column, b: Column) -> Column:
     return F.pmod(a - b + F.lit(180.0), F.lit(360.0)) - F.lit(180.0)
 
 
-def range_join(targets: DataFrame, samples: DataFrame, box: Box = Box(), after: str = "after") -> DataFrame:
-    """Samples (lat, lon, ts, ...) within each target's box and time (t_lat, t_lon, t_ts and ``after`` in seconds).
-
-    Both ends are inclusive; longitudes may be signed or positive. Rows with a null coordinate or time match nothing.
-    """
-    lat_cells, lon_cells = box.height, 360.0 / max(1, int(360.0 // box.width))
-    n = int(round(360.0 / lon_cells))
+def cells_of(samples: DataFrame, box: Box) -> DataFrame:
+    """Samples with their cell (_y, _x, _t) and their place in it (_fy, _fx, _ft: the parts at the deepest level)."""
+    width = 360.0 / lon_cells(box)
+    y, x = F.col("lat") / F.lit(box.height), F.pmod(F.col("lon"), F.lit(360.0)) / F.lit(width)
+    t = F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(box.slot * 1_000_000.0)
+    fine = lambda v: F.least(F.floor((v - F.floor(v)) * (1 << DEPTH)), F.lit((1 << DEPTH) - 1)).cast("int")
+    cells = {"_y": F.floor(y).cast("int"), "_x": (F.floor(x).cast("int") % lon_cells(box)), "_t": F.floor(t).cast("long")}
+    return samples.withColumns(cells | {"_fy": fine(y), "_fx": fine(x), "_ft": fine(t)})
+
+
+def lon_cells(box: Box) -> int:
+    return max(1, int(360.0 // box.width))
+
+
+def leaves_of(placed: DataFrame, most: int) -> DataFrame:
+    """The parts into which cells with more than ``most`` samples are cut: cell, deepest part, and the leaf (_d, _ly, _lx, _lt,
+    _shares) that holds it. A row for each part of such a cell that has samples: counts are added up before they are dealt."""
+    cell, fine = ["_y", "_x", "_t"], ["_fy", "_fx", "_ft"]
+    counts = placed.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most).select(*cell)
+    parts = placed.select(*cell, *fine).join(counts, cell, "left_semi").groupBy(*cell, *fine).agg(F.count(F.lit(1)).alias("_n"))
+    up = lambda c, d: F.call_function("shiftright", F.col(c), F.lit(DEPTH) - d)
+    levels = parts.withColumn("_d", F.explode(F.sequence(F.lit(0), F.lit(DEPTH))))
+    levels = levels.withColumns({f"_l{c[2]}": up(c, F.col("_d")) for c in fine})
+    node = [*cell, "_d", "_ly", "_lx", "_lt"]
+    sizes = levels.groupBy(*node).agg(F.sum("_n").alias("_size"))
+    held = levels.join(sizes, node)
+    first = F.min_by(F.struct("_d", "_ly", "_lx", "_lt", "_size"), F.when(F.col("_size") <= most, F.col("_d")).otherwise(F.lit(DEPTH)))
+    leaf = held.filter((F.col("_size") <= most) | (F.col("_d") == DEPTH)).groupBy(*cell, *fine).agg(first.alias("_leaf"))
+    shares = F.ceil(F.col("_leaf._size") / F.lit(most)).cast("int").alias("_shares")
+    return leaf.select(*cell, *fine, "_leaf._d", "_leaf._ly", "_leaf._lx", "_leaf._lt", shares)
+
+
+def spread(targets: DataFrame, samples: DataFrame, box: Box, after: str, most: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the columns of their common key, KEY: at most ``most`` samples, as far as they hash evenly, have one."""
+    n, width = lon_cells(box), 360.0 / lon_cells(box)
     cell = lambda x, w: F.floor(x / F.lit(w)).cast("int")
-    slot = lambda t: F.floor(F.unix_timestamp(t.cast("timestamp")) / box.slot).cast("long")
-    east = lambda x: F.pmod(x, F.lit(360.0))
-    s = samples.withColumn("_y", cell(F.col("lat"), lat_cells)).withColumn("_x", cell(east(F.col("lon")), lon_cells) % n).withColumn("_t", slot(F.col("ts")))
+    slot = lambda t: F.floor(F.unix_micros(t.cast("timestamp")) / F.lit(box.slot * 1_000_000.0)).cast("long")
     start, end = F.col("t_ts") - F.make_interval(secs=F.lit(box.before)), F.col("t_ts") + F.make_interval(secs=F.col(after))
     t = targets.filter("t_lat IS NOT NULL AND t_lon IS NOT NULL AND t_ts IS NOT NULL")
-    t = t.withColumn("_y", F.explode(F.sequence(cell(F.col("t_lat") - box.height / 2, lat_cells), cell(F.col("t_lat") + box.height / 2, lat_cells))))
-    xs = F.transform(F.sequence(cell(F.col("t_lon") - box.width / 2, lon_cells), cell(F.col("t_lon") + box.width / 2, lon_cells)), lambda x: F.pmod(x, F.lit(n)).cast("int"))
+    t = t.withColumn("_y", F.explode(F.sequence(cell(F.col("t_lat") - box.height / 2, box.height), cell(F.col("t_lat") + box.height / 2, box.height))))
+    xs = F.transform(F.sequence(cell(F.col("t_lon") - box.width / 2, width), cell(F.col("t_lon") + box.width / 2, width)), lambda x: F.pmod(x, F.lit(n)).cast("int"))
     t = t.withColumn("_x", F.explode(F.array_distinct(xs))).withColumn("_t", F.explode(F.sequence(slot(start), slot(end))))
+    s = cells_of(samples, box)
+    path = scratch(samples.sparkSession, "leaves")
+    leaves_of(s, most).write.parquet(path)
+    leaves = samples.sparkSession.read.parquet(path)
+    parts = leaves.count()
+    whole = {c: F.lit(0) for c in ("_d", "_ly", "_lx", "_lt", "_share")}
+    if not parts:
+        return t.withColumns(whole), s.drop("_fy", "_fx", "_ft").withColumns(whole)
+    hint = F.broadcast if parts <= MOST_BROADCAST else (lambda df: df)
+    fine = ["_y", "_x", "_t", "_fy", "_fx", "_ft"]
+    s = s.join(hint(leaves), fine, "left").withColumn("_share", F.when(F.col("_shares") > 1, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_shares")).cast("int")))
+    s = s.drop("_fy", "_fx", "_ft", "_shares").fillna(0, ["_d", "_ly", "_lx", "_lt", "_share"])
+    cut = leaves.select("_y", "_x", "_t", "_d", "_ly", "_lx", "_lt", "_shares").distinct()
+    t = t.join(hint(cut), ["_y", "_x", "_t"], "left").fillna(0, ["_d", "_ly", "_lx", "_lt"])
+    part = F.lit(1.0) / F.call_function("shiftleft", F.lit(1), F.col("_d"))
+    middle = lambda base, c, size: (base + (F.col(c) + 0.5) * part) * F.lit(size)
+    reach = lambda own, size: own / 2 + F.lit(size) * part / 2 + 1e-6
+    touches = F.abs(middle(F.col("_y"), "_ly", box.height) - F.col("t_lat")) <= reach(F.lit(box.height), box.height)
+    touches &= F.abs(lon_apart(middle(F.col("_x"), "_lx", width), F.col("t_lon"))) <= reach(F.lit(box.width), width)
+    seconds = lambda ts: F.unix_micros(ts.cast("timestamp")) / F.lit(1e6)
+    touches &= (F.col("_t") + F.col("_lt") * part) * box.slot <= seconds(end) + 1e-3
+    touches &= (F.col("_t") + (F.col("_lt") + 1) * part) * box.slot >= seconds(start) - 1e-3
+    t = t.filter(touches).withColumn("_share", F.explode(F.sequence(F.lit(0), F.coalesce("_shares", F.lit(1)) - 1))).drop("_shares")
+    return t, s
+
+
+def range_join(targets: DataFrame, samples: DataFrame, box: Box = Box(), after: str = "after", most: int = MOST_SAMPLES) -> DataFrame:
+    """Samples (lat, lon, ts, ...) within each target's box and time (t_lat, t_lon, t_ts and ``after`` in seconds).
+
+    Both ends are inclusive; longitudes may be signed or positive. Rows with a null coordinate or time match nothing. No key
+    of the join has more than about ``most`` samples, however many share a place and time.
+    """
+    samples = samples.filter("lat IS NOT NULL AND lon IS NOT NULL AND ts IS NOT NULL")
+    start, end = F.col("t_ts") - F.make_interval(secs=F.lit(box.before)), F.col("t_ts") + F.make_interval(secs=F.col(after))
+    t, s = spread(targets, samples, box, after, most)
     near = (F.abs(F.col("lat") - F.col("t_lat")) <= box.height / 2) & (F.abs(lon_apart(F.col("lon"), F.col("t_lon"))) <= box.width / 2) & F.col("ts").between(start, end)
-    return t.join(s, ["_y", "_x", "_t"]).filter(near).drop("_y", "_x", "_t")
+    return t.join(s, KEY).filter(near).drop(*KEY)
 
 
 def value_range_join(left: DataFrame, right: DataFrame, a: str, b: str, width: float) -> DataFrame:
@@ -71,3 +141,28 @@ def nearest(left: DataFrame, right: DataFrame, keys: list[str], lts: str, rts: s
     near = l_.join(r, [*keys, "_slot"]).withColumn("_d", F.abs(F.col("_at") - F.col("_there"))).filter(F.col("_d") <= within * 1_000_000)
     best = near.groupBy(*left.columns).agg(F.min_by(F.struct(*extra), F.struct("_d", pos)).alias("_r"))
     return best.select(*own, *(F.col(f"_r.{c}").alias(c) for c in extra))
+
+
+def nearest_ever(left: DataFrame, right: DataFrame, keys: list[str], lts: str, rts: str, pos: str) -> DataFrame:
+    """J10 without a bound in time: for each left row the right row of its key nearest in time; of equal ones the first by ``pos``.
+
+    Both sides are put in order together; a scan fills the last right row down, one in reverse order the next one up. A key's
+    rows may lie in many tasks. Repeated left rows each have a result; those whose key has no right row, or whose time is
+    null, go; right rows without a time match nothing. ``pos`` is a number.
+    """
+    extra = [c for c in right.columns if c not in keys]
+    if clash := sorted(set(extra) & set(left.columns)):
+        raise ValueError(f"columns of both sides: {clash}")
+    at = lambda c: F.unix_micros(F.col(c).cast("timestamp")).alias("t")
+    l_ = left.filter(F.col(lts).isNotNull()).select(*keys, at(lts), F.lit(None).cast("double").alias("p"), F.struct(*left.columns).alias("l"))
+    r = right.filter(F.col(rts).isNotNull()).select(*keys, at(rts), F.col(pos).cast("double").alias("p"), F.struct(*extra).alias("r"))
+    r = r.withColumn("r", F.struct("t", "p", F.col("r").alias("row")))
+    both = l_.unionByName(r, allowMissingColumns=True)
+    later = F.col("p").desc_nulls_last()  # of right rows at one time the first comes last; left rows follow them all
+    down = segmented_scan(both, keys, [F.col("t"), later], fill={"before": "r"})
+    up = segmented_scan(down, keys, [F.col("t").desc(), later], fill={"behind": "r"}).filter("l IS NOT NULL")
+    apart = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.abs(F.col("t") - F.col(f"{c}.t")).alias("d"), F.col(f"{c}.p").alias("p"), F.col(f"{c}.row").alias("row")))
+    first, second = apart("before"), apart("behind")
+    closer = (first["d"] < second["d"]) | ((first["d"] == second["d"]) & (first["p"] <= second["p"]))
+    best = F.when(second.isNull() | closer, first).otherwise(second)
+    return up.withColumn("best", best).filter("best IS NOT NULL").select("l.*", *(F.col(f"best.row.{c}").alias(c) for c in extra))

@@ -136,6 +136,15 @@ def q12_nearest(spark, sf):  # noqa: ANN001, ANN201
     return spatial.nearest(left, right, ["user_id"], "ts", "there", "nearest", 172_800).select("event_id", "nearest")
 
 
+@query("""SELECT a.event_id, arg_min(b.event_id, (abs(epoch_us(a.ts) - epoch_us(b.ts)), b.event_id)) AS nearest FROM events a JOIN events b
+ON a.user_id = b.user_id AND a.event_type = 'view' AND b.event_type = 'click' GROUP BY a.event_id""")
+def q12b_nearest_ever(spark, sf):  # noqa: ANN001, ANN201
+    events = table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
+    left = events.filter("event_type = 'view'").select("event_id", "user_id", "ts")
+    right = events.filter("event_type = 'click'").select("user_id", F.col("event_id").alias("nearest"), F.col("ts").alias("there"))
+    return spatial.nearest_ever(left, right, ["user_id"], "ts", "there", "nearest").select("event_id", "nearest")
+
+
 @query("""SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')
 AND l_orderkey IN (SELECT l_orderkey FROM lineitem GROUP BY 1 HAVING count(*) = count(DISTINCT l_suppkey))""")
 def q13_semi_reduce(spark, sf):  # noqa: ANN001, ANN201

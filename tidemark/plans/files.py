@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import tables
 from tidemark.plans.catalogue import query, text_of
 from tidemark.session import scratch, table
-from tidemark.sources import array_files, named_files, names, sinks, texts
+from tidemark.sources import array_files, folders, named_files, names, sinks, texts
 
 
 def through_files(rows: DataFrame, label: str) -> DataFrame:
@@ -270,3 +270,13 @@ def q77_product_list(spark: SparkSession, sf: str) -> DataFrame:
     for half in range(2):
         sinks.product_list(products.filter(F.col("c_custkey") % 2 == half), path)
     return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query("""SELECT 'day=' || strftime(ts, '%Y-%m-%d') AS tier, sum(length(event_id::VARCHAR) + 1)::BIGINT AS bytes FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20' GROUP BY 1""")
+def q78_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """Sizes of the files in the folders of some days; the other days' folders are not opened."""
+    path = scratch(spark, "days")
+    events = table(spark, sf, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("day"), F.col("event_id").cast("string").alias("value"))
+    events.repartition("day").write.partitionBy("day").text(path)
+    files = folders.listed(spark, [f"{path}/^day=.*$"], "part-").filter("tier_0 >= 'day=2024-01-10' AND tier_0 < 'day=2024-01-20' AND length > 0 AND modified > TIMESTAMP '2020-01-01'")
+    return files.groupBy(F.col("tier_0").alias("tier")).agg(F.sum("length").alias("bytes"))

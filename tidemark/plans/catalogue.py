@@ -470,3 +470,25 @@ def q00_flagship(spark, sf):  # noqa: ANN001, ANN201
     newest = select.latest_per_key(events, ["user_id", "synoptic"], "ts", "event_id")
     scaled = values.rescaled(F.col("value"), values.KNOTS, 0.0, 0.0, 400 * values.KNOTS)
     return newest.select("user_id", text_of("synoptic").alias("synoptic"), "event_id", scaled.alias("scaled")).orderBy("user_id", "synoptic")
+
+
+@query("""SELECT event_id, CASE event_id % 6 WHEN 0 THEN CASE WHEN json_extract(props, '$.k')::INT > 50 THEN '$.props.k: more than 50' ELSE '' END
+WHEN 1 THEN '$: ''inputs'' is a required property; $.meta: ''bkwdDelta'' is a required property' WHEN 2 THEN '$.meta.bkwdDelta: not of type integer; $.name: not of type string'
+WHEN 3 THEN '$.inputs.files[1]: not of type string; $.inputs.files[2]: not of type string' WHEN 4 THEN '$: not of type object' ELSE '$: not JSON' END AS errors FROM events""")
+def q79_schema_errors(spark, sf):  # noqa: ANN001, ANN201
+    """Task configurations composed of the events' properties, tested by a nested schema."""
+    from tidemark.plans.schemas import schema_errors
+
+    schema = {
+        "type": "object", "required": ["name", "meta", "inputs"],
+        "properties": {
+            "name": {"type": "string"}, "meta": {"type": "object", "required": ["bkwdDelta"], "properties": {"bkwdDelta": {"type": "integer"}}},
+            "inputs": {"type": "object", "properties": {"files": {"type": "array", "items": {"type": "string"}}}},
+            "props": {"type": "object", "properties": {"k": {"type": "integer", "maximum": 50}}},
+        },
+    }
+    kind = F.col("event_id") % 6
+    whole = F.concat(F.lit('{"name":"t'), F.col("event_id"), F.lit('","meta":{"bkwdDelta":43200},"inputs":{"files":["a","b"]},"props":'), F.col("props"), F.lit("}"))
+    text = F.when(kind == 0, whole).when(kind == 1, '{"name":"t","meta":{}}').when(kind == 2, '{"name":5,"meta":{"bkwdDelta":"x"},"inputs":{}}')
+    text = text.when(kind == 3, '{"name":"t","meta":{"bkwdDelta":1},"inputs":{"files":["a",7,null]}}').when(kind == 4, "[1]").otherwise("not json")
+    return table(spark, sf, "events").select("event_id", F.array_join(schema_errors(text, schema), "; ").alias("errors"))

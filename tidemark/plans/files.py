@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import tables
 from tidemark.plans.catalogue import query, text_of
 from tidemark.session import scratch, table
-from tidemark.sources import array_files, folders, named_files, names, sinks, texts
+from tidemark.sources import array_files, binaries, folders, named_files, names, sinks, texts
 
 
 def through_files(rows: DataFrame, label: str) -> DataFrame:
@@ -280,3 +280,53 @@ def q78_listing(spark: SparkSession, sf: str) -> DataFrame:
     events.repartition("day").write.partitionBy("day").text(path)
     files = folders.listed(spark, [f"{path}/^day=.*$"], "part-").filter("tier_0 >= 'day=2024-01-10' AND tier_0 < 'day=2024-01-20' AND length > 0 AND modified > TIMESTAMP '2020-01-01'")
     return files.groupBy(F.col("tier_0").alias("tier")).agg(F.sum("length").alias("bytes"))
+
+
+@query("""SELECT 'n' || c_nationkey || '.tar' AS file, 'c' || c_custkey || '.txt' AS member, c_name || ' ' || c_mktsegment AS content FROM customer WHERE c_custkey % 10 < 5""")
+def q80_archive_members(spark: SparkSession, sf: str) -> DataFrame:
+    """A tar archive of customers for each nation; the members whose names end with certain digits, read by ranges."""
+    import tarfile
+    from collections.abc import Iterator
+
+    import pyarrow as pa
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each member's header and data, padded to blocks of 512 bytes."""
+        for batch in batches:
+            out = []
+            for name, text in zip(batch.column("member").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                info, data = tarfile.TarInfo(name), text.encode()
+                info.size = len(data)
+                out.append(info.tobuf() + data + bytes(-len(data) % 512))
+            yield pa.RecordBatch.from_arrays([batch.column("file"), batch.column("pos"), pa.array(out, pa.binary())], ["file", "pos", "data"])
+
+    customers = table(spark, sf, "customer").select(
+        F.concat(F.lit("n"), "c_nationkey", F.lit(".tar")).alias("file"), F.col("c_custkey").cast("long").alias("pos"), F.concat(F.lit("data/c"), "c_custkey", F.lit(".txt")).alias("member"),
+        F.concat_ws(" ", "c_name", "c_mktsegment").alias("text"),
+    )
+    ends = customers.select("file").distinct().select("file", F.lit((1 << 63) - 1).alias("pos"), F.lit(bytearray(1024)).alias("data"))
+    path = scratch(spark, "archives")
+    named_files.write_files(customers.mapInArrow(blocks, "file string, pos long, data binary").unionByName(ends), path)
+    found = binaries.members(spark, path, "tar", r"c\d*[0-4]\.txt$", strip=1, run_bytes=1 << 20)
+    return found.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "member", F.decode("content", "UTF-8").alias("content"))
+
+
+@query("""SELECT 'p' || p_partkey AS file, p_partkey::BIGINT AS number, p_size::BIGINT AS size, p_retailprice AS price, p_brand AS brand FROM part""")
+def q81_binary_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """Binary files of parts with a header of four fields and a longer body; only headers are read back."""
+    import struct
+    from collections.abc import Iterator
+
+    import pyarrow as pa
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pylist()
+            data = [struct.pack(">IHd12s", r["p_partkey"], r["p_size"], r["p_retailprice"], r["p_brand"].encode()) + bytes(4096) for r in rows]
+            yield pa.RecordBatch.from_arrays([pa.array([f"p{r['p_partkey']}" for r in rows]), pa.array([0] * len(rows), pa.int64()), pa.array(data, pa.binary())], ["file", "pos", "data"])
+
+    path = scratch(spark, "headers")
+    parts = table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice", "p_brand")
+    named_files.write_files(parts.mapInArrow(packed, "file string, pos long, data binary"), path)
+    layout = {"number": ("I", 1), "size": ("H", 1), "price": ("d", 1), "brand": ("s", 12)}
+    return binaries.headers(spark, path, layout, ">").withColumn("file", F.regexp_extract("path", r"([^/]+)$", 1)).drop("path")

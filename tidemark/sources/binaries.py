@@ -2,28 +2,50 @@
 
 from __future__ import annotations
 
-import io
 import struct
+import tarfile
+import zipfile
+import zlib
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tidemark.errors import InputError
+from tidemark.sources.stores import open_fs, read_range
+
 
 def little_endian(content, offset: int, size: int = 4):  # noqa: ANN001, ANN201
     """An unsigned little-endian integer of a binary column."""
     return F.conv(F.array_join(F.transform(F.sequence(F.lit(size - 1), F.lit(0)), lambda i: F.hex(content).substr(2 * (offset + i) + 1, F.lit(2))), ""), 16, 10).cast("long")
 
 
+def first_bytes(spark: SparkSession, path: str, size: int) -> DataFrame:
+    """path, length and content: the first ``size`` bytes of each file (fewer of a shorter one); no more is read."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [read_range(p, 0, min(size, n)) for p, n in zip(*(batch.column(c).to_pylist() for c in ("path", "length")), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], ["path", "length", "content"])
+
+    files = spark.read.format("binaryFile").load(path).select("path", "length")  # a listing: content is pruned
+    return files.mapInArrow(read, "path string, length long, content binary")
+
+
 def headers(spark: SparkSession, path: str, layout: dict[str, tuple[str, int]], order: str = "<") -> DataFrame:
     """Path and the named header fields of binary files. layout: name -> (struct format, count), in file order.
 
-    Integers of up to 4 bytes in little-endian order are cut out by column expressions; other formats by struct in Arrow batches.
+    Only the header's bytes are read. Integers of up to 4 bytes in little-endian order are cut out by column expressions;
+    other formats by struct in Arrow batches. A file shorter than its header is an error.
     """
     size = struct.calcsize(order + "".join(f"{n}{f}" for f, n in layout.values()))
-    files = spark.read.format("binaryFile").load(path).select("path", F.substring("content", 1, size).alias("content"))
+    files = first_bytes(spark, path, size)
+    short = F.octet_length("content") < size
+    files = files.filter(F.when(short, F.raise_error(F.concat(F.lit("shorter than its header: "), F.col("path"))).cast("boolean")).otherwise(True)).select("path", "content")
     if order == "<" and all(f in "BHI" and n == 1 for f, n in layout.values()):
         out, at = [], 0
         for name, (f, _) in layout.items():
@@ -47,27 +69,72 @@ def headers(spark: SparkSession, path: str, layout: dict[str, tuple[str, int]],
     return files.mapInPandas(unpack, "path string, " + ", ".join(f"`{n}` {k}" for n, k in kinds.items()))
 
 
-def members(spark: SparkSession, path: str, kind: str, pattern: str = ".*", strip: int = 0) -> DataFrame:
-    """Path, member and content of tar or zip members whose names match from the start; ``strip`` leading components go."""
+INDEX = "path string, member string, at long, offset long, stored long, method int, crc long"
+
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import re
-        import tarfile
-        import zipfile
+def archive_index(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """The members of tar or zip archives without their data: where each one is and how it is stored.
 
-        test = re.compile(pattern)
+    Of a zip only the directory at its end is read, of a tar only its chain of headers. A compressed tar is an error: its
+    members have no places. Folders, links and devices are left out; repeated names stay.
+    """
+
+    def entries(file, source: str) -> Iterator[tuple]:  # noqa: ANN001
+        if kind == "tar":
+            with tarfile.open(fileobj=file, mode="r:") as archive:
+                yield from ((source, m.name, i, m.offset_data, m.size, 0, None) for i, m in enumerate(archive) if m.isfile())
+            return
+        with zipfile.ZipFile(file) as archive:
+            for i, m in enumerate(archive.infolist()):
+                if m.flag_bits & 1 or m.compress_type not in (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED):
+                    raise InputError(f"encrypted or oddly compressed: {m.filename} in {source}")
+                if not m.is_dir():
+                    yield source, m.filename, i, m.header_offset, m.compress_size, m.compress_type, m.CRC
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [x.split()[0] for x in INDEX.split(", ")]
+        kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+        for batch in batches:
+            for source in batch.column("path").to_pylist():
+                system, place = open_fs(source)
+                with system.open_input_file(place) as file:
+                    found = entries(file, source)
+                    while rows := list(islice(found, 4096)):
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+    return spark.read.format("binaryFile").load(path).select("path").mapInArrow(read, INDEX)
+
+
+def member_data(row: dict) -> bytes:
+    """A member's bytes, by its own range of the archive."""
+    start = row["offset"]
+    if row["crc"] is not None:  # zip: a local heading of its own, whose length stands in it
+        name, extra = struct.unpack("<HH", read_range(row["path"], start + 26, 4))
+        start += 30 + name + extra
+    data = read_range(row["path"], start, row["stored"])
+    if row["method"] == zipfile.ZIP_DEFLATED:
+        data = zlib.decompress(data, -15)
+    if len(data) < row["stored"] and not row["method"] or row["crc"] is not None and zlib.crc32(data) != row["crc"]:
+        raise InputError(f"damaged: {row['member']} in {row['path']}")
+    return data
+
+
+def members(spark: SparkSession, path: str, kind: str, pattern: str = ".*", strip: int = 0, run_bytes: int = 64 << 20) -> DataFrame:
+    """Path, member and content of tar or zip members whose names match from the start; ``strip`` leading components go.
+
+    Members are found first, then dealt out in runs of ``run_bytes`` of an archive; a task reads the ranges of its own
+    members and holds one of them, so an archive may be larger than any task's memory.
+    """
+    bare = F.array_join(F.slice(F.split("member", "/"), strip + 1, F.greatest(F.size(F.split("member", "/")) - strip, F.lit(0))), "/")
+    wanted = archive_index(spark, path, kind).withColumn("name", bare).filter(F.col("name").rlike("^(?:" + pattern.replace("(?P<", "(?<") + ")"))
+    runs = wanted.withColumn("run", F.floor(F.col("offset") / run_bytes)).repartition("path", "run")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for source, content in zip(batch["path"], batch["content"], strict=True):
-                opened = tarfile.open(fileobj=io.BytesIO(content)) if kind == "tar" else zipfile.ZipFile(io.BytesIO(content))
-                with opened as archive:  # one member in memory beside the archive, and only those with such a name
-                    files = ((m, m.name) for m in archive if m.isfile()) if kind == "tar" else ((n, n) for n in archive.namelist() if not n.endswith("/"))
-                    for member, full in files:
-                        name = "/".join(full.split("/")[strip:])
-                        if test.match(name):
-                            data = archive.extractfile(member).read() if kind == "tar" else archive.read(member)
-                            yield pd.DataFrame([(source, name, data)], columns=["path", "member", "content"])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(read, "path string, member string, content binary")
+            for row in batch.to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([row["path"]]), pa.array([row["name"]]), pa.array([member_data(row)], pa.binary())], ["path", "member", "content"])
+
+    return runs.mapInArrow(read, "path string, member string, content binary")
 
 
 class SampleReader(DataSourceReader):

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from tidemark.plans import catalogue, files, streams  # noqa: F401
+from tidemark.plans import catalogue, columns, files, streams  # noqa: F401
 
 
 @pytest.fixture(scope="module")

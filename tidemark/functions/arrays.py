@@ -42,7 +42,7 @@ def transposed(matrix: Column) -> Column:
 def level_index(levels: Column, label: Column) -> Column:
     """The place of a level from 0; an error that lists the known ones otherwise."""
     at = F.array_position(levels, label)
-    return F.when(at > 0, at - 1).otherwise(F.raise_error(F.concat(F.lit("unknown level "), label, F.lit(", known: "), F.array_join(F.array_sort(levels), ", "))).cast("long"))
+    return F.when(at > 0, at - 1).otherwise(F.raise_error(F.concat(F.lit("unknown level "), label, F.lit(", known: "), sorted_levels(levels))).cast("long"))
 
 
 def masked_add(values: Column, test: Callable[[Column], Column], amount: float) -> Column:
@@ -55,6 +55,22 @@ def steps(start: int, stop: int, step: int) -> Column:
     return F.sequence(F.lit(start), F.lit(stop - 1), F.lit(step))
 
 
+def sorted_levels(levels: Column) -> Column:
+    """The known levels for an error text."""
+    return F.array_join(F.array_sort(levels), ", ")
+
+
+def required_property(properties: Column, name: str) -> Column:
+    """A property's value; an error where it is missing."""
+    value = F.try_element_at(properties, F.lit(name))
+    return F.when(value.isNotNull(), value).otherwise(F.raise_error(F.lit(f"no property {name}")).cast("string"))
+
+
+def has_keys(properties: Column, names: list[str]) -> Column:
+    """whether a map has all of the names."""
+    return F.forall(F.array(*map(F.lit, names)), lambda n: F.map_contains_key(properties, n))
+
+
 def mapped_where(values: Column, key_pattern: str, change: Callable[[Column], Column]) -> Column:
     """A map's values changed where the key matches."""
     return F.transform_values(values, lambda k, v: F.when(k.rlike(key_pattern), change(v)).otherwise(v))

@@ -119,3 +119,24 @@ def track_name(name: Column, basin: Column, modified: Column) -> Column:
 def forecast_name(run: Column, hour: Column) -> Column:
     """A forecast file's name from its run and forecast hour."""
     return F.concat(F.lit("gfs.t"), F.date_format(run, "HH"), F.lit("z.pgrb2.1p00.f"), F.lpad(hour.cast("string"), 3, "0"), F.lit("."), F.date_format(run, "yyyyMMdd"))
+
+
+def storm_id(basin: Column, number: Column, year: Column) -> Column:
+    """Basin in upper case, number and year."""
+    return F.concat(F.upper(basin), number.cast("string"), year.cast("string"))
+
+
+def absolute(base: Column, path: Column) -> Column:
+    """A path below ``base`` unless it is absolute already; a null base is an error for others."""
+    joined = F.concat(F.rtrim(base, F.lit("/")), F.lit("/"), path)
+    return F.when(path.startswith("/"), path).when(base.isNull(), F.raise_error(F.concat(F.lit("no base for "), path)).cast("string")).otherwise(joined)
+
+
+def random_id(size: int = 8) -> Column:
+    """A random id of up to 32 hexadecimal characters; another one for each row and run."""
+    return F.substring(F.replace(F.uuid(), F.lit("-"), F.lit("")), 1, size)
+
+
+def cut_at(text: Column, places: dict[str, tuple[int, int]]) -> dict[str, Column]:
+    """C14: substrings at fixed places, name -> (start from 1, length)."""
+    return {n: F.substring(text, start, size) for n, (start, size) in places.items()}

@@ -69,6 +69,17 @@ def projected(df: DataFrame, wanted: list[str], renames: dict[str, str] | None =
     return df.drop(*dropped).select(*wanted).withColumnsRenamed(renames or {})
 
 
+def with_results(pairs: DataFrame, results: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """pairs that have results, and those to skip."""
+    return pairs.join(results, keys, "left_semi"), pairs.join(results, keys, "left_anti")
+
+
+def key_list(tasks: DataFrame, key: str, pos: str, by: list[str]) -> DataFrame:
+    """One key's values over the tasks of each group, in the order of ``pos``."""
+    values = F.transform(F.array_sort(F.collect_list(F.struct(pos, key))), lambda x: x[key])
+    return tasks.groupBy(*by).agg(values.alias(key))
+
+
 def non_empty(files: DataFrame) -> DataFrame:
     """F13."""
     return files.filter(F.col("length") > 0)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.errors import PROGRAM_CODES, ConfigError
 from tidemark.functions import arrays, times, values
 from tidemark.operators import link, select
-from tidemark.sources import names
+from tidemark.sources import binaries, folders, names, texts
 from tidemark.streaming.schedule import Plugin
 
 FILTERS: dict[str, Callable[..., DataFrame]] = {"latest_per_key": select.latest_per_key, "latest": select.latest, "within_horizon": select.within_horizon, "split_linked": link.split_linked}
@@ -23,7 +23,9 @@ CONVERTERS: dict[str, Callable[..., Column]] = {
     "transpose2D": arrays.transposed, "transpose3D": lambda m: F.transform(m, arrays.transposed), "convert2float": lambda c: c.cast("double"), "knots": values.knots,
 }
 READERS = dict(names.KINDS)
-PLUGINS: dict[str, Plugin] = {}
+PLUGINS: dict[str, Plugin | Callable[..., Plugin]] = {}
+ACTIONS: dict[str, Callable[..., DataFrame]] = {"list": folders.listed, "members": binaries.members, "headers": binaries.headers}  # X6
+INPUTS: dict[str, Callable[..., DataFrame]] = {"control": texts.control_input}  # X9
 
 
 def register(kind: dict, name: str):  # noqa: ANN201
@@ -42,6 +44,12 @@ def found(kind: dict, name: str):  # noqa: ANN201
     return kind[name]
 
 
+def plugin(name: str, *inputs) -> Plugin:  # noqa: ANN002
+    """A plugin by name; those that need more than a listing are made of ``inputs``."""
+    thing = found(PLUGINS, name)
+    return thing if isinstance(thing, Plugin) else thing(*inputs)
+
+
 def converted(df: DataFrame, outputs: dict[str, dict]) -> DataFrame:
     """Output columns from data columns: {name: {"from": [columns], "convert": name or None, "args": [...]}}."""
     cols = []

@@ -1,4 +1,4 @@
-"""Lines and files to write (K1-K8, K11-K16). Each function gives a DataFrame; ``write_lines`` puts it in order into one file set."""
+"""Lines and files to write (K1-K8, K11-K15). Each function gives a DataFrame; ``write_lines`` puts it in order into one file set."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.strings import storm_id
 from tidemark.functions.times import epoch_fields, formatted
 
 
@@ -83,7 +84,7 @@ def array_dataset(levels: DataFrame, surface: DataFrame, header: DataFrame, crea
     east = lambda c: F.when(F.col(c) < 0, F.col(c) + 360).otherwise(F.col(c))
     storm = F.to_timestamp(F.format_string("%04d%02d%02d%02d", "ayear", "amonth", "aday", "ahour"), "yyyyMMddHH")
     attrs = {  # fixed values: the attributes' names
-        "date_created": formatted(created), "satellite_name": F.lit(satellite), "instrument_name": F.lit(instrument), "atcf_storm_id": F.concat(F.upper("abasin"), F.col("asnum").cast("string"), F.col("ayear").cast("string")),
+        "date_created": formatted(created), "satellite_name": F.lit(satellite), "instrument_name": F.lit(instrument), "atcf_storm_id": storm_id(F.col("abasin"), F.col("asnum"), F.col("ayear")),
         "atcf_storm_basin": F.upper("abasin"), "atcf_storm_number": F.col("asnum"), "atcf_storm_name": F.col("asname"), "atcf_storm_date_time": formatted(storm), "atcf_storm_latitude_degrees_north": F.col("alat"),
         "atcf_storm_longitude_degrees_east": east("alon"), "atcf_storm_speed_knots": F.col("aspeed"), "atcf_storm_direction_degrees": F.col("adir"), "atcf_storm_intensity_knots": F.col("avmx"),
         "atcf_storm_radius_of_maximum_winds_nautical_miles": F.col("armw"), "swath_date_time": formatted(F.col("swath_time")), "swath_storm_extrapolated_latitude_degrees_north": F.col("clat"),

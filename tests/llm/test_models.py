@@ -49,6 +49,22 @@ def test_permutation_is_one_to_one(spark):
         assert sorted(r.x for r in df.collect()) == list(range(n))
 
 
+@pytest.mark.parametrize("total", [1_000_000, 400_000])
+def test_shares_of_shards_spread_as_a_multinomial(spark, total):
+    """Of sources with 60, 35 and 5 % the variance of a shard's count, over that of the multinomial given the sums, is 0.8 to 1.2."""
+    mix = Mix()
+    rows, columns = mixing.sides(total)
+    n, m = rows * columns, 512
+    p = mixing.dealt(spark.range(n), total, mix)
+    assert p.select("p").distinct().count() == n and p.agg(F.max("p")).first()[0] == n - 1
+    source = F.when(F.col("p") < 0.6 * total, 0).when(F.col("p") < 0.95 * total, 1).when(F.col("p") < total, 2)
+    counts = p.groupBy(F.floor(F.col("id") / m).alias("shard")).agg(*(F.count_if(source == s).alias(f"n{s}") for s in range(3))).filter(f"shard < {n // m}").toPandas()
+    for s, share in enumerate((0.6, 0.35, 0.05)):
+        q = share * total / n
+        ratio = ((counts[f"n{s}"] - m * q) ** 2).mean() / (m * q * (1 - q) * (n - m) / (n - 1))
+        assert 0.8 < ratio < 1.2, (s, ratio)
+
+
 def test_mixed_documents_hold_what_the_report_says(spark):
     rng = random.Random(5)
     docs = [(i, "  ".join(f"d{i}w{k}" for k in range(rng.choice([0, 2, 30, 120]))), rng.choice(["a", "a", "b", "c"])) for i in range(60)]

@@ -5,7 +5,7 @@ each source; a source's draws are numbered through all shards, and a keyed permu
 numbers into blocks, one pass over the source after the other. Documents then join the drawn blocks by number.
 
 The counts of the shards are a multinomial draw, given that each source's sum over all shards is its target: a keyed
-permutation deals as many slots as each source has over the shards. So shards differ by chance and sources meet their
+permutation, a Feistel network, deals as many slots as each source has over the shards. So shards differ by chance and sources meet their
 targets to a block. A block is never taken in more than ``max_repeats`` passes, so no document is.
 
 Sources are few beside documents: a table of one row for each is put in order by one task.
@@ -13,6 +13,7 @@ Sources are few beside documents: a table of one row for each is put in order by
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -33,13 +34,14 @@ class Mix:
     buckets: int = 1024  # of a source's documents, and one more for each ``bucket_rows`` documents
     bucket_rows: int = 1_000_000
     cells: int = 4096
-    rounds: int = 12
+    rounds: int = 12  # of the permutation of blocks
+    deal_rounds: int = 4  # of the permutation of slots
     seed: int = 7
 
-    def round_keys(self) -> list[tuple[int, int, int, int]]:
-        """Of each round of the permutation its two multipliers and two offsets, from a linear congruence."""
+    def round_keys(self, rounds: int | None = None) -> list[tuple[int, int, int, int]]:
+        """Of each round of a permutation two multipliers and two offsets, from a linear congruence."""
         out, x = [], self.seed
-        for _ in range(self.rounds):
+        for _ in range(self.rounds if rounds is None else rounds):
             row = []
             for _ in range(4):
                 x = (x * 48271 + 11) % PRIME
@@ -101,7 +103,34 @@ def permuted_sql(i: str, n: str, key: str, mix: Mix) -> str:
     return f"list_reduce(list_prepend([{i}], [{keys}]), lambda x, r: [CASE WHEN (r[3] * (greatest(x[1], {other}) % {p}) + r[4] + {key}) % {p} % 2 = 1 THEN {other} ELSE x[1] END])[1]"
 
 
-SLOT_KEY = PRIME - 7  # of the permutation of slots; those of blocks count up from 0
+def sides(total: int) -> tuple[int, int]:
+    """A square that holds ``total`` slots, and less than one more row."""
+    rows = max(1, math.ceil(math.sqrt(total)))
+    return rows, -(-total // rows)
+
+
+def dealt(slots: DataFrame, total: int, mix: Mix) -> DataFrame:
+    """Adds p, a permutation of the numbers below rows * columns of ``sides``: a Feistel network over row and column of ``id``,
+    whose rounds add a quadratic function of one to the other in turn. Each round is a projection of its own, in generated code."""
+    na, nb = sides(total)
+    out = slots.withColumns({"a": F.floor(F.col("id") / F.lit(nb)), "b": F.col("id") % nb})
+    for r, (k0, k1, k2, k3) in enumerate(mix.round_keys(mix.deal_rounds)):
+        own, other, n = ("a", "b", na) if r % 2 == 0 else ("b", "a", nb)
+        y, z = F.col("y"), F.col("z")
+        out = out.withColumn("y", (F.col(other) * F.lit(k0).cast("long") + k1) % PRIME).withColumn("z", (y * y + k2) % PRIME)
+        out = out.withColumn(own, (F.col(own) + (z * F.lit(k3).cast("long") + y) % PRIME) % n)
+    return out.withColumn("p", F.col("a") * nb + F.col("b")).drop("a", "b", "y", "z")
+
+
+def dealt_sql(i: str, na: str, nb: str, mix: Mix) -> str:
+    """``dealt`` in DuckDB's SQL, from and to a number below na * nb."""
+    keys = ", ".join(f"[{', '.join(map(str, row))}, {r % 2}]" for r, row in enumerate(mix.round_keys(mix.deal_rounds)))
+    y = f"((CASE WHEN r[5] = 0 THEN x[2] ELSE x[1] END * r[1] + r[2]) % {PRIME})"
+    more = f"((({y} * {y} + r[3]) % {PRIME} * r[4] + {y}) % {PRIME})"
+    step = f"CASE WHEN r[5] = 0 THEN [(x[1] + {more}) % {na}, x[2]] ELSE [x[1], (x[2] + {more}) % {nb}] END"
+    return f"list_reduce(list_prepend([{i} // {nb}, {i} % {nb}], [{keys}]), lambda x, r: {step})"
+
+
 RUN_SHARDS = 1024  # shards whose draws are numbered in one window
 
 
@@ -114,7 +143,8 @@ def draws(sources: DataFrame, mix: Mix) -> DataFrame:
     spans = spans.withColumn("hi", F.sum("n").over(Window.orderBy("sid"))).withColumn("lo", F.col("hi") - F.col("n")).drop("n")
     cell = lambda p: F.floor(p * mix.cells / total) if total else p
     spans = spans.withColumn("cell", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi") - 1))))
-    slot = spark.range(total).select(F.floor(F.col("id") / mix.shard_slots).alias("shard"), permuted(F.col("id"), F.lit(total).cast("long"), F.lit(SLOT_KEY).cast("long"), mix).alias("p"))
+    rows, columns = sides(total)  # the slots that this is more than ``total`` stay empty
+    slot = dealt(spark.range(rows * columns), total, mix).select(F.floor(F.col("id") / mix.shard_slots).alias("shard"), "p")
     counts = slot.withColumn("cell", cell(F.col("p"))).join(spans, "cell").filter("p >= lo AND p < hi").groupBy("shard", "sid", "blocks").agg(F.count(F.lit(1)).alias("n"))
     # a source's draws are numbered within runs of shards, and runs by the draws of the runs before
     counts = counts.withColumn("run", F.floor(F.col("shard") / RUN_SHARDS))
@@ -196,7 +226,7 @@ def mixed_documents(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", t
 def report_sql(mix: Mix = Mix()) -> str:
     """``mix_report`` over documents in DuckDB's SQL."""
     b, p = mix.block_words, PRIME
-    dealt = permuted_sql("i", "total", str(SLOT_KEY), mix)
+    deal = dealt_sql("i", "na", "nb", mix)
     block = permuted_sql("k % blocks", "blocks", "key", mix)
     return f"""
 WITH sizes AS (
@@ -214,7 +244,8 @@ sources AS (
   FROM (SELECT *, ceil(source_size / {b})::BIGINT AS blocks, coalesce(least((SELECT fair FROM fair) * weight, cap::DOUBLE), cap::DOUBLE) AS target FROM per)),
 whole AS (SELECT sid, blocks, floor(slots + 0.5)::BIGINT AS n FROM sources),
 spans AS (SELECT *, (sum(n) OVER (ORDER BY sid))::BIGINT AS hi FROM whole WHERE n > 0),
-slot AS (SELECT i // {mix.shard_slots} AS shard, {dealt} AS p FROM (SELECT unnest(range(total)) AS i, total FROM (SELECT sum(n)::BIGINT AS total FROM whole))),
+square AS (SELECT na, (total + na - 1) // na AS nb FROM (SELECT total, greatest(1, ceil(sqrt(total)))::BIGINT AS na FROM (SELECT sum(n)::BIGINT AS total FROM whole))),
+slot AS (SELECT i // {mix.shard_slots} AS shard, x[1] * nb + x[2] AS p FROM (SELECT i, nb, {deal} AS x FROM (SELECT unnest(range(na * nb)) AS i, na, nb FROM square))),
 counts AS (
   SELECT *, (sum(n) OVER (PARTITION BY sid ORDER BY shard))::BIGINT - n AS base
   FROM (SELECT shard, sid, blocks, count(*) AS n FROM slot JOIN spans ON p >= hi - spans.n AND p < hi GROUP BY ALL)),

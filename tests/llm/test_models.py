@@ -224,7 +224,7 @@ def plain_class_scores(docs, lm):
         return cell(table) - cell(table.sum(0)) - cell(table.sum(1))
 
     table, best = bigrams(of), None
-    for _ in range(lm.sweeps):
+    while True:
         smooth = table + 0.5
         gain = {w: np.zeros(lm.classes) for w in count if w != "\n"}
         for a, b in pairs:
@@ -237,7 +237,10 @@ def plain_class_scores(docs, lm):
         found = bigrams(new)
         if best is not None and fit_of(found) <= best:
             break
+        gain = math.inf if best is None else fit_of(found) - best
         of, table, best = new, found, fit_of(found)
+        if gain < lm.least_gain * abs(best):
+            break
     n, once = sum(count.values()), sum(c == 1 for c in count.values())
     share = table.sum(0) + 1e-3
     share = share / share.sum()
@@ -254,7 +257,7 @@ def plain_class_scores(docs, lm):
     return {i: sum(step(a, b) for a, b in zip(["\n", *ws], ws)) for i, ws, _ in docs}
 
 
-@pytest.mark.parametrize("lm", [class_lm.ClassLm(classes=5), class_lm.ClassLm(classes=9, sweeps=2, group_bytes=600, slice_groups=2)])
+@pytest.mark.parametrize("lm", [class_lm.ClassLm(classes=5), class_lm.ClassLm(classes=9, least_gain=0.02, group_bytes=600, slice_groups=2)])
 def test_scores_against_the_definition(spark, lm):
     rng = random.Random(12)
     kinds = [[f"{k}{i}" for i in range(n)] for k, n in (("a", 4), ("b", 30), ("c", 60))]

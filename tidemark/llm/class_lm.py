@@ -4,7 +4,7 @@ Exchange clustering is a number of distributed sweeps over all words of the trai
 words as there are classes start with a class each, the others with none. In a sweep the neighbours of every word are
 counted by class over the whole corpus, and each word moves to the class that, to first order, raises the likelihood of
 the class bigrams most; all move at once. The first sweep always stands, each later one only if it raises the
-likelihood. Counts are whole numbers, so no class depends on how the texts are grouped.
+likelihood; sweeps end when one gains less than ``least_gain`` of it. Counts are whole numbers, so no class depends on how the texts are grouped.
 
 Texts are staged in groups of about ``group_bytes``, each a file with its distinct words and its tokens as places among
 them. Word tables are never gathered: they are dealt by hash into parts, and each group gets the classes of its own words
@@ -31,7 +31,7 @@ END_WORD = np.int64(0x0E4D)  # the hash that stands for a text's end
 @dataclass(frozen=True)
 class ClassLm:
     classes: int = 32
-    sweeps: int = 4
+    least_gain: float = 0.001  # the share of the log-likelihood that a sweep must gain for another to follow
     prior: float = 20.0  # tokens that the classes' overall shares weigh in a class's transitions
     group_bytes: int = 8 << 20
     slice_groups: int = 4096  # groups whose counts are added in one task
@@ -300,7 +300,7 @@ def classed(asked: DataFrame, folder: str, top: np.ndarray, parts: int, slices:
 
     now, old, best = asked.mapInArrow(starts, CLASSES), None, None
     table = class_bigrams(now, folder, parts, lm)
-    for _ in range(max(1, lm.sweeps)):
+    while True:
         new = written(settled(neighbours(now, folder, parts, lm), table, slices, lm), "classes")
         found = class_bigrams(new, folder, parts, lm)
         if best is not None and likelihood(found) <= best:
@@ -308,7 +308,10 @@ def classed(asked: DataFrame, folder: str, top: np.ndarray, parts: int, slices:
             break
         if old is not None:
             discard(old)
+        gain = np.inf if best is None else likelihood(found) - best
         now, old, table, best = new, new, found, likelihood(found)
+        if gain < lm.least_gain * abs(best):
+            break
     return now, table
 
 

@@ -55,6 +55,12 @@ def test_control_file(spark):
     assert texts.control_input({"a": "1"}, ["a"], spark).count() == 1
     with pytest.raises(InputError, match="missing: c"):
         texts.control_input({"a": "1"}, ["c"], spark)
+    two = texts.control_file(rows(spark, "a=1\nb=2\n", "one").unionByName(rows(spark, "a=1\nc=2\n", "two")))
+    assert texts.control_input(two, ["a"]).count() == 4
+    with pytest.raises(InputError, match="missing: b"):  # a key in one file doesn't count for another
+        texts.control_input(two, ["a", "b"])
+    with pytest.raises(InputError, match="missing: a"):
+        texts.control_input(two.limit(0), ["a"])
 
 
 def test_track_table(spark):

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import scratch
+
 NO_INDEX = -999
 ABSENT, NO_SECOND = "-" * 10, "-" * 4
 
@@ -21,10 +22,13 @@ def numbered(df: DataFrame, order: list) -> DataFrame:
     """``df`` with line: its rows' numbers, from 1, in a total order. No task sees the whole table.
 
     Rows are dealt by range and sorted within partitions; the partitions' sizes, of which there are few, give each its first
-    number. The sorted table is kept (spilling to disk), so that both steps see the same partitions.
+    number. The sorted table is written to the shared folder, so that both steps see the same partitions.
     """
     at = F.monotonically_increasing_id()
-    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.shiftright(at, 33)).withColumn("_at", at.bitwiseAND((1 << 33) - 1)).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.shiftright(at, 33)).withColumn("_at", at.bitwiseAND((1 << 33) - 1))
+    path = scratch(df.sparkSession, "sorted")
+    rows.write.parquet(path)
+    rows = df.sparkSession.read.schema(rows.schema).parquet(path)
     sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("n"))
     first = sizes.select("_part", (F.sum("n").over(Window.orderBy("_part")) - F.col("n")).alias("_first"))
     return rows.join(F.broadcast(first), "_part").withColumn("line", F.col("_first") + F.col("_at") + 1).drop("_part", "_at", "_first")  # a row for each partition

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import tables
+from tidemark.operators.scan import segmented_scan
 from tidemark.plans.catalogue import query, text_of
 from tidemark.session import scratch, table
 from tidemark.sources import array_files, binaries, folders, named_files, names, sinks, texts
@@ -77,7 +78,7 @@ FROM (SELECT vec_id, label, embedding FROM embeddings WHERE label IS NOT NULL),
 def q62_sparse_arrays(spark: SparkSession, sf: str) -> DataFrame:
     """A rank-2 variable for each label, written and read back."""
     vectors = table(spark, sf, "embeddings").filter("label IS NOT NULL").select(F.concat(F.lit("vec"), "label").alias("file"), "vec_id", "embedding")
-    numbered = vectors.selectExpr("file", "embedding", "row_number() OVER (PARTITION BY file ORDER BY vec_id) - 1 AS row")
+    numbered = segmented_scan(vectors, ["file"], [F.col("vec_id")], ordinal="n").select("file", "embedding", (F.col("n") - 1).alias("row"))
     cells = numbered.select("file", "row", F.posexplode("embedding").alias("i", "x")).select("file", (F.col("row").cast("long") * 64 + F.col("i")).alias("pos"), F.expr("CAST(CAST(CAST(x AS DOUBLE) * 1000 AS BIGINT) AS DOUBLE)").alias("value"))
     heads = vectors.groupBy("file").agg(F.array(F.count(F.lit(1)).cast("int"), F.lit(64)).alias("dims")).withColumn("rank", F.lit(2)).withColumn("type", F.lit("float"))
     found = texts.sparse_variables(through_files(sinks.sparse_lines(heads, cells), "sparse"))[1]

@@ -71,15 +71,16 @@ def control_file(rows: DataFrame) -> DataFrame:
 
 
 def control_input(found: DataFrame | dict, required: list[str], spark: SparkSession | None = None) -> DataFrame:
-    """A control table from a file's rows or a dict, with every required key, or an error that lists those missing."""
+    """A control table from files' rows or a dict, with every required key in each file, or an error that lists those that the first file lacks."""
     from tidemark.errors import InputError
 
     if isinstance(found, dict):
         rows = [("", k, v if isinstance(v, list) else [v], not isinstance(v, list)) for k, v in found.items()]
         found = spark.createDataFrame(rows, "file string, key string, values array<string>, single boolean")
-    have = {r[0] for r in found.select("key").distinct().collect()}  # the keys of one configuration
-    if lacking := sorted(set(required) - have):
-        raise InputError(f"missing: {', '.join(lacking)}")
+    keys = F.array_except(F.array(*map(F.lit, sorted(required))), F.collect_set("key")).alias("lacking")
+    first = found.groupBy("file").agg(keys).filter(F.size("lacking") > 0).orderBy("file").first()  # each file is a configuration
+    if first or required and found.isEmpty():
+        raise InputError(f"missing: {', '.join(first.lacking if first else sorted(required))}")
     return found
 
 

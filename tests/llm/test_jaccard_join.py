@@ -2,6 +2,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from tidemark.llm import jaccard_join
@@ -106,3 +107,29 @@ def test_deduplicated_keeps_one_of_equal_rows(spark):
     rows = [(1, a), (1, a), (1, b), (2, b), (None, a), (None, a), (None, b), (None, None), (None, None)]
     kept = jaccard_join.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(1, a), (1, b), (None, a), (None, b), (None, None), (None, None)], key=str)
+
+
+def test_a_hot_signature_is_dealt_out(spark):
+    """100,000 sets of one size share the signature of an empty segment; those that chose it meet all of them, in shares."""
+    rng = np.random.default_rng(4)
+    ids = np.unique(rng.integers(-(1 << 62), 1 << 62, 100_000)) << 1
+    entry = ids | (np.arange(len(ids)) % 1000 == 7)
+    sig, shares = np.full(len(ids), 12345, np.uint64), np.full(len(ids), 16)
+    dealt, out = jaccard_join.dealt_out(sig, entry, shares)
+    sizes = np.unique(dealt, return_counts=True)[1]
+    chosen = int((entry & 1).sum())
+    assert len(sizes) == 16 and sizes.max() < 0.08 * len(ids) + chosen and sizes.sum() == len(ids) + 15 * chosen
+    rows = [(i, [int(x) for x in dealt[dealt == d].view(np.int64)], [int(x) for x in out[dealt == d]]) for i, d in enumerate(np.unique(dealt))]
+    met = jaccard_join.meetings(spark.createDataFrame(rows, "part int, sigs array<long>, entries array<long>"))
+    least = int((entry[(entry & 1) == 1] & -2).min())
+    assert met.select("center").distinct().collect()[0].center == least
+    assert met.count() == len(ids)
+
+
+def test_results_are_the_same_in_shares(spark):
+    docs = corpus(8, 250)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(df, Join(part_entries=3)).collect()}
+    assert got == plain(docs)
+    known = jaccard_join.costs(jaccard_join.describe_sets(df, Join(part_entries=3)), Join(part_entries=3))
+    assert known.shares.max() > 1

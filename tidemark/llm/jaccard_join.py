@@ -12,7 +12,9 @@ segments by band and number of shingles in hashed buckets, whose sums of squares
 signature. A value of 1 costs the sets that share the segment, a value of 2 those that share it without one of its
 shingles. A band gets one-deletion neighbourhoods if the comparisons that they save its sets outweigh the entries.
 
-Sets that share a signature some of them chose meet in the group of the least of them, and are compared exactly there.
+Sets that share a signature some of them chose meet in the group of the least that chose it, and are compared exactly
+there. A signature that more sets have than a task should hold is dealt out: the sets that chose it go to all of its
+shares, every other one to one.
 Groups of more than ``chunk`` sets or ``chunk_shingles`` shingles are compared chunk by chunk, each pair of chunks a task.
 Equal sets are one set from the start. Results are forests, not pairs: enough edges to connect what is linked, each of
 them a verified link.
@@ -111,11 +113,13 @@ def distinct_sets(values: np.ndarray, first: np.ndarray, ids: list[int], seen: s
 
 @dataclass(frozen=True)
 class Costs:
-    """By band and number of shingles in a segment: cost of the values 1 and 2 above that. By band: whether it has one-deletion neighbourhoods."""
+    """By band and number of shingles in a segment: cost of the values 1 and 2 above that, and shares into which a signature is
+    dealt. By band: whether it has one-deletion neighbourhoods."""
 
     one: np.ndarray
     two: np.ndarray
     deletions: np.ndarray
+    shares: np.ndarray
 
 
 def costs(described: DataFrame, join: Join) -> Costs:
@@ -149,7 +153,9 @@ def costs(described: DataFrame, join: Join) -> Costs:
 
         saved = least(one[b], each, need) - least(np.concatenate([one[b], two[b][1:]]), np.concatenate([each, each[1:]]), need)
         deletions[b] = saved * (10 + mean / 8) > mean * join.entry_cost
-    return Costs(one, two, deletions)
+    # sets of the band before may be there as well, so twice the sets of the band itself
+    shares = np.maximum(np.ceil(2 * others / join.part_entries), 1).astype(np.int64)
+    return Costs(one, two, deletions, shares)
 
 
 def segments_of(top: np.ndarray, join: Join) -> np.ndarray:
@@ -174,6 +180,19 @@ class Segments:
         self.exact = mix(self.total ^ self.place)
 
 
+def dealt_out(sig: np.ndarray, entry: np.ndarray, shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures that very many sets have (an empty segment, above all) in shares: sets that chose one go to every share of
+    it, any other to the share that its id says. So all shares know the least set that chose it."""
+    if (shares == 1).all():
+        return sig, entry
+    times = np.where(entry & PROBES, shares, 1)
+    row = np.repeat(np.arange(len(sig)), times)
+    nth = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+    own = (mix((entry & DOC).view(np.uint64)) % shares.astype(np.uint64)).astype(np.int64)
+    share = np.where(entry[row] & PROBES, nth, own[row])
+    return np.where(shares[row] > 1, mix(sig[row] ^ mix(share.astype(np.uint64) + np.uint64(1))), sig[row]), entry[row]
+
+
 def signatures(values: np.ndarray, owner: np.ndarray, sizes: np.ndarray, ids: np.ndarray, band: np.ndarray, first_of: np.ndarray, own: bool, known: Costs, join: Join) -> tuple[np.ndarray, np.ndarray]:
     """Signatures and entries of sets in given bands. owner: each value's set; own: whether the sets choose segments (in their own band) or are only found."""
     s = Segments(values, owner, sizes, band, first_of, join)
@@ -192,12 +211,15 @@ def signatures(values: np.ndarray, owner: np.ndarray, sizes: np.ndarray, ids: np
         chosen = order[rank < need[holder[item][order]]]
         probes[item[chosen[chosen < n]]] = True
         twice[item[chosen[chosen >= n]]] = True
-    sig, entry = [s.exact], [ids[holder] | np.where(probes, PROBES, 0)]
+    sig, entry, size = [s.exact], [ids[holder] | np.where(probes, PROBES, 0)], [s.count]
     if small.any():  # without one shingle: as found by sets one smaller, and, where the set chose 2, as the others have it
         here = np.flatnonzero(small[owner])
         sig.append(mix((s.total[at[here]] - s.mixed[here]) ^ s.place[at[here]]))
         entry.append(ids[owner[here]] | np.where(twice[at[here]], PROBES, 0))
-    return np.concatenate(sig).view(np.int64), np.concatenate(entry)
+        size.append(s.count[at[here]] - 1)
+    of_band = np.concatenate([band[holder], *([band[owner[here]]] if small.any() else [])])
+    sig, entry = dealt_out(np.concatenate(sig), np.concatenate(entry), known.shares[of_band, np.minimum(np.concatenate(size), CLASSES - 1)])
+    return sig.view(np.int64), entry
 
 
 def index(docs: DataFrame, join: Join, parts: int, known: Costs) -> DataFrame:
@@ -234,7 +256,7 @@ def index(docs: DataFrame, join: Join, parts: int, known: Costs) -> DataFrame:
 
 
 def meetings(indexed: DataFrame) -> DataFrame:
-    """center, member: for each signature with a set that chose it and another set, its sets and the least of them."""
+    """center, member: for each signature with a set that chose it and another set, its sets and the least that chose it."""
 
     def meet(table: pa.Table) -> pa.Table:
         sig = table.column("sigs").combine_chunks().flatten().to_numpy()
@@ -249,7 +271,8 @@ def meetings(indexed: DataFrame) -> DataFrame:
         chosen = np.maximum.reduceat(entry & PROBES, begin) > 0 if len(begin) else np.zeros(0, bool)
         last = np.append(begin[1:], len(sig)) - 1
         keep = (chosen & (doc[last] != doc[begin]))[run]
-        center, member = doc[begin[run]][keep], doc[keep]
+        least = np.minimum.reduceat(np.where(entry & PROBES, doc, np.iinfo(np.int64).max), begin) if len(begin) else doc
+        center, member = least[run][keep], doc[keep]
         pairs = np.unique(np.stack([center, member], 1), axis=0) if len(center) else np.zeros((0, 2), np.int64)
         return pa.table({"center": pa.array(pairs[:, 0]), "member": pa.array(pairs[:, 1])})
 

@@ -111,15 +111,19 @@ def sides(total: int) -> tuple[int, int]:
 
 def dealt(slots: DataFrame, total: int, mix: Mix) -> DataFrame:
     """Adds p, a permutation of the numbers below rows * columns of ``sides``: a Feistel network over row and column of ``id``,
-    whose rounds add a quadratic function of one to the other in turn. Each round is a projection of its own, in generated code."""
+    whose rounds add a quadratic function of one to the other in turn."""
     na, nb = sides(total)
-    out = slots.withColumns({"a": F.floor(F.col("id") / F.lit(nb)), "b": F.col("id") % nb})
-    for r, (k0, k1, k2, k3) in enumerate(mix.round_keys(mix.deal_rounds)):
-        own, other, n = ("a", "b", na) if r % 2 == 0 else ("b", "a", nb)
-        y, z = F.col("y"), F.col("z")
-        out = out.withColumn("y", (F.col(other) * F.lit(k0).cast("long") + k1) % PRIME).withColumn("z", (y * y + k2) % PRIME)
-        out = out.withColumn(own, (F.col(own) + (z * F.lit(k3).cast("long") + y) % PRIME) % n)
-    return out.withColumn("p", F.col("a") * nb + F.col("b")).drop("a", "b", "y", "z")
+    rounds = [(*row, r % 2) for r, row in enumerate(mix.round_keys(mix.deal_rounds))]
+    keys = F.array(*(F.array(*(F.lit(v).cast("long") for v in row)) for row in rounds))
+
+    def step(s: Column, k: Column) -> Column:
+        even = k[4] == 0
+        y = (F.when(even, s["b"]).otherwise(s["a"]) * k[0] + k[1]) % PRIME
+        more = ((y * y + k[2]) % PRIME * k[3] + y) % PRIME
+        return F.struct(F.when(even, (s["a"] + more) % na).otherwise(s["a"]).alias("a"), F.when(even, s["b"]).otherwise((s["b"] + more) % nb).alias("b"))
+
+    start = F.struct(F.floor(F.col("id") / F.lit(nb)).cast("long").alias("a"), (F.col("id") % nb).cast("long").alias("b"))
+    return slots.withColumn("p", F.aggregate(keys, start, step, lambda s: s["a"] * nb + s["b"]))
 
 
 def dealt_sql(i: str, na: str, nb: str, mix: Mix) -> str:

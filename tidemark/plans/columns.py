@@ -138,3 +138,38 @@ def q91_kept_names(spark: SparkSession, sf: str) -> DataFrame:
     files = table(spark, sf, "orders").select("o_orderkey", F.concat(F.lit("o"), "o_orderkey", ending).alias("name"))
     gone = select.by_name(files, r".*\.std(err|out)$", negate=True)
     return files.join(gone, "o_orderkey", "left_anti")
+
+
+@query("""SELECT p_partkey, '/work/' || p_brand || '/f' || p_partkey || '.out' AS path, '/work/' || p_brand || '/f' || p_partkey || '_' || lower(p_brand) || '.out' AS new_path,
+'{"name":"f' || p_partkey || '","size":' || p_size || '}' AS params FROM part""")
+def q92_published(spark: SparkSession, sf: str) -> DataFrame:
+    """New names of finished files in their folders, and the parameters of a conversion as JSON."""
+    from tidemark.sources import sinks
+
+    parts = table(spark, sf, "part")
+    files = parts.select("p_partkey", F.concat(F.lit("/work/"), "p_brand", F.lit("/f"), "p_partkey", F.lit(".out")).alias("path"), F.lower("p_brand").alias("sector"))
+    stem = F.regexp_extract(strings.base_name(F.col("path")), r"^(.*)\.[^.]*$", 1)
+    named = sinks.published_names(files.select("path", "sector"), F.concat(stem, F.lit("_"), "sector", strings.extension(F.col("path"))))
+    params = sinks.params_json(F.struct(F.concat(F.lit("f"), "p_partkey").alias("name"), F.col("p_size").alias("size")))
+    made = parts.select(F.concat(F.lit("/work/"), "p_brand", F.lit("/f"), "p_partkey", F.lit(".out")).alias("path"), "p_partkey", params.alias("params"))
+    return made.join(named, "path").select("p_partkey", "path", "new_path", "params")
+
+
+@query("""WITH fields AS (SELECT kind, short, level FROM (VALUES ('UGRD', 'u'), ('VGRD', 'v'), ('HGT', 'height'), ('TMP', 'temp'), ('RH', 'relh')) AS k(kind, short),
+(SELECT unnest([70, 100, 150, 200, 250, 300, 400, 500, 600, 700, 850, 925, 1000]) AS level))
+SELECT event_id, short || level AS field FROM (SELECT event_id, ['UGRD', 'VGRD', 'HGT', 'TMP', 'RH', 'CAPE'][1 + event_id % 6] AS kind, [70, 100, 500, 925, 1000, 975, 5][1 + event_id % 7] AS level FROM events) m
+JOIN fields USING (kind, level)""")
+def q93_wanted_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages of forecast files by the table of wanted fields, in one scan."""
+    from tidemark.sources.binaries import wanted_fields
+
+    kinds, levels = F.array(*map(F.lit, ("UGRD", "VGRD", "HGT", "TMP", "RH", "CAPE"))), F.array(*map(F.lit, (70, 100, 500, 925, 1000, 975, 5)))
+    descr = F.concat(F.col("event_id"), F.lit(":d=2024010100:"), kinds[(F.col("event_id") % 6).cast("int")], F.lit(":"), levels[(F.col("event_id") % 7).cast("int")], F.lit(" mb:anl:"))
+    return wanted_fields(table(spark, sf, "events").select("event_id", descr.alias("descr")), spark).select("event_id", "field")
+
+
+@query("""SELECT s_nationkey, string_agg(level::VARCHAR, ', ' ORDER BY level) AS known FROM (SELECT DISTINCT s_nationkey, (s_suppkey % 9)::DOUBLE AS level FROM supplier) GROUP BY s_nationkey""")
+def q94_known_levels(spark: SparkSession, sf: str) -> DataFrame:
+    """The levels that an error text lists, in order."""
+    levels = table(spark, sf, "supplier").groupBy("s_nationkey").agg(F.collect_set((F.col("s_suppkey") % 9).cast("double")).alias("levels"))
+    return levels.select("s_nationkey", arrays.sorted_levels(F.transform(F.array_sort("levels"), lambda x: x.cast("string"))).alias("known"))

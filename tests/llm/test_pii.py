@@ -253,3 +253,13 @@ def test_other_kinds_equal_a_plain_version(spark):
     got = replaced(spark, [f"see {x} there" for _, x in cases])
     assert got == [(f"see {f(x)} there", int(f(x) != x)) for f, x in cases]
     assert all(f(x) != x for f, x in cases)
+
+
+def test_clashing_columns_and_lengths(spark):
+    rows = [(1, "at 192.168.100.200 now", 22, "a", 7), (2, "nothing", 99, "b", 8), (3, None, None, "c", 9)]
+    df = spark.createDataFrame(rows, "_made0 int, text string, n_chars long, _made string, n int")
+    out = pii.pseudonymised(df, KEY)
+    assert out.columns == df.columns
+    got = {r._made0: r for r in out.collect()}
+    assert got[1].n_chars == len(got[1].text) and (got[2].n_chars, got[3].n_chars) == (99, None)
+    assert [(got[i]._made, got[i].n) for i in (1, 2, 3)] == [("a", 7), ("b", 8), ("c", 9)]

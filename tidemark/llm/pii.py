@@ -305,9 +305,10 @@ def pseudonymised(docs: DataFrame, key: str, text_col: str = "text", count_col:
     goes on after it; else it goes on at the next start, inside the candidate too.
 
     ``count_col`` adds how many values were replaced. A null text stays null with count 0, an empty one empty. Repeated
-    rows get equal results. ``n_chars`` needs no update: pseudonyms are as long as values, except IPv4 addresses and
-    dates written without leading zeros.
+    rows get equal results. A column ``n_chars`` gets the length of a text that changes (IPv4 addresses and dates without
+    leading zeros may change it).
     """
+    made_col = next(c for c in map("_made{}".format, range(len(docs.columns) + 1)) if c not in docs.columns)
     text = F.col(text_col)
     led = F.concat(F.lit("\n"), text)  # a split has no piece before a match at the very start
     pieces, found = F.split(led, f"(?={ANY})", -1), F.regexp_extract_all(led, F.lit(f"(?=({ANY}))"), F.lit(1))
@@ -327,7 +328,11 @@ def pseudonymised(docs: DataFrame, key: str, text_col: str = "text", count_col:
     tried = lambda x: F.zip_with(F.slice(x["p"], F.lit(2), F.size(x["f"])), x["f"], lambda p, v: F.struct(p.alias("piece"), v.alias("value"), pseudonym(v, key).alias("m")))
     walked = F.transform(F.array(F.struct(pieces.alias("p"), found.alias("f"))), lambda x: F.aggregate(tried(x), start(x), step))
     made = F.when(text.rlike("[0-9@]"), F.transform(walked, lambda s: F.struct(s["out"].substr(F.lit(2), F.length(s["out"])).alias("text"), s["n"].alias("n")))[0])
-    out = docs.withColumn("_made", made).withColumn(text_col, F.coalesce(F.col("_made.text"), text))
+    out = docs.withColumn(made_col, made)
+    new, n = F.col(f"{made_col}.text"), F.coalesce(F.col(f"{made_col}.n"), F.lit(0))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(n > 0, F.length(new).cast(kind)).otherwise(F.col("n_chars")))
     if count_col:
-        out = out.withColumn(count_col, F.coalesce(F.col("_made.n"), F.lit(0)))
-    return out.drop("_made")
+        out = out.withColumn(count_col, n)
+    return out.withColumn(text_col, F.coalesce(new, text)).drop(made_col)

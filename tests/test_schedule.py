@@ -100,3 +100,18 @@ def test_programs(spark):
     df = spark.createDataFrame([("0",), ("101",)], "code string")
     got = {r.code: r.meaning for r in registry.run_program(df.withColumnRenamed("code", "arg"), ["arg"], lambda r: ["sh", "-c", f"exit {r['arg']}"]).collect()}
     assert got == {0: None, 101: "time"}
+
+
+def test_json_state(spark, tmp_path):
+    schema = "name string, size int, files array<string>"
+    read = lambda n: sorted((r.name, r["size"], r["files"]) for r in schedule.read_json_state(spark, str(tmp_path / n), schema).collect())
+    tasks = spark.createDataFrame([("b", 2, ["x", "y"]), ("a", 1, None)], schema)
+    for _ in range(2):  # rewritten as a whole
+        schedule.write_json_state(tasks, str(tmp_path), "done.json", ["name"])
+    assert __import__("json").loads((tmp_path / "done.json").read_text()) == [{"name": "a", "size": 1}, {"name": "b", "size": 2, "files": ["x", "y"]}]
+    assert read("done.json") == [("a", 1, None), ("b", 2, ["x", "y"])]
+    schedule.write_json_state(tasks.limit(0), str(tmp_path), "none.json", ["name"])
+    assert read("none.json") == [] and read("missing.json") == []
+    (tmp_path / "cut.json").write_text('[{"name": "a"}, {"na')
+    (tmp_path / "open.json").write_text('[{"name": "a", "other": 1}]')
+    assert read("cut.json") == [] and read("open.json") == [("a", None, None)]

@@ -14,12 +14,14 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators.scan import segmented_scan
 from tidemark.operators.select import within_horizon
 from tidemark.operators.sets import minus_all
+from tidemark.sources.named_files import write_text_files
 
 
 @dataclass(frozen=True)
@@ -52,6 +54,27 @@ def state_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def read_json_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The completed tasks of a JSON file, an array of objects; none where there is no such file or it can't be read as such.
+
+    Objects are open: fields beyond the schema are ignored, missing ones null. The file is one value, as its format demands.
+    """
+    try:
+        rows = spark.read.option("multiLine", True).schema(f"{schema}, _corrupt string").option("columnNameOfCorruptRecord", "_corrupt").json(path)
+        found = rows.withColumn("_bad", F.count("_corrupt").over(Window.partitionBy(F.input_file_name())))
+        return found.filter("_bad = 0").drop("_corrupt", "_bad")
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
+def write_json_state(tasks: DataFrame, folder: str, name: str, order: list[str]) -> None:
+    """The tasks as one JSON file, an array of objects in the order of ``order``; a file of that name is replaced at once."""
+    numbered = segmented_scan(tasks.select(F.to_json(F.struct(*tasks.columns)).alias("value"), *(F.col(c).alias(f"o_{c}") for c in order)), [], [F.col(f"o_{c}") for c in order], ordinal="pos")
+    lines = numbered.select("pos", F.concat(F.when(F.col("pos") == 1, " ").otherwise(","), "value").alias("value"))
+    ends = tasks.sparkSession.createDataFrame([(0, "["), ((1 << 63) - 1, "]")], "pos long, value string")
+    write_text_files(lines.unionByName(ends).withColumn("file", F.lit(name)), folder)
+
+
 def coverage_windows(events: DataFrame, ts: str, length: str = "12 hours", every: str = "1 hour") -> DataFrame:
     """T-9: how many rows each sliding window covers."""
     return events.groupBy(F.window(ts, length, every).alias("w")).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")

@@ -76,3 +76,13 @@ def test_nearest_ever_equals_loops(spark):
     assert spatial.nearest_ever(l_.limit(0), r, ["k"], "ts", "there", "p").count() == 0
     with pytest.raises(ValueError, match="both sides"):
         spatial.nearest_ever(l_, r.withColumnRenamed("x", "id"), ["k"], "ts", "there", "p")
+
+
+@pytest.mark.parametrize("most", [1_000_000, 30])
+def test_value_range_join_equals_loops(spark, most):
+    draw = random.Random(6)
+    left = [(i, draw.choice([None, draw.uniform(-50, 50), 1.0])) for i in range(60)]
+    right = [(i, draw.choice([None, 1.5, 1.5, 1.5, draw.uniform(-50, 50)])) for i in range(500)]
+    l_, r = spark.createDataFrame(left, "i int, x double"), spark.createDataFrame(right, "j int, y double").repartition(4)
+    got = sorted((p.i, p.j) for p in spatial.value_range_join(l_, r, "x", "y", 2.0, most).select("i", "j").collect())
+    assert got == sorted((i, j) for i, x in left for j, y in right if x is not None and y is not None and abs(x - y) <= 2.0)

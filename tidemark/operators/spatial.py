@@ -116,12 +116,25 @@ def range_join(targets: DataFrame, samples: DataFrame, box: Box = Box(), after:
     return t.join(s, KEY).filter(near).drop(*KEY)
 
 
-def value_range_join(left: DataFrame, right: DataFrame, a: str, b: str, width: float) -> DataFrame:
-    """J8 in one dimension: pairs whose values differ by at most ``width``, through cells of that width."""
+def value_range_join(left: DataFrame, right: DataFrame, a: str, b: str, width: float, most: int = MOST_SAMPLES) -> DataFrame:
+    """J8 in one dimension: pairs whose values differ by at most ``width``, through cells of that width.
+
+    A cell with more than ``most`` right rows is dealt out in shares, and left rows go to each. Nulls match nothing.
+    """
     cells = F.floor(F.col(a) / F.lit(width)).cast("long")
     l_ = left.withColumn("_c", F.explode(F.array(cells - 1, cells, cells + 1)))
-    r = right.withColumn("_c", F.floor(F.col(b) / F.lit(width)).cast("long"))
-    return l_.join(r, "_c").filter(F.abs(F.col(a) - F.col(b)) <= width).drop("_c")
+    r = right.filter(F.col(b).isNotNull()).withColumn("_c", F.floor(F.col(b) / F.lit(width)).cast("long"))
+    path = scratch(right.sparkSession, "shares")
+    r.groupBy("_c").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("_shares")).filter("_shares > 1").write.parquet(path)
+    busy = right.sparkSession.read.schema("_c long, _shares int").parquet(path)
+    n = busy.count()
+    if n:
+        busy = F.broadcast(busy) if n <= MOST_BROADCAST else busy
+        shares = F.coalesce("_shares", F.lit(1))
+        l_ = l_.join(busy, "_c", "left").withColumn("_share", F.explode(F.sequence(F.lit(0), shares - 1))).drop("_shares")
+        r = r.join(busy, "_c", "left").withColumn("_share", F.pmod(F.xxhash64(F.monotonically_increasing_id()), shares).cast("int")).drop("_shares")
+    keys = ["_c", "_share"] if n else ["_c"]
+    return l_.join(r, keys).filter(F.abs(F.col(a) - F.col(b)) <= width).drop(*keys)
 
 
 def nearest(left: DataFrame, right: DataFrame, keys: list[str], lts: str, rts: str, pos: str, within: int) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter
@@ -241,3 +242,30 @@ def test_resampling_follows_a_line():
     assert telephony.resample(x, 8000, 16000).tolist() == [0, 50, 100, 150, 200, 250, 300, 300]
     assert telephony.resample(x, 8000, 4000).tolist() == [0, 200]
     assert len(telephony.resample(x[:0], 8000, 16000)) == 0
+
+
+def test_sound_is_stored_and_read_back(spark):
+    texts = [(1, "one two three"), (1, "one two three"), (2, None), (None, "ünï " * 3000), (3, "x" * 192), (4, "")]
+    media = written(telephony.to_media(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)), "media", "zstd")
+    sound = written(telephony.to_sound(media), "sound", "zstd")
+    for r in sound.collect():
+        rate, x = telephony.samples(bytes(r.pcm))
+        assert rate == 4000 and len(x) == r.payload_bytes // 2
+    plain = {}
+    for i, t in texts:
+        payload = (t or "").encode()
+        payload = payload.ljust(max(1, -(-len(payload) // 192)) * 192, b" ")
+        x = np.array([mu_law(c) for c in payload[::2]], np.int16)  # half the rate: every second sample
+        level = math.sqrt(sum(int(v) ** 2 for v in x) / len(x))
+        changes = sum((a < 0) != (b < 0) for a, b in zip(x, x[1:], strict=False))
+        plain[i] = (hashlib.sha256(payload).hexdigest(), f"{level:.3f}:{max(abs(int(v)) for v in x)}:{changes}:{zlib.crc32(x.astype('<i2').tobytes()):08x}")
+    found = telephony.with_features(sound).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        assert (r.payload_sha256, r.feature.split(":")[1:]) == (plain[r.doc_id][0], plain[r.doc_id][1].split(":")[1:])
+        assert abs(float(r.feature.split(":")[0]) - float(plain[r.doc_id][1].split(":")[0])) < 0.01
+    same = {c: [x[c] for x in telephony.describe(media).orderBy("doc_id").collect()] for c in ("payload_sha256", "media_sha256", "tail_crc32", "media_bytes")}
+    assert same == {c: [x[c] for x in sound.orderBy("doc_id").collect()] for c in same}
+    null = media.limit(1).withColumn("media", F.lit(None).cast("binary"))
+    assert telephony.with_features(telephony.to_sound(null)).first().feature is None
+    assert telephony.with_features(telephony.to_sound(media.limit(0))).count() == 0

@@ -111,7 +111,8 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_telephony_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telephony.describe(written(telephony.to_media(table(spark, sf_dir, "documents")), "media"))
+    media = written(telephony.to_media(table(spark, sf_dir, "documents")), "media", "zstd")
+    return telephony.with_features(written(telephony.to_sound(media), "sound", "zstd"))
 
 
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

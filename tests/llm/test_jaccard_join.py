@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -133,3 +134,36 @@ def test_results_are_the_same_in_shares(spark):
     assert got == plain(docs)
     known = jaccard_join.costs(jaccard_join.describe_sets(df, Join(part_entries=3)), Join(part_entries=3))
     assert known.shares.max() > 1
+
+
+def test_unlinked_copies_of_one_text_cost_no_comparison_of_shingles(spark):
+    """A cluster whose members are mostly just below the threshold: 1,800 sets of 396 shingles took 19 s, sketches rule them out in less than one."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 63, 396, dtype=np.uint64)
+    sets = []
+    for k in range(1800):
+        own = base.copy()
+        changed = int(rng.integers(20, 60))
+        own[rng.choice(396, changed, replace=False)] = rng.integers(0, 1 << 63, changed, dtype=np.uint64)
+        sets.append(np.unique(own))
+    values, first = np.concatenate(sets), np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    bits = jaccard_join.parity_sketches(values, first)
+    for a, b in rng.integers(0, len(sets), (200, 2)):
+        assert np.bitwise_count(bits[a] ^ bits[b]).sum() <= len(np.setxor1d(sets[a], sets[b]))
+    begin = time.perf_counter()
+    edges = jaccard_join.forest(values, first, np.arange(len(sets)), np.zeros(len(sets), int), Join())
+    assert time.perf_counter() - begin < 5
+    links = lambda a, b: 100 * len(np.intersect1d(sets[a], sets[b])) >= 80 * len(np.union1d(sets[a], sets[b]))
+    assert edges and all(links(a, b) for a, b in edges)
+    few = 120
+    got = jaccard_join.forest(values[: first[few]], first[: few + 1], np.arange(few), np.zeros(few, int), Join())
+    want = {(a, b) for a in range(few) for b in range(a) if links(a, b)}
+    assert reached(got, few) == reached(want, few)
+
+
+def reached(edges, n):
+    least = list(range(n))
+    for _ in range(n):
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+    return least

@@ -279,32 +279,62 @@ def meetings(indexed: DataFrame) -> DataFrame:
     return indexed.groupBy("part").applyInArrow(meet, "center long, member long").distinct()
 
 
+SKETCH_BITS = 8  # at least, for each shingle of a task's largest set
+
+
+def parity_sketches(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A row of bits for each set, of which every shingle flips one. Two sets differ in no fewer shingles than their rows in bits.
+
+    values ascend within each set, so the bits that their leading digits name do so too.
+    """
+    sizes = np.diff(first)
+    log = max(6, int(SKETCH_BITS * sizes.max(initial=1) - 1).bit_length())
+    place = (np.repeat(np.arange(len(sizes)), sizes) << log) + (values >> np.uint64(64 - log)).astype(np.int64)
+    out = np.zeros(len(sizes) << (log - 6), np.uint64)
+    if len(place):
+        begin = np.flatnonzero(np.diff(place, prepend=-1))
+        odd = place[begin][np.diff(np.append(begin, len(place))) % 2 == 1]
+        word = odd >> 6
+        starts = np.flatnonzero(np.diff(word, prepend=-1))
+        if len(odd):
+            out[word[starts]] = np.bitwise_or.reduceat(np.uint64(1) << (odd & 63).astype(np.uint64), starts)
+    return out.reshape(len(sizes), -1)
+
+
 def forest(values: np.ndarray, first: np.ndarray, ids: np.ndarray, side: np.ndarray, join: Join) -> list[tuple[int, int]]:
     """Edges that connect all linked sets: each set in turn is compared with those not yet connected to it.
 
-    side: with 0 and 1 both there, only pairs between the two matter, as pairs within a side are another task's.
+    Sketches rule out what differs in too many shingles; shingles are compared for the rest alone. side: with 0 and 1 both
+    there, only pairs between the two matter, as pairs within a side are another task's.
     """
     sizes = np.diff(first)
+    order = np.argsort(-sizes, kind="stable")
+    size, place, of_side = sizes[order], first[:-1][order], side[order]
+    until = np.searchsorted(-100 * size, -join.numerator * size, side="right")  # those after are too small for a link
+    sketch = parity_sketches(values, first)[order]
     _, token = np.unique(values, return_inverse=True)
     mark = np.zeros(int(token.max(initial=-1)) + 1, np.int64)
     root = np.arange(len(ids))
     edges: list[tuple[int, int]] = []
-    owner = np.repeat(np.arange(len(ids)), sizes)
     cross = len(np.unique(side)) > 1
-    for i in np.argsort(-sizes, kind="stable"):
-        own = token[first[i] : first[i + 1]]
-        rest = (root != root[i]) & (sizes * 100 >= join.numerator * sizes[i]) & (sizes <= sizes[i])
+    for i in range(len(ids)):
+        rest = root[i + 1 : until[i]] != root[i]
         if cross:
-            rest &= side != side[i]
-        if not rest.any():
+            rest &= of_side[i + 1 : until[i]] != of_side[i]
+        rest = np.flatnonzero(rest) + i + 1
+        if len(rest):
+            rest = rest[np.bitwise_count(sketch[rest] ^ sketch[i]).sum(1, dtype=np.int64) <= join.differ(size[i] + size[rest])]
+        if not len(rest):
             continue
+        own = token[place[i] : place[i] + size[i]]
         mark[own] = 1
-        rows = rest[owner]
-        shared = np.bincount(owner[rows], weights=mark[token[rows]], minlength=len(ids)).astype(np.int64)
+        start = np.cumsum(size[rest]) - size[rest]
+        rows = np.arange(start[-1] + size[rest[-1]]) + np.repeat(place[rest] - start, size[rest])
+        shared = np.add.reduceat(mark[token[rows]], start)
         mark[own] = 0
-        for j in np.flatnonzero(rest & (100 * shared >= join.numerator * (sizes + sizes[i] - shared))):
+        for j in rest[100 * shared >= join.numerator * (size[rest] + size[i] - shared)]:
             if root[j] != root[i]:
-                edges.append((int(ids[i]), int(ids[j])))
+                edges.append((int(ids[order[i]]), int(ids[order[j]])))
                 root[root == root[j]] = root[i]
     return edges
 

@@ -269,3 +269,14 @@ def test_sound_is_stored_and_read_back(spark):
     null = media.limit(1).withColumn("media", F.lit(None).cast("binary"))
     assert telephony.with_features(telephony.to_sound(null)).first().feature is None
     assert telephony.with_features(telephony.to_sound(media.limit(0))).count() == 0
+
+
+def test_every_stored_sample_tells_in_the_feature(spark, tmp_path):
+    """The query's sound has all samples: texts that differ in one byte, at an odd place too, have different features, and those are of PCM at 16 kHz."""
+    from tidemark.llm import queries
+
+    texts = [(1, "one two three"), (2, "oXe two three"), (3, "onX two three"), (4, None), (5, "ünï " * 3000)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id: r.feature for r in queries.op6_telephony_media(spark, str(tmp_path)).collect()}
+    want = {r.doc_id: r.feature for r in telephony.describe(telephony.to_media(spark.createDataFrame(texts, "doc_id long, text string"))).collect()}
+    assert found == want and len(set(found.values())) == 5

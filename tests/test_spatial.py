@@ -86,3 +86,22 @@ def test_value_range_join_equals_loops(spark, most):
     l_, r = spark.createDataFrame(left, "i int, x double"), spark.createDataFrame(right, "j int, y double").repartition(4)
     got = sorted((p.i, p.j) for p in spatial.value_range_join(l_, r, "x", "y", 2.0, most).select("i", "j").collect())
     assert got == sorted((i, j) for i, x in left for j, y in right if x is not None and y is not None and abs(x - y) <= 2.0)
+
+
+def test_nearest_value_against_all_pairs_without_making_them(spark):
+    import random
+
+    rng = random.Random(5)
+    value = lambda: rng.choice([None, float("nan"), float("inf"), *[round(rng.uniform(-90, 90), rng.choice([0, 2])) for _ in range(27)]])
+    ls, rs = [(i, value()) for i in range(400)], [(i % 280, value()) for i in range(300)]
+    l_, r = spark.createDataFrame([*ls, ls[3]], "i long, x double").repartition(3), spark.createDataFrame(rs, "j long, y double").repartition(4)
+    got = sorted((p.i, p.j) for p in spatial.nearest_value(l_, r, "x", "y", 2.0, "j").select("i", "j").collect())
+    want = []
+    for i, x in [*ls, ls[3]]:
+        near = [(abs(x - y), j) for j, y in rs if x is not None and y is not None and abs(x - y) <= 2.0]
+        want += [(i, min(near)[1])] if near else []
+    assert got == sorted(want)
+    assert spatial.nearest_value(l_.limit(0), r, "x", "y", 2.0, "j").count() == spatial.nearest_value(l_, r.limit(0), "x", "y", 2.0, "j").count() == 0
+    many = spark.range(200_000)  # 4 * 10 ** 10 pairs within the width
+    found = spatial.nearest_value(many.select(F.col("id").alias("i"), (F.col("id") % 7).cast("double").alias("x")), many.select(F.col("id").alias("j"), (F.col("id") % 5).cast("double").alias("y")), "x", "y", 50.0, "j")
+    assert [tuple(x) for x in found.groupBy("j").count().orderBy("j").collect()] == [(0, 28572), (1, 28572), (2, 28572), (3, 28571), (4, 85713)]

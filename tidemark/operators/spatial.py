@@ -137,6 +137,31 @@ def value_range_join(left: DataFrame, right: DataFrame, a: str, b: str, width: f
     return l_.join(r, keys).filter(F.abs(F.col(a) - F.col(b)) <= width).drop(*keys)
 
 
+def nearest_value(left: DataFrame, right: DataFrame, a: str, b: str, width: float, pos: str) -> DataFrame:
+    """J8 in one dimension, with J10's choice: for each left row the right row nearest in value, at most ``width`` away; of equal ones the first by ``pos``.
+
+    Pairs within ``width`` grow with the product of both sides. Here both are put in order together, a right row for each
+    value, and two scans fill in the one below and the one above. Repeated left rows each have a result; those without a match
+    go; nulls and NaN match nothing. Distances are those of the columns' type; of two right values on one side that are
+    apart by less than the rounding of a distance, the nearer counts.
+    """
+    if clash := sorted(set(left.columns) & set(right.columns)):
+        raise ValueError(f"columns of both sides: {clash}")
+    r = right.filter(F.col(b).isNotNull()).filter(F.col(b) <= F.lit(float("inf"))).groupBy(F.col(b).alias("v"))
+    r = r.agg(F.min_by(F.struct(*right.columns), pos).alias("r")).withColumn("tie", F.lit(0).cast("long"))
+    tie = F.xxhash64(F.monotonically_increasing_id())  # so that left rows of one value can go to several ranges
+    l_ = left.filter(F.col(a).isNotNull()).select(F.col(a).alias("v"), F.struct(*left.columns).alias("l"), tie.alias("tie"))
+    both = l_.unionByName(r, allowMissingColumns=True).withColumn("k", F.lit(0))
+    own = F.col("l").isNotNull()  # right rows come before left ones of their value
+    down = segmented_scan(both, ["k"], [F.col("v"), own, F.col("tie")], fill={"below": "r"})
+    near = segmented_scan(down, ["k"], [F.col("v").desc(), own, F.col("tie")], fill={"above": "r"}).filter("l IS NOT NULL")
+    at = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.abs(F.col(f"l.{a}") - F.col(f"{c}.{b}")).alias("d"), F.col(f"{c}.{pos}").alias("p"), F.col(c).alias("row")))
+    near = near.withColumns({"one": at("below"), "two": at("above")})
+    second = F.col("one").isNull() | (F.col("two.d") < F.col("one.d")) | ((F.col("two.d") == F.col("one.d")) & (F.col("two.p") < F.col("one.p")))
+    best = near.withColumn("best", F.when(F.coalesce(second, F.lit(False)), F.col("two")).otherwise(F.col("one"))).filter(F.col("best.d") <= width)
+    return best.select("l.*", "best.row.*")
+
+
 def nearest(left: DataFrame, right: DataFrame, keys: list[str], lts: str, rts: str, pos: str, within: int) -> DataFrame:
     """For each left row the right row nearest in time, at most ``within`` seconds away; of equal ones the first by ``pos``.
 

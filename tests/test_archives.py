@@ -68,3 +68,12 @@ def test_only_the_header_is_read(spark, tmp_path):
     for own in (layout, {"n": ("I", 1)}):
         with pytest.raises(Exception, match="shorter than its header"):
             binaries.headers(spark, str(tmp_path), own).collect()
+
+
+def test_many_small_files_take_few_tasks(spark, tmp_path):
+    """1,500 files are 47 partitions of Spark's listing; their headers are read in as many tasks as there are cores."""
+    for i in range(1500):
+        (tmp_path / f"f{i}").write_bytes(i.to_bytes(4, "little") + bytes(10))
+    read = binaries.headers(spark, str(tmp_path), {"number": ("I", 1)})
+    assert read.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(r.number for r in read.collect()) == list(range(1500))

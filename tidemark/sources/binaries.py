@@ -24,6 +24,18 @@ def little_endian(content, offset: int, size: int = 4):  # noqa: ANN001, ANN201
     return F.conv(F.array_join(F.transform(F.sequence(F.lit(size - 1), F.lit(0)), lambda i: F.hex(content).substr(2 * (offset + i) + 1, F.lit(2))), ""), 16, 10).cast("long")
 
 
+PARTS_IN_TASK = 64  # of a listing's partitions, which hold some 32 small files each
+
+
+def files_listed(spark: SparkSession, path: str) -> DataFrame:
+    """path and length of files; content isn't read. Spark reckons each file at 4 MB at least, which would start Python for
+    every 32 of them; many such partitions come to one task here, as long as all cores have some."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length")  # a listing: content is pruned
+    parts = files.rdd.getNumPartitions()
+    tasks = max(spark.sparkContext.defaultParallelism, -(-parts // PARTS_IN_TASK))
+    return files.coalesce(tasks) if parts > tasks else files
+
+
 def first_bytes(spark: SparkSession, path: str, size: int) -> DataFrame:
     """path, length and content: the first ``size`` bytes of each file (fewer of a shorter one); no more is read."""
 
@@ -32,8 +44,7 @@ def first_bytes(spark: SparkSession, path: str, size: int) -> DataFrame:
             found = [read_range(p, 0, min(size, n)) for p, n in zip(*(batch.column(c).to_pylist() for c in ("path", "length")), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], ["path", "length", "content"])
 
-    files = spark.read.format("binaryFile").load(path).select("path", "length")  # a listing: content is pruned
-    return files.mapInArrow(read, "path string, length long, content binary")
+    return files_listed(spark, path).mapInArrow(read, "path string, length long, content binary")
 
 
 def headers(spark: SparkSession, path: str, layout: dict[str, tuple[str, int]], order: str = "<") -> DataFrame:
@@ -102,7 +113,7 @@ def archive_index(spark: SparkSession, path: str, kind: str) -> DataFrame:
                     while rows := list(islice(found, 4096)):
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    return spark.read.format("binaryFile").load(path).select("path").mapInArrow(read, INDEX)
+    return files_listed(spark, path).select("path").mapInArrow(read, INDEX)
 
 
 def member_data(row: dict) -> bytes:

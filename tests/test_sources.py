@@ -243,3 +243,10 @@ def test_pieces_are_one_file(spark, tmp_path):
     found = texts.lines(spark, str(tmp_path / "out"), pieces=True)
     got = sorted((r.file.rsplit("=", 1)[1], r.line_no, r.value) for r in found.collect())
     assert got == sorted([("hot", i, str(i)) for i in range(2500)] + [("cold", i, str(i + 2500)) for i in range(500)])
+
+
+def test_names_of_pieces_are_not_taken_apart_for_each_line(spark, tmp_path):
+    spark.range(100).selectExpr("'one' AS file", "CAST(id AS STRING) AS value").write.partitionBy("file").text(str(tmp_path / "out"))
+    found = texts.lines(spark, str(tmp_path / "out"), pieces=True)
+    assert "regexp" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert {r.file.rsplit("/", 1)[1] for r in found.collect()} == {"file=one"}

@@ -23,7 +23,7 @@ def through_files(rows: DataFrame, label: str) -> DataFrame:
     path = scratch(rows.sparkSession, label)
     at = [F.col("file"), F.col("pos")]
     rows.repartitionByRange(*at).sortWithinPartitions(*at).select("file", "value").write.partitionBy("file").text(path)
-    return texts.lines(rows.sparkSession, path, pieces=True).withColumn("file", F.regexp_extract("file", r"file=([^/]+)$", 1))
+    return texts.lines(rows.sparkSession, path, pieces=True).withColumn("file", F.substring_index("file", "/file=", -1))
 
 
 def in_order(*lines: Column) -> Column:
@@ -103,7 +103,7 @@ def q64_control_files(spark: SparkSession, sf: str) -> DataFrame:
     attrs = table(spark, sf, "customer").select(F.col("c_mktsegment").alias("file"), F.col("c_custkey").alias("pos"), key, F.col("c_custkey").cast("string").alias("value"))
     path = scratch(spark, "control")
     named_files.write_text_files(sinks.control_lines(attrs), path)
-    lines = texts.lines(spark, path).withColumn("file", F.regexp_extract("file", r"([^/]+)$", 1))
+    lines = texts.lines(spark, path).withColumn("file", F.substring_index("file", "/", -1))
     return texts.control_file(lines).select("file", "key", F.array_join("values", ",").alias("vals"), "single")
 
 

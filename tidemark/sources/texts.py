@@ -28,20 +28,21 @@ def lines(spark: SparkSession, path: str | list[str], pieces: bool = False) -> D
     order of their numbers (below 2 ** 17, of files below 1 TB). Ranges are as long as
     ``spark.sql.files.maxPartitionBytes`` says; compressed files are one range. Empty files have no line.
     """
-    at, begin = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
-    if pieces:
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_begin"), F.monotonically_increasing_id().alias("_id"), "value")
+    counts = rows.groupBy("_path", "_begin").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    at, begin = F.col("_path"), F.col("_begin")
+    if pieces:  # names are taken apart once for each range; for each line that would cost more than all else
         number, part = (F.regexp_extract(at, PIECE, i).cast("long") for i in (2, 3))
         far = (number >= 1 << 17) | (part >= 1 << 6) | (begin >= 1 << 40)
         begin = F.when(far, F.raise_error(F.concat(F.lit("too many pieces: "), at)).cast("long")).otherwise(F.shiftleft(number, 46) + F.shiftleft(part, 40) + begin)
         at = F.regexp_extract(at, PIECE, 1)
-    rows = spark.read.text(path).select(at.alias("file"), begin.alias("start"), F.monotonically_increasing_id().alias("_id"), "value")
     kept = scratch(spark, "ranges")
-    rows.groupBy("file", "start").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).write.parquet(kept)
-    ranges = spark.read.schema("file string, start long, _first long, _n long").parquet(kept)
+    counts.select("_path", "_begin", at.alias("file"), begin.alias("start"), "_first", "_n").write.parquet(kept)
+    ranges = spark.read.schema("_path string, _begin long, file string, start long, _first long, _n long").parquet(kept)
     before = F.sum("_n").over(Window.partitionBy("file").orderBy("start")) - F.col("_n")
-    sums = ranges.select("file", "start", (before - F.col("_first")).alias("_shift"))
+    sums = ranges.select("_path", "_begin", "file", "start", (before - F.col("_first")).alias("_shift"))
     few = ranges.count() <= MOST_BROADCAST
-    out = rows.join(F.broadcast(sums) if few else sums, ["file", "start"]).withColumn("line_no", F.col("_id") + F.col("_shift"))
+    out = rows.join(F.broadcast(sums) if few else sums, ["_path", "_begin"]).withColumn("line_no", F.col("_id") + F.col("_shift"))
     return out.select("file", *(["start"] if few else []), "line_no", "value")  # a shuffle loses the order within ranges
 
 
@@ -99,7 +100,7 @@ def track_table(rows: DataFrame, where: tuple[str, float] | None = None, time_fo
 
 def sparse_variables(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of self-describing sparse arrays the heads (file, var, rank, dims, type) and the values (file, var, pos, i0, i1, value)."""
-    var = F.regexp_extract("file", r"([^/.]+)[^/]*$", 1)
+    var = F.regexp_extract(F.substring_index("file", "/", -1), "[^.]+", 0)
     after = lambda i: F.max(F.when(F.col("line_no") == i, F.element_at(F.split("value", ":"), 2)))
     heads = rows.filter("line_no < 3").groupBy("file").agg(after(0).cast("int").alias("rank"), F.transform(F.split(after(1), ","), lambda x: x.cast("int")).alias("dims"), after(2).alias("type"))
     bad = ~F.col("type").isin("int", "float")

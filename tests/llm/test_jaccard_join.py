@@ -161,6 +161,36 @@ def test_unlinked_copies_of_one_text_cost_no_comparison_of_shingles(spark):
     assert reached(got, few) == reached(want, few)
 
 
+def test_sets_that_chose_nothing_are_not_compared_with_each_other(spark):
+    """Of 40,000 sets with one empty segment three chose its signature: each of the rest goes to one task, and meets those three."""
+    rows = [(1, i, i < 4) for i in range(1, 40_001)] + [(0, i, i < 2) for i in range(3)]
+    met = spark.createDataFrame(rows, "center long, member long, chose boolean")
+    got = jaccard_join.in_tasks(met, spark.range(40_001).selectExpr("id AS member", "36L AS size"), Join(chunk=4096)).collect()
+    assert sum(r.center == 1 and not r.chose for r in got) == 39_997
+    tasks = defaultdict(lambda: ([], []))
+    for r in got:
+        tasks[r.center, r.task][r.chose].append((r.member, r.side))
+    assert max(len(a) for a, _ in tasks.values()) < 2 * 4096
+    assert all({m for m, _ in b} >= {1, 2, 3} for (c, _), (_, b) in tasks.items() if c == 1)
+    assert [(len(a), len(b)) for (c, _), (a, b) in tasks.items() if c == 0] == [(1, 2)]
+    # pairs of many that chose, in chunks, are all there
+    rows = [(0, i, i % 3 > 0) for i in range(90)]
+    met = spark.createDataFrame(rows, "center long, member long, chose boolean")
+    tasks = defaultdict(list)
+    for r in jaccard_join.in_tasks(met, spark.range(90).selectExpr("id AS member", "5L AS size"), Join(chunk=8)).collect():
+        tasks[r.task].append(r)
+    pairs = {frozenset((a.member, b.member)) for t in tasks.values() for a in t for b in t if a.member != b.member and (a.chose or b.chose) and (len({x.side for x in t}) == 1 or a.side != b.side)}
+    assert pairs == {frozenset((a, b)) for a in range(90) for b in range(a) if a % 3 or b % 3}
+    rng = np.random.default_rng(7)
+    values = np.sort(rng.integers(0, 1 << 63, (8000, 36), dtype=np.uint64), axis=1)
+    values[5000] = values[17]  # chose[17] finds its copy; 6000 and 7000 are copies as well, but other groups have them
+    values[7000] = values[6000]
+    begin = time.perf_counter()
+    edges = jaccard_join.forest(values.ravel(), np.arange(8001) * 36, np.arange(8000), np.zeros(8000, int), Join(), np.arange(8000) == 17)
+    assert {frozenset(e) for e in edges} == {frozenset((17, 5000))}
+    assert time.perf_counter() - begin < 2
+
+
 def reached(edges, n):
     least = list(range(n))
     for _ in range(n):

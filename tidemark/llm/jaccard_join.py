@@ -12,10 +12,13 @@ segments by band and number of shingles in hashed buckets, whose sums of squares
 signature. A value of 1 costs the sets that share the segment, a value of 2 those that share it without one of its
 shingles. A band gets one-deletion neighbourhoods if the comparisons that they save its sets outweigh the entries.
 
-Sets that share a signature some of them chose meet in the group of the least that chose it, and are compared exactly
-there. A signature that more sets have than a task should hold is dealt out: the sets that chose it go to all of its
-shares, every other one to one.
-Groups of more than ``chunk`` sets or ``chunk_shingles`` shingles are compared chunk by chunk, each pair of chunks a task.
+Sets that share a signature some of them chose meet in the group of the least that chose it. There, those that chose one
+are compared exactly with each other and with the rest; the rest are not compared among themselves, as a similar pair has a
+signature that its larger set chose. So a signature that very many sets have and few chose, as of an empty segment, costs
+as many comparisons as it has sets for each of those few. A signature that more sets have than a task should hold is dealt
+out: the sets that chose it go to all of its shares, every other one to one.
+Groups of more than ``chunk`` sets or ``chunk_shingles`` shingles are compared chunk by chunk: each pair of chunks of sets
+that chose one is a task, and each of those chunks with a chunk of the rest.
 Equal sets are one set from the start. Results are forests, not pairs: enough edges to connect what is linked, each of
 them a verified link.
 """
@@ -256,7 +259,7 @@ def index(docs: DataFrame, join: Join, parts: int, known: Costs) -> DataFrame:
 
 
 def meetings(indexed: DataFrame) -> DataFrame:
-    """center, member: for each signature with a set that chose it and another set, its sets and the least that chose it."""
+    """center, member, chose: for each signature with a set that chose it and another set, its sets, the least that chose it, and whether the set chose one of those that it shares with this center."""
 
     def meet(table: pa.Table) -> pa.Table:
         sig = table.column("sigs").combine_chunks().flatten().to_numpy()
@@ -272,11 +275,31 @@ def meetings(indexed: DataFrame) -> DataFrame:
         last = np.append(begin[1:], len(sig)) - 1
         keep = (chosen & (doc[last] != doc[begin]))[run]
         least = np.minimum.reduceat(np.where(entry & PROBES, doc, np.iinfo(np.int64).max), begin) if len(begin) else doc
-        center, member = least[run][keep], doc[keep]
+        center, member = least[run][keep], entry[keep]
         pairs = np.unique(np.stack([center, member], 1), axis=0) if len(center) else np.zeros((0, 2), np.int64)
-        return pa.table({"center": pa.array(pairs[:, 0]), "member": pa.array(pairs[:, 1])})
+        return pa.table({"center": pa.array(pairs[:, 0]), "member": pa.array(pairs[:, 1] & DOC), "chose": pa.array((pairs[:, 1] & PROBES) > 0)})
 
-    return indexed.groupBy("part").applyInArrow(meet, "center long, member long").distinct()
+    return indexed.groupBy("part").applyInArrow(meet, "center long, member long, chose boolean").groupBy("center", "member").agg(F.max("chose").alias("chose"))
+
+
+def in_tasks(met: DataFrame, sizes: DataFrame, join: Join) -> DataFrame:
+    """center, member, chose, task, side: the sets of each group in the tasks that compare them; side tells apart what is compared across only.
+
+    sizes: member, size. With p chunks of sets that chose and q of the rest, task a * p + b, for each a <= b, has chunks a and b
+    of the former (both side 0 where a = b), task p * p + a * q + c chunk a of the former and c of the rest.
+    """
+    chunks = lambda row: F.ceil(F.greatest(F.count(F.when(row, 1)) / join.chunk, F.coalesce(F.sum(F.when(row, F.col("size"))), F.lit(0)) / join.chunk_shingles))
+    chose, p, q = F.col("chose"), F.col("p"), F.col("q")
+    many = met.join(sizes, "member").groupBy("center").agg(chunks(F.lit(True)).alias("chunks"), chunks(chose).alias("p"), chunks(~chose).alias("q")).filter("chunks > 1").drop("chunks")
+    dealt = met.join(many, "center", "left").withColumn("own", F.pmod(F.xxhash64("member"), F.when(chose, p).otherwise(q)))
+    each = lambda n, task, side: F.when(n > 0, F.transform(F.sequence(F.lit(0).cast("bigint"), n - 1), lambda x: F.struct(task(x).cast("bigint").alias("task"), side(x).cast("int").alias("side")))).otherwise(F.expr("CAST(array() AS array<struct<task:bigint,side:int>>)"))
+    own = F.col("own")
+    met_all = each(p, lambda x: F.least(x, own) * p + F.greatest(x, own), lambda x: F.when(own > x, 1).otherwise(0))
+    met_rest = each(q, lambda x: p * p + own * q + x, lambda x: F.lit(0))
+    as_rest = each(p, lambda x: p * p + x * q + own, lambda x: F.lit(1))
+    one = F.expr("array(named_struct('task', 0L, 'side', 0))")
+    tasks = F.when(p.isNull(), one).when(chose, F.concat(met_all, met_rest)).otherwise(as_rest)
+    return dealt.select("center", "member", "chose", F.explode(tasks).alias("t")).select("center", "member", "chose", "t.task", "t.side")
 
 
 SKETCH_BITS = 8  # at least, for each shingle of a task's largest set
@@ -301,11 +324,11 @@ def parity_sketches(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out.reshape(len(sizes), -1)
 
 
-def forest(values: np.ndarray, first: np.ndarray, ids: np.ndarray, side: np.ndarray, join: Join) -> list[tuple[int, int]]:
+def forest(values: np.ndarray, first: np.ndarray, ids: np.ndarray, side: np.ndarray, join: Join, chose: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Edges that connect all linked sets: each set in turn is compared with those not yet connected to it.
 
     Sketches rule out what differs in too many shingles; shingles are compared for the rest alone. side: with 0 and 1 both
-    there, only pairs between the two matter, as pairs within a side are another task's.
+    there, only pairs between the two matter, as pairs within a side are another task's. chose: only pairs with such a set matter.
     """
     sizes = np.diff(first)
     order = np.argsort(-sizes, kind="stable")
@@ -317,11 +340,16 @@ def forest(values: np.ndarray, first: np.ndarray, ids: np.ndarray, side: np.ndar
     root = np.arange(len(ids))
     edges: list[tuple[int, int]] = []
     cross = len(np.unique(side)) > 1
+    of_choice = np.ones(len(ids), bool) if chose is None else chose[order]
+    choosers = np.flatnonzero(of_choice)
     for i in range(len(ids)):
-        rest = root[i + 1 : until[i]] != root[i]
+        if of_choice[i]:
+            rest = np.flatnonzero(root[i + 1 : until[i]] != root[i]) + i + 1
+        else:
+            rest = choosers[np.searchsorted(choosers, i + 1) : np.searchsorted(choosers, until[i])]
+            rest = rest[root[rest] != root[i]]
         if cross:
-            rest &= of_side[i + 1 : until[i]] != of_side[i]
-        rest = np.flatnonzero(rest) + i + 1
+            rest = rest[of_side[rest] != of_side[i]]
         if len(rest):
             rest = rest[np.bitwise_count(sketch[rest] ^ sketch[i]).sum(1, dtype=np.int64) <= join.differ(size[i] + size[rest])]
         if not len(rest):
@@ -340,15 +368,15 @@ def forest(values: np.ndarray, first: np.ndarray, ids: np.ndarray, side: np.ndar
 
 
 def verified(groups: DataFrame, join: Join) -> DataFrame:
-    """src, dst of verified links within each group (center, task); side tells chunks apart."""
+    """src, dst of verified links within each group (center, task) of sets as ``in_tasks`` deals them, with their texts."""
 
     def verify(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        values, first, ids, side, seen = [], [0], [], [], set()
+        values, first, ids, side, chose, seen = [], [0], [], [], [], set()
         for batch in table.to_batches():
             for part, texts in utf8_slices(batch, "text"):
                 v, f, _ = shingle_sets(texts, join.width)
-                for i, (member, own) in enumerate(zip(part.column("member").to_pylist(), part.column("side").to_pylist(), strict=True)):
+                for i, (member, own, choice) in enumerate(zip(*(part.column(c).to_pylist() for c in ("member", "side", "chose")), strict=True)):
                     mine = v[f[i] : f[i + 1]]
                     if member in seen or set_id(mine) != member:  # another text under the same id
                         continue
@@ -357,7 +385,8 @@ def verified(groups: DataFrame, join: Join) -> DataFrame:
                     values.append(mine)
                     ids.append(member)
                     side.append(own)
-        found = forest(np.concatenate(values), np.array(first), np.array(ids), np.array(side), join) if ids else []
+                    chose.append(choice)
+        found = forest(np.concatenate(values), np.array(first), np.array(ids), np.array(side), join, np.array(chose)) if ids else []
         return pa.table({"src": pa.array([a for a, _ in found], pa.int64()), "dst": pa.array([b for _, b in found], pa.int64())})
 
     return groups.groupBy("center", "task").applyInArrow(verify, "src long, dst long")
@@ -378,16 +407,10 @@ def jaccard_components(docs: DataFrame, join: Join = Join(), id_col: str = "doc_
     parts = max(64, total // 2 // join.part_entries)
     alike = known.groupBy("set").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("size"))  # one document stands for all with an equal set
     met = written(meetings(index(docs.filter("doc_id IS NOT NULL"), join, int(parts), costs(described, join))), "meetings")
-    chunks = F.ceil(F.greatest(F.count(F.lit(1)) / join.chunk, F.sum("size") / join.chunk_shingles))
-    many = met.join(alike.select(F.col("set").alias("member"), "size"), "member").groupBy("center").agg(chunks.alias("chunks")).filter("chunks > 1")
-    dealt = met.join(many, "center", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-    own = F.pmod(F.xxhash64("member"), F.col("chunks"))
-    # task a * chunks + b, for each a <= b, holds chunks a and b: side 0 and 1 (both 0 where a = b)
-    tasks = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1), lambda x: F.struct((F.least(x, F.col("own")) * F.col("chunks") + F.greatest(x, F.col("own"))).alias("task"), F.when(F.col("own") > x, 1).otherwise(0).alias("side")))
-    dealt = dealt.withColumn("own", own).select("center", "member", F.explode(tasks).alias("t")).select("center", "member", "t.task", "t.side")
+    dealt = in_tasks(met, alike.select(F.col("set").alias("member"), "size"), join)
     texts = docs.join(alike.select(F.col("first").alias("doc_id"), "set").join(met.select(F.col("member").alias("set")).distinct(), "set", "left_semi"), "doc_id").select(F.col("set").alias("_set"), "text")
     texts = texts.distinct()
-    groups = dealt.join(texts, F.col("member") == F.col("_set")).select("center", "task", "side", "member", "text")
+    groups = dealt.join(texts, F.col("member") == F.col("_set")).select("center", "task", "side", "member", "chose", "text")
     # components are those of sets: copies of a text are one vertex, and rows with one id and different sets are links
     several = known.groupBy("doc_id").agg(F.min("set").alias("src"), F.max("set").alias("most")).filter("src < most")
     one_id = known.join(several.select("doc_id", "src"), "doc_id").filter("set <> src").select("src", F.col("set").alias("dst"))

@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -157,6 +158,29 @@ def test_marginals_against_enumeration():
     assert np.allclose(used, moves)
 
 
+def test_language_model_is_learned_in_a_task_and_in_slices(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = sorted((r.doc_id, r.text, r.lang) for r in docs.collect() if r.text is not None and r.lang is not None)
+    texts, langs = [r[1] for r in rows], [r[2] for r in rows]
+    whole = language_crf.fit(texts, langs, language_crf.Crf(train_slice_bytes=1 << 30))
+    sliced = language_crf.fit(texts, langs, language_crf.Crf(train_slice_bytes=1000))
+    monkeypatch.setattr(language_crf, "Lines", None)  # the driver's; tasks have their own
+    learned = language_crf.train(docs)
+    for model in (sliced, learned):
+        assert model.langs == whole.langs
+        assert (model.emit == whole.emit).all() and (model.turn == whole.turn).all()
+
+
+def test_memory_to_learn_languages_is_bounded():
+    texts = [" ".join(f"w{i * 7919 % 1009}x{(i + j) % 4001}" for j in range(400)) for i in range(1000)]
+    size = sum(map(len, texts))
+    tracemalloc.start()
+    language_crf.fit(texts, ["a", "b"] * 500, language_crf.Crf(epochs=1))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 * size + (48 << 20), (peak, size)
+
+
 def test_language_of_held_out_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet")
     held = F.crc32(F.col("doc_id").cast("string")) % 4 == 2

@@ -405,7 +405,8 @@ def jaccard_components(docs: DataFrame, join: Join = Join(), id_col: str = "doc_
     known = sets.filter("doc_id IS NOT NULL AND set IS NOT NULL")
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     parts = max(64, total // 2 // join.part_entries)
-    alike = known.groupBy("set").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("size"))  # one document stands for all with an equal set
+    # one document stands for all with an equal set; written, as several places below need it
+    alike = written(known.groupBy("set").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("size")), "alike")
     met = written(meetings(index(docs.filter("doc_id IS NOT NULL"), join, int(parts), costs(described, join))), "meetings")
     dealt = in_tasks(met, alike.select(F.col("set").alias("member"), "size"), join)
     texts = docs.join(alike.select(F.col("first").alias("doc_id"), "set").join(met.select(F.col("member").alias("set")).distinct(), "set", "left_semi"), "doc_id").select(F.col("set").alias("_set"), "text")
@@ -428,7 +429,7 @@ def deduplicated(docs: DataFrame, join: Join = Join(), id_col: str = "doc_id", t
     Of rows with equal ids (or null ids) and equal sets of shingles one stays, whichever it is; those without a shingle all
     stay. A column "_set" of ``docs`` is not allowed.
     """
-    found = jaccard_components(docs, join, id_col, text_col)
+    found = written(jaccard_components(docs, join, id_col, text_col), "components")  # else each use below plans it anew
     away = found.filter("doc_id > component_id").select(F.col("doc_id").alias("_gone"))
     left = docs.join(away, F.col(id_col) == F.col("_gone"), "left_anti")
     again = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias("_again"))

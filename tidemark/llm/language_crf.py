@@ -6,7 +6,8 @@ maximise the conditional likelihood (forward-backward, Adagrad) of code-switched
 documents, so that transitions learn how long a language lasts. A document's language is the one with the largest mean
 word posterior, and its score that mean.
 
-Training takes a bounded sample: about ``sample_rows`` documents of each language, whole.
+Training takes a bounded sample: about ``sample_rows`` documents of each language, whole. One task learns from it, in slices
+of ``train_slice_bytes``; only the weights come to the driver.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ class Crf:
     rate: float = 0.3
     seed: int = 11
     slice_bytes: int = 1 << 20  # of text that a task works on at once
+    train_slice_bytes: int = 1 << 18  # of the sample, whose features are kept
 
 
 @dataclass
@@ -130,31 +132,54 @@ def marginals(scores: np.ndarray, begin: np.ndarray, length: np.ndarray, turn: n
     return both / both.sum(1, keepdims=True), used
 
 
+@dataclass
+class Spoken:
+    """Words with a letter of all texts: each one's text and core, and the features of core w, ``feature[first[w]:first[w + 1]]``."""
+
+    doc: np.ndarray
+    word: np.ndarray
+    feature: np.ndarray
+    first: np.ndarray
+
+
+def spoken_words(texts: list[str], crf: Crf) -> Spoken:
+    """Features are made slice by slice, and cores are distinct within a slice."""
+    doc, word, feature, count = [], [], [], []
+    texts_before = cores_before = 0
+    for part, raw in utf8_slices(pa.record_batch({"text": pa.array(texts, pa.large_string())}), "text", crf.train_slice_bytes):
+        lines = Lines(raw, crf.bits)
+        doc.append((lines.doc[lines.spoken] + texts_before).astype(np.int32))
+        word.append((lines.word[lines.spoken] + cores_before).astype(np.int32))
+        feature.append(lines.feature.astype(np.int32))
+        count.append(np.diff(lines.first))
+        texts_before, cores_before = texts_before + part.num_rows, cores_before + len(lines.first) - 1
+    return Spoken(*map(np.concatenate, (doc, word, feature)), np.concatenate([[0], np.cumsum(np.concatenate(count))]))
+
+
 def fit(texts: list[str], langs: list[str], crf: Crf) -> Model:
-    """Learns from whole labelled texts."""
+    """Learns from whole labelled texts. The size of the slices makes no difference to the weights."""
     names = sorted(set(langs))
     model = Model(names, np.zeros((1 << crf.bits, len(names)), np.float32), np.zeros((len(names), len(names))))
     if not texts:
         return model
     rng = np.random.default_rng(crf.seed)
-    lines = Lines(pa.array([t.encode() for t in texts], pa.large_binary()), crf.bits)
+    spoken = spoken_words(texts, crf)
     label_of = np.array([names.index(x) for x in langs])
-    spoken = np.flatnonzero(lines.spoken)
     past, past_turn = np.full(model.emit.shape, 1e-2, np.float32), np.full(model.turn.shape, 1e-2)
     for _ in range(crf.epochs):
-        lengths = rng.integers(3, 41, len(spoken) // 3 + 1)
-        ends = np.minimum(np.cumsum(lengths), len(spoken))
+        lengths = rng.integers(3, 41, len(spoken.word) // 3 + 1)
+        ends = np.minimum(np.cumsum(lengths), len(spoken.word))
         starts = np.concatenate([[0], ends[:-1]])
         keep = ends > starts
         pieces = rng.permutation(np.flatnonzero(keep))
-        stream = spoken[ragged(starts[pieces], (ends - starts)[pieces])]
+        stream = ragged(starts[pieces], (ends - starts)[pieces])
         for at in range(0, len(stream), crf.chain * crf.batch):
             now = stream[at : at + crf.chain * crf.batch]
-            word, label = lines.word[now], label_of[lines.doc[now]]
+            word, label = spoken.word[now], label_of[spoken.doc[now]]
             begin = np.arange(0, len(now), crf.chain)
             length = np.minimum(crf.chain, len(now) - begin)
-            count = lines.first[word + 1] - lines.first[word]
-            feature = lines.feature[ragged(lines.first[word], count)]
+            count = spoken.first[word + 1] - spoken.first[word]
+            feature = spoken.feature[ragged(spoken.first[word], count)]
             where = np.concatenate([[0], np.cumsum(count)[:-1]])
             scores = np.add.reduceat(model.emit[feature], where)
             posterior, used = marginals(scores, begin, length, model.turn)
@@ -177,16 +202,27 @@ def fit(texts: list[str], langs: list[str], crf: Crf) -> Model:
 
 
 def train(docs: DataFrame, crf: Crf = Crf(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Fits on a sample of ``docs``: rows with a null text or language teach nothing. The sample is chosen by a hash of the id."""
+    """Fits on a sample of ``docs``, in one task: rows with a null text or language teach nothing. The sample is chosen by a hash of the id."""
     known = docs.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     counts = {r[0]: r[1] for r in known.groupBy(lang_col).count().collect()}  # one row for each language
     if not counts:
         return fit([], [], crf)
     share = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, crf.sample_rows / n))))
     draw = F.pmod(F.xxhash64(F.col(id_col), F.lit(crf.seed)), F.lit(1_000_000)) / 1_000_000
-    rows = known.filter(draw < share[F.col(lang_col)]).select(F.col(id_col), text_col, lang_col).limit(2 * crf.sample_rows * len(counts)).collect()
-    rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-    return fit([r[1] for r in rows], [r[2] for r in rows], crf)
+    sample = known.filter(draw < share[F.col(lang_col)]).select(F.col(id_col), text_col, lang_col).limit(2 * crf.sample_rows * len(counts))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for batch in batches for r in zip(*(column.to_pylist() for column in batch.columns), strict=True)]
+        rows.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        model = fit([r[1] for r in rows], [r[2] for r in rows], crf)
+        yield pa.record_batch([pa.array([model.langs], pa.list_(pa.string())), pa.array([model.emit.tobytes()]), pa.array([model.turn.tobytes()])], names=["langs", "emit", "turn"])
+
+    bound_batches(docs.sparkSession)
+    found = sample.coalesce(1).mapInArrow(learn, "langs array<string>, emit binary, turn binary").first()
+    if not found:
+        return fit([], [], crf)
+    n = len(found["langs"])
+    return Model(list(found["langs"]), np.frombuffer(found["emit"], np.float32).reshape(1 << crf.bits, n), np.frombuffer(found["turn"]).reshape(n, n))
 
 
 def predict(docs: DataFrame, model: Model, crf: Crf = Crf(), id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:

@@ -77,3 +77,18 @@ def test_many_small_files_take_few_tasks(spark, tmp_path):
     read = binaries.headers(spark, str(tmp_path), {"number": ("I", 1)})
     assert read.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert sorted(r.number for r in read.collect()) == list(range(1500))
+
+
+def test_the_driver_holds_no_listing(spark, tmp_path):
+    """Files are listed in a task: the driver has no index of them. Folders key=value are opened, hidden names and other folders are not."""
+    for name in ("a", "b", "_c", ".d", "day=1/e", "day=1/_f", "other/g"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(b"abcdef")
+    read = binaries.first_bytes(spark, str(tmp_path), 4)
+    assert read.inputFiles() == []
+    assert sorted((r.path[len(str(tmp_path)) :], r.length, bytes(r.content)) for r in read.collect()) == [(f"/{x}", 6, b"abcd") for x in ("a", "b", "day=1/e")]
+    assert binaries.first_bytes(spark, f"{tmp_path}/[ab]", 4).count() == 2
+    (tmp_path / "none").mkdir()
+    assert binaries.first_bytes(spark, str(tmp_path / "none"), 4).count() == 0
+    with pytest.raises(Exception, match="no such file or folder"):
+        binaries.first_bytes(spark, str(tmp_path / "missing"), 4)

@@ -1,7 +1,10 @@
 """Named files with a commit, and array files: round trips, ranges, aborted jobs."""
 
+import pickle
+
 import numpy as np
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark.sources import array_files, named_files
@@ -52,3 +55,32 @@ def test_values_by_ranges(spark, tmp_path):
     (tmp_path / "b.nc").write_bytes(data[:30])
     with pytest.raises(Exception, match="cut off"):
         array_files.read_heads(spark, str(tmp_path)).collect()
+
+
+def test_the_driver_is_told_folders_not_files(tmp_path, monkeypatch):
+    """A task's message holds a name for each folder of drafts, not for each file."""
+    monkeypatch.setattr(named_files, "FILES_IN_FOLDER", 100, raising=False)
+    writer = named_files.FileWriter(str(tmp_path / "drafts"))
+    message = writer.write(Row(file=f"a file of some name {i}", data=b"x") for i in range(1001))
+    assert len(pickle.dumps(message)) < 1000
+    assert sorted(len(list(p.iterdir())) for p in (tmp_path / "drafts").iterdir()) == [1, *[100] * 10]
+
+
+def test_drafts_of_tasks_that_succeeded_are_published(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(named_files, "FILES_IN_FOLDER", 100, raising=False)
+    writer = named_files.FileWriter(str(tmp_path / "out/.drafts-1"))
+    messages = [writer.write(Row(file=f"f{i}", data=str(i).encode()) for i in range(at, 250, 2)) for at in range(2)]
+    writer.write(iter([Row(file="lost", data=b"")]))  # an attempt that was not taken
+    writer.commit([*messages, None])
+    named_files.publish(spark, writer.drafts, str(tmp_path / "out"))
+    assert {p.name: p.read_text() for p in (tmp_path / "out").iterdir()} == {f"f{i}": str(i) for i in range(250)}
+    named_files.write_text_files(spark.createDataFrame([], "file string, pos long, value string"), str(tmp_path / "none"))
+    assert list((tmp_path / "none").iterdir()) == []
+
+
+def test_one_name_from_two_tasks_is_an_error(spark, tmp_path):
+    writer = named_files.FileWriter(str(tmp_path / "out/.drafts-1"))
+    writer.commit([writer.write(iter([Row(file=x, data=b"")])) for x in ("same", "other", "same")])
+    with pytest.raises(Exception, match="two tasks.*same"):
+        named_files.publish(spark, writer.drafts, str(tmp_path / "out"))
+    assert list((tmp_path / "out").iterdir()) == []

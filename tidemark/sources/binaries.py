@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import struct
 import tarfile
 import zipfile
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tidemark.errors import InputError
-from tidemark.sources.stores import open_fs, read_range
+from tidemark.sources.stores import open_fs, paths_below, read_range
 
 
 def little_endian(content, offset: int, size: int = 4):  # noqa: ANN001, ANN201
@@ -24,25 +25,46 @@ def little_endian(content, offset: int, size: int = 4):  # noqa: ANN001, ANN201
     return F.conv(F.array_join(F.transform(F.sequence(F.lit(size - 1), F.lit(0)), lambda i: F.hex(content).substr(2 * (offset + i) + 1, F.lit(2))), ""), 16, 10).cast("long")
 
 
-PARTS_IN_TASK = 64  # of a listing's partitions, which hold some 32 small files each
+FILES_IN_TASK = 2048
+GLOB = re.compile(r"[*?\[{]")
 
 
 def files_listed(spark: SparkSession, path: str) -> DataFrame:
-    """path and length of files; content isn't read. Spark reckons each file at 4 MB at least, which would start Python for
-    every 32 of them; many such partitions come to one task here, as long as all cores have some."""
-    files = spark.read.format("binaryFile").load(path).select("path", "length")  # a listing: content is pruned
-    parts = files.rdd.getNumPartitions()
-    tasks = max(spark.sparkContext.defaultParallelism, -(-parts // PARTS_IN_TASK))
-    return files.coalesce(tasks) if parts > tasks else files
+    """path of the files in a folder, of one file, or of a glob; content isn't read.
+
+    One task lists the folder, name by name, and deals the paths out; the driver gets their number alone. There are as many
+    tasks as cores, more where each would have above ``FILES_IN_TASK`` files. A glob is listed by Spark, on the driver.
+    """
+    if GLOB.search(path):
+        names = spark.read.format("binaryFile").load(path).select("path")
+    else:
+
+        def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for folder in batch.column("folder").to_pylist():
+                    found = paths_below(folder)
+                    while some := list(islice(found, 8192)):
+                        yield pa.RecordBatch.from_arrays([pa.array(some, pa.string())], ["path"])
+
+        names = spark.range(0, 1, 1, 1).select(F.lit(path).alias("folder")).mapInArrow(listed, "path string")
+    count = names.count()
+    tasks = max(spark.sparkContext.defaultParallelism, -(-count // FILES_IN_TASK))
+    return names.repartition(max(1, min(count, tasks)), "path")
 
 
 def first_bytes(spark: SparkSession, path: str, size: int) -> DataFrame:
     """path, length and content: the first ``size`` bytes of each file (fewer of a shorter one); no more is read."""
 
+    def start(source: str) -> tuple[int, bytes]:
+        system, place = open_fs(source)
+        with system.open_input_file(place) as file:
+            length = file.size()
+            return length, file.read_at(min(size, length), 0)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [read_range(p, 0, min(size, n)) for p, n in zip(*(batch.column(c).to_pylist() for c in ("path", "length")), strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], ["path", "length", "content"])
+            found = [start(p) for p in batch.column("path").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array([n for n, _ in found], pa.int64()), pa.array([x for _, x in found], pa.binary())], ["path", "length", "content"])
 
     return files_listed(spark, path).mapInArrow(read, "path string, length long, content binary")
 
@@ -113,7 +135,7 @@ def archive_index(spark: SparkSession, path: str, kind: str) -> DataFrame:
                     while rows := list(islice(found, 4096)):
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    return files_listed(spark, path).select("path").mapInArrow(read, INDEX)
+    return files_listed(spark, path).mapInArrow(read, INDEX)
 
 
 def member_data(row: dict) -> bytes:

@@ -280,3 +280,29 @@ def test_every_stored_sample_tells_in_the_feature(spark, tmp_path):
     found = {r.doc_id: r.feature for r in queries.op6_telephony_media(spark, str(tmp_path)).collect()}
     want = {r.doc_id: r.feature for r in telephony.describe(telephony.to_media(spark.createDataFrame(texts, "doc_id long, text string"))).collect()}
     assert found == want and len(set(found.values())) == 5
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 1000])
+def test_lifted_sound_comes_back_whole(n):
+    """Any samples, extremes too; the differences of a sound interpolated to twice its rate are zero."""
+    x = np.random.default_rng(n).choice(np.array([-32768, -1, 0, 1, 5000, 32767], np.int16), n)
+    rate, back = telephony.samples(telephony.wave(telephony.lifted(x), telephony.LIFTED, 16_000))
+    assert rate == 16_000 and back.tolist() == x.tolist()
+    twice = telephony.resample(x, 8000, 16_000)
+    assert telephony.lifted(twice) == x.astype("<i2").tobytes() + bytes(2 * n)
+
+
+def test_the_query_stores_the_resampled_sound(spark, tmp_path, monkeypatch):
+    """What op6 stores and reads back is PCM at 16 kHz, every sample of it, and the feature is of that."""
+    from tidemark.llm import queries
+
+    texts, stored = [(1, "one two three"), (2, None), (3, "ünï " * 3000)], {}
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(queries, "written", lambda df, label, *more: stored.setdefault(label, written(df, label, *more)))
+    feature = {r.doc_id: r.feature for r in queries.op6_telephony_media(spark, str(tmp_path)).collect()}
+    media = {r.doc_id: bytes(r.media) for r in stored["media"].collect()}
+    for r in stored["sound"].collect():
+        rate, x = telephony.samples(bytes(r.pcm))
+        assert (rate, len(x)) == (16_000, 2 * r.payload_bytes)
+        assert x.tolist() == telephony.resample(telephony.samples(media[r.doc_id])[1], 8000, 16_000).tolist()
+        assert feature[r.doc_id] == telephony.feature(x)
